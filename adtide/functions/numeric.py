@@ -1,5 +1,7 @@
 """Exact sums, averages and rounding.
 
+Arguments are SQL expressions over the columns of the DataFrame at hand.
+
 Money and conversion counts are stored as DOUBLE. Adding doubles gives a result
 that depends on the order of the rows, and a shuffle changes that order, so sums
 go through whole units and millionths held in BIGINT: exact, order-free, and kept
@@ -14,48 +16,63 @@ from pyspark.sql import functions as F
 MICROS = 1_000_000
 
 
-def _col(column: Column | str) -> Column:
-    return F.col(column) if isinstance(column, str) else column
+def micros_to_currency(expression: str) -> Column:
+    """Platform cost in millionths of a currency unit as a DOUBLE amount."""
+    return F.expr(f"({expression}) / {MICROS}D")
 
 
-def micros_to_currency(column: Column | str) -> Column:
-    """Platform cost in millionths of a currency unit as a DOUBLE amount."""
-    return _col(column) / F.lit(float(MICROS))
+def _sum_text(expression: str) -> str:
+    value = f"CAST(({expression}) AS DOUBLE)"
+    millionths = f"CAST(rint(({value} - floor({value})) * {MICROS}D) AS BIGINT)"
+    return (
+        f"CAST(CAST(sum(floor({value})) AS DECIMAL(38,6))"
+        f" + CAST(sum({millionths}) AS DECIMAL(38,6)) / {MICROS} AS DOUBLE)"
+    )
 
 
-def exact_sum(column: Column | str) -> Column:
+def exact_sum(expression: str) -> Column:
     """Aggregate: sum of a DOUBLE to six decimals, independent of row order.
 
     Whole units and the remaining millionths are two BIGINT sums, so neither can
     overflow before 9.2e18 units or 9.2e12 rows per group.
     """
-    value = _col(column).cast("double")
-    units = F.floor(value)
-    millionths = F.rint((value - units) * F.lit(float(MICROS))).cast("bigint")
-    return (
-        F.sum(units).cast("decimal(38,6)")
-        + F.sum(millionths).cast("decimal(38,6)") / F.lit(MICROS)
-    ).cast("double")
+    return F.expr(_sum_text(expression))
 
 
-def exact_avg(column: Column | str) -> Column:
+def exact_avg(expression: str) -> Column:
     """Aggregate: average over the non-NULL values, built on ``exact_sum``."""
-    count = F.count(_col(column)).cast("double")
-    return exact_sum(column) / F.nullif(count, F.lit(0.0))
+    return F.expr(f"{_sum_text(expression)} / nullif(count({expression}), 0)")
 
 
-def exact_round(column: Column | str, digits: int) -> Column:
+def _round_text(expression: str, digits: int) -> str:
+    return f"CAST(round(CAST(({expression}) AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+
+
+def exact_round(expression: str, digits: int) -> Column:
     """SQL ``numeric`` rounding of a DOUBLE: decimal digits, half away from zero."""
-    return F.round(_col(column).cast("decimal(38,10)"), digits).cast("double")
+    return F.expr(_round_text(expression, digits))
 
 
-def ratio(numerator: Column, denominator: Column, digits: int, factor: float = 1.0) -> Column:
+def ratio(top: str, bottom: str, digits: int) -> Column:
     """Rounded quotient that is NULL where the divisor is zero."""
-    top = numerator.cast("double") * F.lit(factor) if factor != 1.0 else numerator.cast("double")
-    return exact_round(top / F.nullif(denominator.cast("double"), F.lit(0.0)), digits)
+    return exact_round(f"({top}) / nullif(CAST(({bottom}) AS DOUBLE), 0D)", digits)
+
 
+def _binary_round_text(expression: str, digits: int) -> str:
+    scale = f"{10**digits}D"
+    value = f"CAST(({expression}) AS DOUBLE)"
+    scaled = f"({value} * {scale})"
+    below = f"CAST(floor({scaled}) AS DOUBLE)"
+    spread = f"({value} * 134217729D)"  # 2^27 + 1
+    high = f"({spread} - ({spread} - {value}))"
+    error = f"(({high} * {scale} - {scaled}) + ({value} - {high}) * {scale})"
+    return f"""CASE WHEN {scaled} - {below} <> 0.5D THEN rint({scaled})
+                    WHEN {error} > 0D THEN {below} + 1D
+                    WHEN {error} < 0D THEN {below}
+                    ELSE rint({scaled}) END / {scale}"""
 
-def binary_round(column: Column | str, digits: int) -> Column:
+
+def binary_round(expression: str, digits: int) -> Column:
     """Round the exact binary value, ties to even, as IEEE-correct formatters do.
 
     ``2.675`` is stored slightly below 2.675, so two digits give 2.67; SQL rounding
@@ -63,22 +80,10 @@ def binary_round(column: Column | str, digits: int) -> Column:
     lands on a half; then the error of the multiplication, recovered exactly by
     splitting the value into two 26-bit parts, tells on which side it lies.
     """
-    value = _col(column).cast("double")
-    scale = F.lit(float(10**digits))
-    scaled = value * scale
-    below = F.floor(scaled).cast("double")
-    spread = value * F.lit(134217729.0)  # 2^27 + 1
-    high = spread - (spread - value)
-    error = (high * scale - scaled) + (value - high) * scale
-    nearest = (
-        F.when(scaled - below != F.lit(0.5), F.rint(scaled))
-        .when(error > 0, below + 1)
-        .when(error < 0, below)
-        .otherwise(F.rint(scaled))
-    )
-    return nearest / scale
+    return F.expr(_binary_round_text(expression, digits))
 
 
-def fixed_text(column: Column | str, digits: int) -> Column:
+def fixed_text(expression: str, digits: int) -> Column:
     """Text with exactly ``digits`` decimals, rounded by ``binary_round``."""
-    return binary_round(column, digits).cast(f"decimal(38,{digits})").cast("string")
+    rounded = _binary_round_text(expression, digits)
+    return F.expr(f"CAST(CAST({rounded} AS DECIMAL(38,{digits})) AS STRING)")

@@ -10,20 +10,17 @@ from adtide.functions.numeric import binary_round, ratio
 
 def kpi_columns() -> dict[str, Column]:
     """KPIs of a warehouse table, rounded as SQL ``numeric``."""
-    impressions, clicks, spend, conversions = (
-        F.col(name) for name in ("impressions", "clicks", "spend", "conversions")
-    )
     return {
-        "ctr": ratio(clicks, impressions, 2, 100.0),
-        "cpc": ratio(spend, clicks, 2),
-        "cost_per_conversion": ratio(spend, conversions, 2),
-        "conversion_rate": ratio(conversions, clicks, 2, 100.0),
+        "ctr": ratio("clicks * 100D", "impressions", 2),
+        "cpc": ratio("spend", "clicks", 2),
+        "cost_per_conversion": ratio("spend", "conversions", 2),
+        "conversion_rate": ratio("conversions * 100D", "clicks", 2),
     }
 
 
 def table_roas() -> Column:
     """Return on spend of a warehouse row, four decimals."""
-    return ratio(F.col("conversion_value"), F.col("spend"), 4)
+    return ratio("conversion_value", "spend", 4)
 
 
 def add_kpis(df: DataFrame, with_roas: bool = True) -> DataFrame:
@@ -33,33 +30,23 @@ def add_kpis(df: DataFrame, with_roas: bool = True) -> DataFrame:
     return df.withColumns(columns)
 
 
-def _quotient(top: Column, bottom: Column) -> Column:
-    return top / F.nullif(bottom.cast("double"), F.lit(0.0))
-
-
 def row_roas() -> Column:
     """Return on spend of a review row, rounded on its binary value."""
-    return binary_round(_quotient(F.col("conversion_value"), F.col("spend")), 4)
+    return binary_round("conversion_value / nullif(spend, 0D)", 4)
 
 
 def period_kpis(df: DataFrame) -> DataFrame:
     """KPIs on the totals of a review period; missing totals count as zero."""
-    totals = {
-        name: F.coalesce(F.col(name), F.lit(0).cast(kind))
-        for name, kind in (
-            ("impressions", "bigint"),
-            ("clicks", "bigint"),
-            ("spend", "double"),
-            ("conversions", "double"),
-            ("conversion_value", "double"),
-        )
+    counts = {name: F.expr(f"coalesce({name}, 0L)") for name in ("impressions", "clicks")}
+    amounts = {
+        name: F.expr(f"coalesce({name}, 0D)")
+        for name in ("spend", "conversions", "conversion_value")
     }
-    clicks, spend = F.col("clicks"), F.col("spend")
-    return df.withColumns(totals).withColumns(
+    return df.withColumns(counts | amounts).withColumns(
         {
-            "ctr": binary_round(_quotient(clicks, F.col("impressions")) * 100, 2),
-            "cpc": binary_round(_quotient(spend, clicks), 2),
-            "cpa": binary_round(_quotient(spend, F.col("conversions")), 2),
+            "ctr": binary_round("clicks / nullif(impressions, 0L) * 100", 2),
+            "cpc": binary_round("spend / nullif(clicks, 0L)", 2),
+            "cpa": binary_round("spend / nullif(conversions, 0D)", 2),
             "roas": row_roas(),
         }
     )

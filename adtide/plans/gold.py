@@ -26,8 +26,8 @@ def _totals(with_value: bool = True) -> list[Column]:
         exact_sum("conversions").alias("conversions"),
     ]
     if with_value:
-        value = F.coalesce("conversion_value", F.lit(0.0))
-        totals.append(exact_sum(value).alias("conversion_value"))
+        value = exact_sum("coalesce(conversion_value, 0D)")
+        totals.append(value.alias("conversion_value"))
     return totals
 
 
@@ -163,23 +163,24 @@ def budget_pacing(
         prefixed = F.when(F.col("platform") == META, normalize_account_id(account))
         mtd = mtd.withColumn("account_id", prefixed.otherwise(account))
     calendar = month_calendar(as_of)
-    consumed = (
-        F.col("spent_mtd") * F.lit(100.0) / F.nullif(F.col("monthly_budget"), F.lit(0.0))
-    )
+    consumed = F.expr("spent_mtd * 100D / nullif(monthly_budget, 0D)")
     elapsed = calendar["day_of_month"] * F.lit(100.0) / calendar["days_in_month"]
+    rows = budget_with_spend(budget, mtd)
+    rows = rows.withColumns({"consumed": consumed, "elapsed": elapsed})
+    consumed, elapsed = F.col("consumed"), F.col("elapsed")
     flag = (
         F.when(F.col("monthly_budget") == 0, "unknown")
         .when(consumed > elapsed + PACE_MARGIN, "over")
         .when(consumed < elapsed - PACE_MARGIN, "under")
         .otherwise("on_track")
     )
-    return budget_with_spend(budget, mtd).select(
+    return rows.select(
         "account_id",
         "platform",
         "monthly_budget",
         "currency",
         exact_round("spent_mtd", 2).alias("spent_mtd"),
-        exact_round(consumed, 2).alias("pct_consumed"),
-        exact_round(elapsed, 2).alias("days_elapsed_pct"),
+        exact_round("consumed", 2).alias("pct_consumed"),
+        exact_round("elapsed", 2).alias("days_elapsed_pct"),
         flag.alias("pace_flag"),
     )

@@ -52,14 +52,18 @@ class GoldTables(NamedTuple):
 def _account_totals(daily: DataFrame, period: Period) -> DataFrame:
     """Identification from all days and totals from the period, in one pass."""
     inside = F.col("date").between(F.lit(period.start), F.lit(period.end))
-    return daily.groupBy("account_id").agg(
-        F.max("account_name").alias("account_name"),
-        F.min("platform").alias("platform"),
-        F.sum(F.when(inside, F.col("impressions"))).alias("impressions"),
-        F.sum(F.when(inside, F.col("clicks"))).alias("clicks"),
-        exact_sum(F.when(inside, F.col("spend"))).alias("spend"),
-        exact_sum(F.when(inside, F.col("conversions"))).alias("conversions"),
-        exact_sum(F.when(inside, F.col("conversion_value"))).alias("conversion_value"),
+    return (
+        daily.withColumn("inside", inside)
+        .groupBy("account_id")
+        .agg(
+            F.max("account_name").alias("account_name"),
+            F.min("platform").alias("platform"),
+            F.expr("sum(impressions) FILTER (WHERE inside)").alias("impressions"),
+            F.expr("sum(clicks) FILTER (WHERE inside)").alias("clicks"),
+            exact_sum("if(inside, spend, NULL)").alias("spend"),
+            exact_sum("if(inside, conversions, NULL)").alias("conversions"),
+            exact_sum("if(inside, conversion_value, NULL)").alias("conversion_value"),
+        )
     )
 
 

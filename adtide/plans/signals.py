@@ -67,13 +67,13 @@ def _signal(code: str, fires: Column, *slots: Column) -> Column:
 def roas_below_one() -> Column:
     spend, roas = F.col("spend"), F.col("roas")
     fires = (spend >= MIN_SPEND) & (roas < ROAS_CRITICAL)
-    return _signal("roas_below_one", fires, fixed_text(roas, 2), fixed_text(spend, 2))
+    return _signal("roas_below_one", fires, fixed_text("roas", 2), fixed_text("spend", 2))
 
 
 def _pace(code: str, flag: str) -> Column:
     consumed = F.col("pct_consumed")
     fires = (F.col("pace_flag") == flag) & consumed.isNotNull()
-    return _signal(code, fires, fixed_text(consumed, 1), fixed_text("days_elapsed_pct", 1))
+    return _signal(code, fires, fixed_text("pct_consumed", 1), fixed_text("days_elapsed_pct", 1))
 
 
 def budget_over_pace() -> Column:

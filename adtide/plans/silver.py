@@ -17,15 +17,15 @@ Ties = Sequence[Column]
 
 
 def _zero(name: str, kind: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0)).cast(kind)
+    return F.expr(f"CAST(coalesce({name}, 0) AS {kind})").alias(name)
 
 
 def _counts(*names: str) -> list[Column]:
-    return [F.sum(_zero(name, "bigint")).alias(name) for name in names]
+    return [F.expr(f"sum(coalesce({name}, 0L))").alias(name) for name in names]
 
 
 def _amounts(*names: str) -> list[Column]:
-    return [exact_sum(_zero(name, "double")).alias(name) for name in names]
+    return [exact_sum(f"coalesce({name}, 0D)").alias(name) for name in names]
 
 
 def silver_google_ads(
@@ -141,11 +141,11 @@ def silver_search_terms(bronze: DataFrame, ties: Ties = ()) -> DataFrame:
         "matched_keyword_text",
         "matched_keyword_match_type",
         "date",
-        _zero("impressions", "bigint").alias("impressions"),
-        _zero("clicks", "bigint").alias("clicks"),
-        _zero("spend", "double").alias("spend"),
-        _zero("conversions", "double").alias("conversions"),
-        _zero("conversion_value", "double").alias("conversion_value"),
+        _zero("impressions", "bigint"),
+        _zero("clicks", "bigint"),
+        _zero("spend", "double"),
+        _zero("conversions", "double"),
+        _zero("conversion_value", "double"),
         "_extracted_at",
         F.lit(GOOGLE).alias("platform"),
     )
@@ -188,9 +188,9 @@ def silver_meta_ads(bronze: DataFrame, ties: Ties = (), mode: ParseMode = "stric
         "campaign_name",
         "ad_id",
         "ad_name",
-        _zero("impressions", "bigint").alias("impressions"),
-        _zero("clicks", "bigint").alias("clicks"),
-        _zero("spend", "double").alias("spend"),
+        _zero("impressions", "bigint"),
+        _zero("clicks", "bigint"),
+        _zero("spend", "double"),
         F.col("date_start").alias("date"),
         "device_platform",
         "publisher_platform",
@@ -215,5 +215,5 @@ def _per_campaign(silver: DataFrame, conversion_value: Column) -> DataFrame:
 
 def unified_campaigns(meta: DataFrame, google: DataFrame) -> DataFrame:
     """Both platforms at campaign and day. Meta reports no conversion value yet."""
-    google_value = exact_sum(F.coalesce("conversion_value", F.lit(0.0)))
+    google_value = exact_sum("coalesce(conversion_value, 0D)")
     return _per_campaign(meta, F.lit(0.0)).unionByName(_per_campaign(google, google_value))

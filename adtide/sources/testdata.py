@@ -8,90 +8,70 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = date(2024, 1, 20)
-FIRST_DAY = date(2024, 1, 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(column: Column) -> Column:
-    return column.cast("string")
-
-
-def _named(prefix: str, column: Column) -> Column:
-    return F.concat(F.lit(prefix), _text(column))
-
-
-def _spend() -> Column:
-    return F.when(F.col("l_discount") == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice"))
-
-
-def _value() -> Column:
-    price = F.col("o_totalprice")
-    return F.when(F.col("o_custkey") % 4 == 3, price / 50).otherwise(price)
-
-
-def _day() -> Column:
-    return F.date_add(F.lit(FIRST_DAY), (F.col("l_orderkey") % 30).cast("int"))
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their order. Both sides grow with the data: never broadcast."""
+    orders = table(spark, sf_dir, "orders").hint("merge")
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def _ad_group_id() -> Column:
-    return _text((F.col("l_suppkey") % 5) * 10 + F.col("l_linenumber") % 3)
+def _texts(expressions: dict[str, str]) -> list[str]:
+    return [f"CAST({text} AS STRING) AS {name}" for name, text in expressions.items()]
 
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+_LINE_TEXTS = {
+    "customer_id": "o_custkey % 4",
+    "customer_name": "concat('Account ', o_custkey % 4)",
+    "campaign_id": "l_suppkey % 5",
+    "campaign_name": "concat('Campaign ', l_suppkey % 5)",
+    "ad_group_id": "(l_suppkey % 5) * 10 + l_linenumber % 3",
+    "ad_group_name": "concat('AdGroup ', l_linenumber % 3)",
+}
+_LINE_FIGURES = [
+    "CAST(l_quantity * 20 AS BIGINT) AS impressions",
+    "if(l_discount = 0, 0D, l_extendedprice) AS spend",
+    "date_add(DATE '2024-01-01', CAST(l_orderkey % 30 AS INT)) AS date",
+    "o_orderdate AS _extracted_at",
+    "l_orderkey AS _seq",
+]
+_ORDER_VALUE = "if(o_custkey % 4 = 3, o_totalprice / 50, o_totalprice)"
 
 
 def google_ads_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    account, campaign = F.col("o_custkey") % 4, F.col("l_suppkey") % 5
-    keyword = F.col("l_partkey") % 40
-    returned = F.col("l_returnflag")
-    ad_group_status = F.when(F.col("l_linestatus") == "O", "ENABLED").otherwise("PAUSED")
-    return _order_lines(spark, sf_dir).select(
-        _text(account).alias("customer_id"),
-        _named("Account ", account).alias("customer_name"),
-        _text(campaign).alias("campaign_id"),
-        _named("Campaign ", campaign).alias("campaign_name"),
-        F.when(returned == "A", "ENABLED")
-        .when(returned == "N", "PAUSED")
-        .otherwise("REMOVED")
-        .alias("campaign_status"),
-        _ad_group_id().alias("ad_group_id"),
-        _named("AdGroup ", F.col("l_linenumber") % 3).alias("ad_group_name"),
-        ad_group_status.alias("ad_group_status"),
-        _text(keyword).alias("keyword_id"),
-        F.lit("ENABLED").alias("criterion_status"),
-        F.when(keyword == 7, F.lit(""))
-        .when(keyword != 8, _named("kw ", keyword % 25))
-        .alias("keyword_text"),
-        _match_type("BROAD").alias("match_type"),
-        F.when(F.col("l_linestatus") == "O", "MOBILE").otherwise("DESKTOP").alias("device"),
-        (F.col("l_quantity") * 20).cast("bigint").alias("impressions"),
-        F.when(F.col("l_tax") != 0, F.col("l_quantity").cast("bigint")).alias("clicks"),
-        _spend().alias("spend"),
-        F.when((returned == "R") | (campaign == 4), F.lit(0.0))
-        .otherwise(F.col("l_linenumber").cast("double"))
-        .alias("conversions"),
-        F.when(returned != "R", _value()).alias("conversion_value"),
-        (F.col("l_linenumber") % 2).cast("double").alias("view_through_conversions"),
-        F.col("l_linenumber").cast("double").alias("all_conversions"),
-        F.col("l_discount").alias("search_impression_share"),
-        (F.col("l_partkey") % 10).cast("int").alias("quality_score"),
-        _day().alias("date"),
-        F.col("o_orderdate").alias("_extracted_at"),
-        F.col("l_orderkey").alias("_seq"),
+    return order_lines(spark, sf_dir).selectExpr(
+        *_texts(
+            _LINE_TEXTS
+            | {
+                "campaign_status": """CASE l_returnflag WHEN 'A' THEN 'ENABLED'
+                    WHEN 'N' THEN 'PAUSED' ELSE 'REMOVED' END""",
+                "ad_group_status": "if(l_linestatus = 'O', 'ENABLED', 'PAUSED')",
+                "keyword_id": "l_partkey % 40",
+                "criterion_status": "'ENABLED'",
+                "keyword_text": """CASE l_partkey % 40 WHEN 7 THEN '' WHEN 8 THEN NULL
+                    ELSE concat('kw ', (l_partkey % 40) % 25) END""",
+                "match_type": """CASE l_partkey % 3 WHEN 0 THEN 'EXACT'
+                    WHEN 1 THEN 'PHRASE' ELSE 'BROAD' END""",
+                "device": "if(l_linestatus = 'O', 'MOBILE', 'DESKTOP')",
+            }
+        ),
+        *_LINE_FIGURES,
+        "if(l_tax = 0, NULL, CAST(l_quantity AS BIGINT)) AS clicks",
+        """if(l_returnflag = 'R' OR l_suppkey % 5 = 4, 0D, CAST(l_linenumber AS DOUBLE))
+           AS conversions""",
+        f"if(l_returnflag = 'R', NULL, {_ORDER_VALUE}) AS conversion_value",
+        "CAST(l_linenumber % 2 AS DOUBLE) AS view_through_conversions",
+        "CAST(l_linenumber AS DOUBLE) AS all_conversions",
+        "l_discount AS search_impression_share",
+        "CAST(l_partkey % 10 AS INT) AS quality_score",
     )
 
 
-def _match_type(third: str) -> Column:
-    kind = F.col("l_partkey") % 3
-    return F.when(kind == 0, "EXACT").when(kind == 1, "PHRASE").otherwise(third)
-
-
 def google_ads_ties() -> list[Column]:
     return [
         F.desc("_seq"),
@@ -108,39 +88,25 @@ def google_ads_ties() -> list[Column]:
 
 
 def google_search_terms_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    account, campaign = F.col("o_custkey") % 4, F.col("l_suppkey") % 5
-    returned = F.col("l_returnflag")
     part = table(spark, sf_dir, "part")
-    rows = _order_lines(spark, sf_dir).join(part, F.col("l_partkey") == F.col("p_partkey"))
-    return rows.select(
-        _text(account).alias("customer_id"),
-        _named("Account ", account).alias("customer_name"),
-        _text(campaign).alias("campaign_id"),
-        _named("Campaign ", campaign).alias("campaign_name"),
-        _ad_group_id().alias("ad_group_id"),
-        _named("AdGroup ", F.col("l_linenumber") % 3).alias("ad_group_name"),
-        F.when(F.col("l_partkey") % 97 == 0, F.lit(""))
-        .otherwise(F.col("p_name"))
-        .alias("search_term"),
-        F.when(returned == "A", "ADDED")
-        .when(returned == "N", "NONE")
-        .otherwise("EXCLUDED")
-        .alias("search_term_status"),
-        F.when(F.col("p_type") != "ECONOMY", F.col("p_type")).alias("matched_keyword_text"),
-        _match_type("").alias("matched_keyword_match_type"),
-        (F.col("l_quantity") * 20).cast("bigint").alias("impressions"),
-        F.col("l_quantity").cast("bigint").alias("clicks"),
-        _spend().alias("spend"),
-        F.when(
-            (returned == "A") & (F.ascii("p_name") >= 109),
-            F.col("l_linenumber").cast("double"),
-        )
-        .otherwise(F.lit(0.0))
-        .alias("conversions"),
-        F.when(returned == "A", _value()).alias("conversion_value"),
-        _day().alias("date"),
-        F.col("o_orderdate").alias("_extracted_at"),
-        F.col("l_orderkey").alias("_seq"),
+    rows = order_lines(spark, sf_dir).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return rows.selectExpr(
+        *_texts(
+            _LINE_TEXTS
+            | {
+                "search_term": "if(l_partkey % 97 = 0, '', p_name)",
+                "search_term_status": """CASE l_returnflag WHEN 'A' THEN 'ADDED'
+                    WHEN 'N' THEN 'NONE' ELSE 'EXCLUDED' END""",
+                "matched_keyword_text": "nullif(p_type, 'ECONOMY')",
+                "matched_keyword_match_type": """CASE l_partkey % 3 WHEN 0 THEN 'EXACT'
+                    WHEN 1 THEN 'PHRASE' ELSE '' END""",
+            }
+        ),
+        *_LINE_FIGURES,
+        "CAST(l_quantity AS BIGINT) AS clicks",
+        """if(l_returnflag = 'A' AND ascii(p_name) >= 109, CAST(l_linenumber AS DOUBLE), 0D)
+           AS conversions""",
+        f"if(l_returnflag = 'A', {_ORDER_VALUE}, NULL) AS conversion_value",
     )
 
 
@@ -156,42 +122,38 @@ def search_term_ties() -> list[Column]:
     ]
 
 
-# Action lists of the derived insights.
-CLICK_ACTIONS = (
-    '[{"action_type":"link_click","value":"9"},{"action_type":"lead","value":"2"}]'
-)
+# Action lists of the derived insights. `{}` is a slot.
+CLICK_ACTIONS = '[{"action_type":"link_click","value":"9"},{"action_type":"lead","value":"2"}]'
 PURCHASE_ACTIONS = (
-    '[{{"action_type":"purchase","value":"{}"}},{{"action_type":"post_engagement","value":"3"}},'
-    '{{"value":"8"}},{{"action_type":"lead"}}]'
+    '[{"action_type":"purchase","value":"{}"},{"action_type":"post_engagement","value":"3"},'
+    '{"value":"8"},{"action_type":"lead"}]'
 )
 
 
 def meta_ads_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user, event = F.col("user_id"), F.col("event_id")
-    before, after = PURCHASE_ACTIONS.format("|").split("|")
-    kind = F.col("event_type")
-    actions = (
-        F.when(kind == "signup", F.lit(""))
-        .when(kind == "view", F.lit("[]"))
-        .when(kind == "click", F.lit(CLICK_ACTIONS))
-        .when(kind != "error", F.concat(F.lit(before), _text(event % 5), F.lit(after)))
-    )
-    return table(spark, sf_dir, "events").select(
-        _text(user % 4).alias("account_id"),
-        _named("Account ", user % 4).alias("account_name"),
-        _text(user % 12).alias("campaign_id"),
-        _named("Meta ", user % 12).alias("campaign_name"),
-        _text(user).alias("ad_id"),
-        _named("Ad ", user).alias("ad_name"),
-        (event % 500).alias("impressions"),
-        F.when(event % 17 != 0, event % 40).alias("clicks"),
-        F.col("value").alias("spend"),
-        F.col("ts").cast("date").alias("date_start"),
-        actions.alias("actions"),
-        F.when(event % 2 == 0, "mobile").otherwise("desktop").alias("device_platform"),
-        kind.alias("publisher_platform"),
-        F.col("ts").alias("_extracted_at"),
-        event.alias("_seq"),
+    before, after = PURCHASE_ACTIONS.split("{}")
+    return table(spark, sf_dir, "events").selectExpr(
+        *_texts(
+            {
+                "account_id": "user_id % 4",
+                "account_name": "concat('Account ', user_id % 4)",
+                "campaign_id": "user_id % 12",
+                "campaign_name": "concat('Meta ', user_id % 12)",
+                "ad_id": "user_id",
+                "ad_name": "concat('Ad ', user_id)",
+                "device_platform": "if(event_id % 2 = 0, 'mobile', 'desktop')",
+                "publisher_platform": "event_type",
+                "actions": f"""CASE event_type WHEN 'error' THEN NULL WHEN 'signup' THEN ''
+                    WHEN 'view' THEN '[]' WHEN 'click' THEN '{CLICK_ACTIONS}'
+                    ELSE concat('{before}', event_id % 5, '{after}') END""",
+            }
+        ),
+        "event_id % 500 AS impressions",
+        "if(event_id % 17 = 0, NULL, event_id % 40) AS clicks",
+        "value AS spend",
+        "CAST(ts AS DATE) AS date_start",
+        "ts AS _extracted_at",
+        "event_id AS _seq",
     )
 
 
@@ -200,38 +162,34 @@ def newest_seq() -> list[Column]:
 
 
 def google_negatives_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part, size = F.col("p_partkey"), F.col("p_size")
-    whole_campaign = size % 2 == 0
-    last_day = date(2024, 1, 30)
-    return table(spark, sf_dir, "part").select(
-        _text(part % 4).alias("customer_id"),
-        _text(part % 3).alias("campaign_id"),
-        _named("Campaign ", part % 3).alias("campaign_name"),
-        F.when(whole_campaign, F.lit("")).otherwise(_text(size % 3)).alias("ad_group_id"),
-        F.when(whole_campaign, F.lit(""))
-        .otherwise(_named("AdGroup ", size % 3))
-        .alias("ad_group_name"),
-        _text(part % 50).alias("criterion_id"),
-        F.when(part % 50 == 13, F.lit("")).otherwise(F.col("p_name")).alias("criterion_text"),
-        F.lit("BROAD").alias("match_type"),
-        F.when(whole_campaign, "campaign").otherwise("ad_group").alias("scope"),
-        F.when(part % 7 < 3, F.lit(date(2024, 1, 29)))
-        .otherwise(F.lit(last_day))
-        .alias("snapshot_date"),
-        F.lit(last_day).cast("timestamp_ntz").alias("_extracted_at"),
-        part.alias("_seq"),
+    return table(spark, sf_dir, "part").selectExpr(
+        *_texts(
+            {
+                "customer_id": "p_partkey % 4",
+                "campaign_id": "p_partkey % 3",
+                "campaign_name": "concat('Campaign ', p_partkey % 3)",
+                "ad_group_id": "if(p_size % 2 = 0, '', CAST(p_size % 3 AS STRING))",
+                "ad_group_name": "if(p_size % 2 = 0, '', concat('AdGroup ', p_size % 3))",
+                "criterion_id": "p_partkey % 50",
+                "criterion_text": "if(p_partkey % 50 = 13, '', p_name)",
+                "match_type": "'BROAD'",
+                "scope": "if(p_size % 2 = 0, 'campaign', 'ad_group')",
+            }
+        ),
+        "if(p_partkey % 7 < 3, DATE '2024-01-29', DATE '2024-01-30') AS snapshot_date",
+        "TIMESTAMP_NTZ '2024-01-30 00:00:00' AS _extracted_at",
+        "p_partkey AS _seq",
     )
 
 
 def client_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One budget per account and platform; every customer falls into one of them."""
-    slot = F.col("slot")
-    amount = F.when(slot < 6, 150_000_000 * (slot + 1)).otherwise(60_000 + (slot - 6) * 60_000)
-    customers = table(spark, sf_dir, "customer")
-    return customers.select((F.col("c_custkey") % 12).alias("slot")).distinct().select(
-        _text(slot % 6).alias("account_id"),
-        F.when(slot < 6, "google_ads").otherwise("meta_ads").alias("platform"),
-        amount.cast("decimal(14,2)").alias("monthly_budget"),
-        F.lit("BRL").alias("currency"),
-        (slot != 5).alias("active"),
+    slots = table(spark, sf_dir, "customer").selectExpr("c_custkey % 12 AS slot").distinct()
+    return slots.selectExpr(
+        "CAST(slot % 6 AS STRING) AS account_id",
+        "if(slot < 6, 'google_ads', 'meta_ads') AS platform",
+        """CAST(if(slot < 6, 150000000 * (slot + 1), 60000 + (slot - 6) * 60000)
+           AS DECIMAL(14,2)) AS monthly_budget""",
+        "'BRL' AS currency",
+        "slot <> 5 AS active",
     )
