@@ -11,6 +11,7 @@ from adtide.functions.dates import days_in_month, month_end, month_start, week_s
 from adtide.functions.numeric import exact_avg, exact_round, exact_sum
 from adtide.functions.text import normalize_account_id
 from adtide.operators.filters import active_only, having_positive
+from adtide.operators.grouping import totals_by
 from adtide.operators.kpis import add_kpis, table_roas
 from adtide.operators.latest import latest_snapshot
 from adtide.schemas import META
@@ -51,15 +52,17 @@ def weekly_performance(unified: DataFrame) -> DataFrame:
 
 def gold_keywords(silver: DataFrame) -> DataFrame:
     """Keyword KPIs per day. The quality score is an unweighted mean of daily means."""
-    totals = silver.groupBy(
-        "account_id",
-        "account_name",
-        "campaign_name",
-        "ad_group_name",
-        "keyword_text",
-        "match_type",
-        "date",
-    ).agg(
+    totals = totals_by(
+        silver,
+        [
+            "account_id",
+            "account_name",
+            "campaign_name",
+            "ad_group_name",
+            "keyword_text",
+            "match_type",
+            "date",
+        ],
         *_totals(),
         exact_avg("quality_score").alias("quality_score"),
         F.max("campaign_status").alias("campaign_status"),

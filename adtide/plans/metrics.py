@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from adtide.functions.dates import WINDOWS, Period
 from adtide.functions.numeric import exact_sum
 from adtide.operators.filters import for_account, for_platform, in_range
+from adtide.operators.grouping import totals_by
 
 DAILY_COLUMNS = (
     "account_id",
@@ -45,9 +46,9 @@ def daily_window(
 def keywords_range(keywords: DataFrame, period: Period, account: str | None = None) -> DataFrame:
     """Keyword totals of a range, busiest keyword of each account first."""
     return (
-        for_account(in_range(keywords, period), account)
-        .groupBy("account_id", "keyword_text", "ad_group_name", "campaign_name")
-        .agg(
+        totals_by(
+            for_account(in_range(keywords, period), account),
+            ["account_id", "keyword_text", "ad_group_name", "campaign_name"],
             F.max("account_name").alias("account_name"),
             F.max("match_type").alias("match_type"),
             F.sum("impressions").alias("impressions"),

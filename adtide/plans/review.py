@@ -22,6 +22,7 @@ from adtide.operators.filters import (
     roas_above,
     zero_conversions,
 )
+from adtide.operators.grouping import totals_by
 from adtide.operators.kpis import period_kpis, row_roas
 from adtide.operators.ranking import first_platform, top_per_group
 from adtide.plans.gold import budget_pacing
@@ -49,6 +50,31 @@ class GoldTables(NamedTuple):
         return GoldTables(*[for_account(df, account) for df in self])
 
 
+def review_inputs(gold: GoldTables, period: Period) -> GoldTables:
+    """The days and columns a review reads, to be stored before it reads them.
+
+    Days are part of every grouping and version key below, so the filter goes
+    through them to the raw tables.
+    """
+    figures = ["impressions", "clicks", "spend", "conversions", "conversion_value"]
+    names = ["account_id", "campaign_name", "ad_group_name", "date"]
+    return gold._replace(
+        daily=gold.daily.select("account_id", "account_name", "platform", "date", *figures),
+        keywords=in_range(gold.keywords, period).select(
+            *names, "keyword_text", "match_type", "campaign_status", "quality_score", *figures
+        ),
+        search_terms=in_range(gold.search_terms, period).select(
+            *names,
+            "search_term",
+            "search_term_status",
+            "matched_keyword_text",
+            "matched_keyword_match_type",
+            *figures,
+        ),
+        negatives=gold.negatives.select("account_id", "campaign_name"),
+    )
+
+
 def _account_totals(daily: DataFrame, period: Period) -> DataFrame:
     """Identification from all days and totals from the period, in one pass."""
     inside = F.col("date").between(F.lit(period.start), F.lit(period.end))
@@ -96,17 +122,15 @@ def account_performance(daily: DataFrame, period: Period, account: str | None =
 
 
 def campaign_totals(keywords: DataFrame, period: Period) -> DataFrame:
-    return (
-        in_range(keywords, period)
-        .groupBy("account_id", "campaign_name")
-        .agg(
-            F.max("campaign_status").alias("status"),
-            exact_sum("spend").alias("spend"),
-            exact_sum("conversions").alias("conversions"),
-            exact_sum("conversion_value").alias("conversion_value"),
-        )
-        .withColumn("roas", row_roas())
+    totals = totals_by(
+        in_range(keywords, period),
+        ["account_id", "campaign_name"],
+        F.max("campaign_status").alias("status"),
+        exact_sum("spend").alias("spend"),
+        exact_sum("conversions").alias("conversions"),
+        exact_sum("conversion_value").alias("conversion_value"),
     )
+    return totals.withColumn("roas", row_roas())
 
 
 def campaign_rows(keywords: DataFrame, period: Period, account: str | None = None) -> DataFrame:
@@ -119,20 +143,18 @@ def top_keywords(
     keywords: DataFrame, period: Period, k: int = TOP_KEYWORDS, account: str | None = None
 ) -> DataFrame:
     """Dearest keyword texts of each account, added up over campaigns."""
-    totals = (
-        in_range(for_account(keywords, account), period)
-        .groupBy("account_id", "keyword_text")
-        .agg(
-            F.max("match_type").alias("match_type"),
-            F.max("campaign_name").alias("campaign_name"),
-            F.max("ad_group_name").alias("ad_group_name"),
-            F.sum("impressions").alias("impressions"),
-            F.sum("clicks").alias("clicks"),
-            exact_sum("spend").alias("spend"),
-            exact_sum("conversions").alias("conversions"),
-            exact_sum("conversion_value").alias("conversion_value"),
-            exact_avg("quality_score").alias("quality_score"),
-        )
+    totals = totals_by(
+        in_range(for_account(keywords, account), period),
+        ["account_id", "keyword_text"],
+        F.max("match_type").alias("match_type"),
+        F.max("campaign_name").alias("campaign_name"),
+        F.max("ad_group_name").alias("ad_group_name"),
+        F.sum("impressions").alias("impressions"),
+        F.sum("clicks").alias("clicks"),
+        exact_sum("spend").alias("spend"),
+        exact_sum("conversions").alias("conversions"),
+        exact_sum("conversion_value").alias("conversion_value"),
+        exact_avg("quality_score").alias("quality_score"),
     )
     ranked = top_per_group(totals, ["account_id"], [F.desc("spend"), F.asc("keyword_text")], k)
     return ranked.withColumn("roas", row_roas())
@@ -141,21 +163,19 @@ def top_keywords(
 def search_term_totals(
     terms: DataFrame, period: Period, account: str | None = None
 ) -> DataFrame:
-    return (
-        in_range(for_account(terms, account), period)
-        .groupBy("account_id", "search_term")
-        .agg(
-            F.max("campaign_name").alias("campaign_name"),
-            F.max("ad_group_name").alias("ad_group_name"),
-            F.max("matched_keyword_text").alias("matched_keyword_text"),
-            F.max("matched_keyword_match_type").alias("matched_keyword_match_type"),
-            F.max("search_term_status").alias("status"),
-            F.sum("impressions").alias("impressions"),
-            F.sum("clicks").alias("clicks"),
-            exact_sum("spend").alias("spend"),
-            exact_sum("conversions").alias("conversions"),
-            exact_sum("conversion_value").alias("conversion_value"),
-        )
+    return totals_by(
+        in_range(for_account(terms, account), period),
+        ["account_id", "search_term"],
+        F.max("campaign_name").alias("campaign_name"),
+        F.max("ad_group_name").alias("ad_group_name"),
+        F.max("matched_keyword_text").alias("matched_keyword_text"),
+        F.max("matched_keyword_match_type").alias("matched_keyword_match_type"),
+        F.max("search_term_status").alias("status"),
+        F.sum("impressions").alias("impressions"),
+        F.sum("clicks").alias("clicks"),
+        exact_sum("spend").alias("spend"),
+        exact_sum("conversions").alias("conversions"),
+        exact_sum("conversion_value").alias("conversion_value"),
     )
 
 

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from adtide.functions.actions import ParseMode, action_conversions
 from adtide.functions.numeric import exact_avg, exact_sum
 from adtide.operators.filters import non_empty
+from adtide.operators.grouping import totals_by
 from adtide.operators.latest import latest_by_key
 from adtide.schemas import GOOGLE, META
 
 Ties = Sequence[Column]
 
+ACCOUNT_NAMES = {"customer_id": "account_id", "customer_name": "account_name"}
+
 
 def _zero(name: str, kind: str) -> Column:
     return F.expr(f"CAST(coalesce({name}, 0) AS {kind})").alias(name)
@@ -40,55 +43,47 @@ def silver_google_ads(
     if include_ad_group:
         keys.append("ad_group_id")
     latest = latest_by_key(bronze, keys, ties=ties or [F.desc("ad_group_id")])
-    none = F.lit(None).cast("string")
-    return (
-        latest.groupBy(
-            F.col("customer_id").alias("account_id"),
-            F.col("customer_name").alias("account_name"),
-            "campaign_id",
-            "campaign_name",
-            "device",
-            "date",
-        )
-        .agg(
-            *_counts("impressions", "clicks"),
-            *_amounts(
-                "spend",
-                "conversions",
-                "conversion_value",
-                "view_through_conversions",
-                "all_conversions",
-            ),
-            exact_avg("search_impression_share").alias("search_impression_share"),
-            F.avg("quality_score").alias("quality_score"),
-            F.max("campaign_status").alias("campaign_status"),
-            F.max("ad_group_status").alias("ad_group_status"),
-            F.max("_extracted_at").alias("_extracted_at"),
-        )
-        .select(
-            "account_id",
-            "account_name",
-            "campaign_id",
-            "campaign_name",
-            none.alias("ad_id"),
-            none.alias("ad_name"),
-            "device",
-            "impressions",
-            "clicks",
+    totals = totals_by(
+        latest.withColumnsRenamed(ACCOUNT_NAMES),
+        ["account_id", "account_name", "campaign_id", "campaign_name", "device", "date"],
+        *_counts("impressions", "clicks"),
+        *_amounts(
             "spend",
-            "date",
             "conversions",
             "conversion_value",
             "view_through_conversions",
             "all_conversions",
-            "search_impression_share",
-            "quality_score",
-            "campaign_status",
-            "ad_group_status",
-            none.alias("actions_raw"),
-            "_extracted_at",
-            F.lit(GOOGLE).alias("platform"),
-        )
+        ),
+        exact_avg("search_impression_share").alias("search_impression_share"),
+        F.avg("quality_score").alias("quality_score"),
+        F.max("campaign_status").alias("campaign_status"),
+        F.max("ad_group_status").alias("ad_group_status"),
+        F.max("_extracted_at").alias("_extracted_at"),
+    )
+    none = F.lit(None).cast("string")
+    return totals.select(
+        "account_id",
+        "account_name",
+        "campaign_id",
+        "campaign_name",
+        none.alias("ad_id"),
+        none.alias("ad_name"),
+        "device",
+        "impressions",
+        "clicks",
+        "spend",
+        "date",
+        "conversions",
+        "conversion_value",
+        "view_through_conversions",
+        "all_conversions",
+        "search_impression_share",
+        "quality_score",
+        "campaign_status",
+        "ad_group_status",
+        none.alias("actions_raw"),
+        "_extracted_at",
+        F.lit(GOOGLE).alias("platform"),
     )
 
 
@@ -96,18 +91,20 @@ def silver_keywords(bronze: DataFrame, ties: Ties = ()) -> DataFrame:
     """Keyword-level figures per day, devices added together."""
     keys = ["customer_id", "campaign_id", "ad_group_id", "keyword_id", "device", "date"]
     latest = latest_by_key(non_empty(bronze, "keyword_text"), keys, ties=ties)
-    return latest.groupBy(
-        F.col("customer_id").alias("account_id"),
-        F.col("customer_name").alias("account_name"),
-        "campaign_id",
-        "campaign_name",
-        "ad_group_id",
-        "ad_group_name",
-        "keyword_id",
-        "keyword_text",
-        "match_type",
-        "date",
-    ).agg(
+    return totals_by(
+        latest.withColumnsRenamed(ACCOUNT_NAMES),
+        [
+            "account_id",
+            "account_name",
+            "campaign_id",
+            "campaign_name",
+            "ad_group_id",
+            "ad_group_name",
+            "keyword_id",
+            "keyword_text",
+            "match_type",
+            "date",
+        ],
         *_counts("impressions", "clicks"),
         *_amounts("spend", "conversions", "conversion_value"),
         F.avg("quality_score").alias("quality_score"),

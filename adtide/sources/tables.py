@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,8 @@ from pyspark.sql.types import StructType
 from adtide.functions.dates import Period
 from adtide.session import new_workspace
 
+CONCURRENT_WRITES = 4
+
 LAYERS = ("bronze", "silver", "gold", "ops", "users")
 
 # Fixed value: account id of the template row of a seed file.
@@ -125,6 +130,15 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(tasks: Sequence[Callable[[], DataFrame]]) -> list[DataFrame]:
+    """Results of independent writes, whose Spark jobs share the cluster.
+
+    The driver only waits here; small tables do not leave executors idle in turn.
+    """
+    with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
+        return list(pool.map(lambda task: task(), tasks))
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns of ``schema`` in its order and types; missing ones are typed NULLs."""
     present = set(df.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from adtide.plans.review import GoldTables
 from adtide.schemas import ACCOUNT_KEYS, GOOGLE, GOOGLE_ADS_RAW, META, PLATFORMS
 from adtide.session import new_workspace
 from adtide.sources import reports, testdata
-from adtide.sources.tables import materialize, read_table, staged
+from adtide.sources.tables import materialize, read_table, side_by_side, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,12 +89,11 @@ class Models:
         return gold.budget_pacing(self.budget(), self.daily(), AS_OF, **options)
 
     def gold_tables(self) -> GoldTables:
-        """Gold tables as stored ones: a review reads each of them several times."""
         return GoldTables(
-            daily=staged(self.daily(), "daily"),
-            keywords=staged(self.gold_keywords(), "keywords"),
-            search_terms=staged(self.gold_search_terms(), "search-terms"),
-            negatives=staged(self.gold_negatives(), "negatives"),
+            daily=self.daily(),
+            keywords=self.gold_keywords(),
+            search_terms=self.gold_search_terms(),
+            negatives=self.gold_negatives(),
             budget=self.budget(),
         )
 
@@ -103,17 +103,28 @@ class Models:
         return orders.select((F.col("o_custkey") % 4).cast("string").alias("account_id")).distinct()
 
 
+def _stored(gold_tables: GoldTables) -> GoldTables:
+    """Gold tables as written ones, as their readers use each of them several times."""
+    names = [name for name in GoldTables._fields if name != "budget"]
+    writes = [partial(staged, getattr(gold_tables, name), name) for name in names]
+    return gold_tables._replace(**dict(zip(names, side_by_side(writes), strict=True)))
+
+
+def _review_inputs(m: Models) -> GoldTables:
+    return _stored(review.review_inputs(m.gold_tables(), PERIOD))
+
+
 def _signals(m: Models) -> DataFrame:
-    return review.signals(m.gold_tables(), PERIOD, AS_OF)
+    return review.signals(_review_inputs(m), PERIOD, AS_OF)
 
 
 def _review(m: Models) -> DataFrame:
-    return review.review_summary(m.gold_tables(), PERIOD, AS_OF)
+    return review.review_summary(_review_inputs(m), PERIOD, AS_OF)
 
 
 def _document_entries(m: Models) -> DataFrame:
     """Every list entry of the nested review documents, one per row."""
-    documents = review.account_review(m.gold_tables(), PERIOD, AS_OF)
+    documents = review.account_review(_review_inputs(m), PERIOD, AS_OF)
 
     def entries(section: str, name: Column, figure: Callable[[Column], Column], key: str) -> Column:
         return F.transform(
@@ -472,7 +483,7 @@ def _dq_expression(m: Models) -> DataFrame:
 
 
 def _dq_gold(m: Models) -> DataFrame:
-    tables = m.gold_tables()
+    tables = _stored(m.gold_tables())
     return checks.check_models(
         {
             "gold.daily_performance": tables.daily,
