@@ -35,14 +35,20 @@ def bronze_dedup(df: DataFrame, table: BronzeTable, ties: Sequence[Column] = ())
 
 
 def latest_snapshot(
-    df: DataFrame, day_col: str = "snapshot_date", per_account: bool = False
+    df: DataFrame,
+    day_col: str = "snapshot_date",
+    per_account: bool = False,
+    days_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the newest snapshot, over all accounts or of each account.
 
     The global day is a scalar subquery, so it reaches the scan as a filter and
-    older snapshots are neither de-duplicated nor shuffled.
+    older snapshots are neither de-duplicated nor shuffled. ``days_from`` is a
+    cheaper table with the same days (and accounts), such as the rows before
+    their de-duplication.
     """
+    days = df if days_from is None else days_from
     if not per_account:
-        return df.where(F.col(day_col) == df.agg(F.max(day_col)).scalar())
-    newest = df.groupBy("account_id").agg(F.max(day_col).alias(day_col))
+        return df.where(F.col(day_col) == days.agg(F.max(day_col)).scalar())
+    newest = days.groupBy("account_id").agg(F.max(day_col).alias(day_col))
     return df.join(newest, ["account_id", day_col])

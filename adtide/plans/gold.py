@@ -88,13 +88,15 @@ def gold_search_terms(silver: DataFrame) -> DataFrame:
     return having_positive(totals).withColumn("roas", table_roas())
 
 
-def gold_negatives(silver: DataFrame, per_account: bool = False) -> DataFrame:
+def gold_negatives(
+    silver: DataFrame, per_account: bool = False, days_from: DataFrame | None = None
+) -> DataFrame:
     """Negative keywords of the newest snapshot.
 
     By default one day counts for everybody, so an account missing from the newest
     snapshot has no negatives; ``per_account`` takes each account's own newest day.
     """
-    return latest_snapshot(silver, per_account=per_account).select(
+    return latest_snapshot(silver, per_account=per_account, days_from=days_from).select(
         "account_id",
         "campaign_id",
         "campaign_name",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import date, timedelta
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from adtide.functions.dates import Period
 from adtide.plans import gold, silver
 from adtide.plans.review import GoldTables
 from adtide.schemas import BRONZE, CLIENT_BUDGET
-from adtide.sources.tables import materialize, read_table, replace_days
+from adtide.sources.tables import materialize, read_table, replace_days, side_by_side
 
 
 class Model(NamedTuple):
@@ -55,6 +56,20 @@ MODELS: dict[str, Model] = {
 }
 
 
+# Tables of one wave read only earlier waves, so they are written side by side.
+WAVES = (
+    (
+        "google_ads",
+        "google_ads_keywords_dedup",
+        "google_search_terms_dedup",
+        "google_negatives_dedup",
+        "meta_ads",
+    ),
+    ("unified_campaigns", "google_ads_keywords", "google_search_terms", "google_negatives"),
+    ("daily_performance", "weekly_performance"),
+)
+
+
 def lazy_models(
     bronze: Mapping[str, DataFrame], ties: Mapping[str, list[Column]] | None = None
 ) -> dict[str, DataFrame]:
@@ -82,14 +97,18 @@ def run_transform(spark: SparkSession, root: str, days: Period | None = None) ->
     to whole ones, and the small table of newest negatives is always rebuilt. The
     result is the same as a full rebuild as long as no other day changed.
     """
-    for name, model in MODELS.items():
-        frames = [_input(spark, root, source, name, days) for source in model.inputs]
-        rows = model.build(*frames)
-        if days is None or model.partition is None:
-            materialize(rows, root, model.layer, name, model.partition)
-        else:
-            replaced = _whole_weeks(days) if name == "weekly_performance" else days
-            replace_days(rows, root, model.layer, name, model.partition, replaced)
+    for wave in WAVES:
+        side_by_side([partial(_rebuild, spark, root, name, days) for name in wave])
+
+
+def _rebuild(spark: SparkSession, root: str, name: str, days: Period | None) -> None:
+    model = MODELS[name]
+    rows = model.build(*[_input(spark, root, source, name, days) for source in model.inputs])
+    if days is None or model.partition is None:
+        materialize(rows, root, model.layer, name, model.partition)
+    else:
+        replaced = _whole_weeks(days) if name == "weekly_performance" else days
+        replace_days(rows, root, model.layer, name, model.partition, replaced)
 
 
 def _input(

@@ -130,7 +130,7 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def side_by_side(tasks: Sequence[Callable[[], DataFrame]]) -> list[DataFrame]:
+def side_by_side(tasks: Sequence[Callable[[], DataFrame | None]]) -> list:
     """Results of independent writes, whose Spark jobs share the cluster.
 
     The driver only waits here; small tables do not leave executors idle in turn.

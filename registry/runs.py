@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from adtide.functions.dates import Period
 from adtide.functions.text import key_hash, normalize_account_id
 from adtide.operators import quality, upsert
+from adtide.operators.filters import non_empty
 from adtide.operators.latest import bronze_dedup
 from adtide.plans import access, checks, gold, metrics, review, silver
 from adtide.plans.review import GoldTables
@@ -80,7 +81,9 @@ class Models:
         return gold.gold_search_terms(self.search_terms())
 
     def gold_negatives(self, per_account: bool = False) -> DataFrame:
-        return gold.gold_negatives(self.negatives(), per_account)
+        raw = self._raw(testdata.google_negatives_raw)
+        days = non_empty(raw.withColumnsRenamed(silver.ACCOUNT_NAMES), "criterion_text")
+        return gold.gold_negatives(self.negatives(), per_account, days_from=days)
 
     def budget(self) -> DataFrame:
         return self._raw(testdata.client_budget)
