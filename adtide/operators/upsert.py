@@ -96,12 +96,14 @@ def merge_upsert(
     on_duplicate: OnDuplicate = "error",
     ties: Sequence[Column] = (),
     tie_columns: Sequence[str] = (),
+    is_staged: bool = False,
 ) -> int:
     """Upsert a batch into a stored raw table and return the number of its rows.
 
     Running it twice leaves the same table. One writer at a time per day; a load
     that dies while publishing is repaired by running it again. ``tie_columns`` are
-    columns outside the table that ``ties`` refer to.
+    columns outside the table that ``ties`` refer to. ``is_staged`` says that the batch
+    reads from a written table already.
     """
     text_keys = [key for key in table.keys if table.schema[key].dataType.typeName() == "string"]
     batch = blank_nulls(batch.select(*_known(batch, table), *tie_columns), text_keys)
@@ -109,8 +111,10 @@ def merge_upsert(
         batch = latest_by_key(batch, table.keys, ties=ties)
     elif on_duplicate != "error":
         raise ValueError(f"unknown duplicate handling {on_duplicate!r}")
-    # written once: checking, matching and inserting then read columns, not reports
-    batch = staged(batch.select(*_known(batch, table)), f"batch-{table.name}")
+    batch = batch.select(*_known(batch, table))
+    if not is_staged or on_duplicate == "latest":
+        # written once: checking, matching and inserting then read columns, not reports
+        batch = staged(batch, f"batch-{table.name}")
     profile = profile_batch(batch, table.keys, table.partition)
     if profile.most_copies > 1:
         raise DuplicateKeys(f"rows of one batch share a key of {', '.join(table.keys)}")
@@ -147,11 +151,12 @@ def load_bronze(
     source: str,
     upsert: bool = True,
     on_duplicate: OnDuplicate = "error",
+    is_staged: bool = False,
 ) -> int:
     """Stamp a batch with its load time and source and store it."""
     batch = stamp_load(rows, at, source)
     if upsert:
-        return merge_upsert(spark, root, table, batch, on_duplicate)
+        return merge_upsert(spark, root, table, batch, on_duplicate, is_staged=is_staged)
     return append_rows(root, table, batch)
 
 
@@ -221,7 +226,9 @@ def load_results(plan: DataFrame, loaded: DataFrame) -> DataFrame:
 
 def missing_partitions(plan: DataFrame, loaded: DataFrame) -> DataFrame:
     """Planned units without any row."""
-    return plan.join(loaded.select("date", "account_id"), ["date", "account_id"], "left_anti")
+    # reduced first: a unit with very many rows is one row per task in the join
+    units = loaded.select("date", "account_id").distinct()
+    return plan.join(units, ["date", "account_id"], "left_anti")
 
 
 def load_report(results: DataFrame, source: str) -> DataFrame:
@@ -240,14 +247,16 @@ def load_report(results: DataFrame, source: str) -> DataFrame:
         .limit(SAMPLE_SIZE)
         .agg(F.array_sort(F.collect_list(F.struct("date", "account_id"))).alias("units"))
     )
-    unit = F.transform("units", lambda u: F.concat(u["date"].cast("string"), F.lit("/"), u["account_id"]))
-    slots = [F.lit(source), F.col("failed"), F.col("planned"), F.array_join(unit, ", ")]
+    unit = F.transform(
+        "units", lambda u: F.concat(u["date"].cast("string"), F.lit("/"), u["account_id"])
+    )
+    sample = first.select(F.array_join(unit, ", ")).scalar()
+    slots = [F.lit(source), F.col("failed"), F.col("planned"), sample]
     pieces = INCOMPLETE_TEXT.split("{}")
     text = [F.lit(pieces[0])]
     for slot, piece in zip(slots, pieces[1:], strict=True):
         text += [slot.cast("string"), F.lit(piece)]
-    # both sides are single rows
-    return totals.join(first, F.lit(True)).select(
+    return totals.select(
         F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"),
         "failed",
         "planned",
@@ -274,7 +283,9 @@ def backfill(
     inside = F.col(table.partition).between(F.lit(period.start), F.lit(period.end))
     names = accounts.select(F.col("account_id").alias(account_col))
     landed = rows.where(inside).join(names, account_col, "left_semi")
-    load_bronze(spark, root, table, landed, at, source)
+    # stored and reported from one written copy; the reports are parsed once
+    landed = staged(landed, f"landed-{table.name}")
+    load_bronze(spark, root, table, landed, at, source, is_staged=True)
     units = landed.select(
         F.col(table.partition).alias("date"), F.col(account_col).alias("account_id")
     )

@@ -41,5 +41,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_workspace(spark: SparkSession, purpose: str) -> str:
-    """A fresh, unused folder name below the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh, unused folder name below the shared folder, grouped by application.
+
+    The folder of an application can be deleted once it has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/{application}/{purpose}-{uuid.uuid4().hex}"

@@ -195,7 +195,7 @@ def _merged_some_columns(m: Models) -> DataFrame:
 
 
 def _merge_table(m: Models) -> DataFrame:
-    """Upsert into a stored table, run twice, and read back."""
+    """Upsert into a stored, day-partitioned table and read it back."""
     root = new_workspace(m.spark, "merge")
     target, batch = _late(m.google_raw())
     columns = GOOGLE_ADS_RAW.schema.fieldNames()
