@@ -18,10 +18,12 @@ from adtide.functions.dates import Period
 from adtide.functions.text import blank_nulls
 from adtide.operators.latest import latest_by_key
 from adtide.schemas import BUDGET_KEYS, CLIENT_BUDGET, PLATFORMS, BronzeTable
+from adtide.session import new_workspace
 from adtide.sources.reports import stamp_load
 from adtide.sources.tables import (
     balanced,
     conform,
+    delete_path,
     exists,
     materialize,
     read_table,
@@ -100,8 +102,8 @@ def merge_upsert(
 ) -> int:
     """Upsert a batch into a stored raw table and return the number of its rows.
 
-    Running it twice leaves the same table. One writer at a time per day; a load
-    that dies while publishing is repaired by running it again. ``tie_columns`` are
+    Running it twice leaves the same table. One writer at a time per table; a load
+    that died while replacing days is finished by the next one. ``tie_columns`` are
     columns outside the table that ``ties`` refer to. ``is_staged`` says that the batch
     reads from a written table already.
     """
@@ -120,14 +122,43 @@ def merge_upsert(
         raise DuplicateKeys(f"rows of one batch share a key of {', '.join(table.keys)}")
     if not profile.rows:
         return 0
-    rows = batch
-    if exists(spark, table_path(root, "bronze", table.name)):
-        stored = read_table(spark, root, "bronze", table.name, table.schema)
-        touched = stored.where(F.col(table.partition).isin(profile.days))
-        rows = merged(touched, batch, table.keys)
+    if not exists(spark, table_path(root, "bronze", table.name)):
+        _publish(root, table, batch)
+        return profile.rows
+    finish_publishing(spark, root, table)
+    stored = read_table(spark, root, "bronze", table.name, table.schema)
+    touched = stored.where(F.col(table.partition).isin(profile.days))
+    # the merged days exist twice until they are in place, so none can be lost
+    path = new_workspace(spark, f"merged-{table.name}")
+    conform(merged(touched, batch, table.keys), table.schema).write.parquet(path)
+    note = spark.range(1).select(F.lit(path).alias("value"))
+    note.write.mode("overwrite").text(_note_path(root, table))
+    finish_publishing(spark, root, table)
+    return profile.rows
+
+
+def _publish(root: str, table: BronzeTable, rows: DataFrame) -> None:
     rows = conform(rows, table.schema)
     materialize(rows, root, "bronze", table.name, table.partition, only_touched=True)
-    return profile.rows
+
+
+def _note_path(root: str, table: BronzeTable) -> str:
+    return f"{root}/bronze/_publishing/{table.name}"
+
+
+def finish_publishing(spark: SparkSession, root: str, table: BronzeTable) -> None:
+    """Put noted merged days in place, those left by a driver that died included.
+
+    Replacing several folders is not one step for the file system. The note names
+    the written copy of the days being replaced; writing it again is harmless.
+    """
+    note = _note_path(root, table)
+    if not exists(spark, note):
+        return
+    paths = [row[0] for row in spark.read.text(note).take(1)]
+    for path in paths:
+        _publish(root, table, spark.read.schema(table.schema).parquet(path))
+    delete_path(spark, note)
 
 
 def _known(batch: DataFrame, table: BronzeTable) -> list[str]:

@@ -110,10 +110,11 @@ def replace_days(
     # both lists have at most one entry per calendar day
     for row in stored.collect():
         if row[0] not in kept:
-            _delete(spark, f"{path}/{partition_by}={row[0].isoformat()}")
+            delete_path(spark, f"{path}/{partition_by}={row[0].isoformat()}")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the storage the tables live on, if it is there."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     files.delete(hadoop, True)

@@ -13,7 +13,7 @@ from samples import DAY
 from adtide.functions.dates import Period
 from adtide.operators import upsert
 from adtide.schemas import CLIENT_BUDGET, GOOGLE_ADS_RAW, GOOGLE_SEARCH_TERMS_RAW
-from adtide.sources.tables import read_table
+from adtide.sources.tables import delete_path, read_table
 
 NEXT = date(2026, 4, 2)
 AT = datetime(2026, 4, 3, 5)
@@ -53,6 +53,24 @@ def test_columns_the_batch_lacks_keep_their_values(spark, root):
     assert got == {"1000": (5.0, 10, "EXACT"), "7": (20.0, None, None)}
 
 
+def test_a_load_that_died_while_replacing_days_loses_nothing(spark, root, monkeypatch):
+    both = samples.google(spark, {}, {"keyword_id": "2"})
+    upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, both)
+    folder = f"{root}/bronze/google_ads_raw/date={DAY}"
+
+    def die(*_):
+        delete_path(spark, folder)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(upsert, "_publish", die)
+        with pytest.raises(RuntimeError):
+            upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark, {"spend": 9.0}))
+    other = samples.google(spark, {"date": NEXT})
+    upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, other)
+    assert figures(stored(spark, root)) == [(DAY, "1000", 9.0), (DAY, "2", 20.0), (NEXT, "1000", 20.0)]
+
+
 def test_an_empty_batch_changes_nothing(spark, root):
     upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark))
     assert upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark).where("false")) == 0
