@@ -102,6 +102,12 @@ UNIQUE_KEYS = {
 }
 
 
+def checked_columns(name: str) -> list[str]:
+    """The columns the checks of a model read; the rest need not be computed."""
+    columns = [check.column for check in model_checks()[name]]
+    return list(dict.fromkeys([*columns, *UNIQUE_KEYS.get(name, ())]))
+
+
 def check_models(models: dict[str, DataFrame]) -> DataFrame:
     """Declared checks of the given models: one pass each, plus one per unique key."""
     declared = model_checks()

@@ -272,8 +272,11 @@ def pacing_for_review(pacing: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
-def _flagged_campaigns(gold: GoldTables, period: Period) -> DataFrame:
-    """Campaign rows with the two conditions the list rules look at."""
+def flagged_campaigns(gold: GoldTables, period: Period) -> DataFrame:
+    """Campaign rows of all accounts with the two conditions the list rules look at.
+
+    The review reads them several times; a caller may store them and pass them on.
+    """
     campaigns = campaign_totals(gold.keywords, period)
     covered = _covered_campaigns(gold.negatives).withColumn("covered", F.lit(True))
     named = F.coalesce(F.col("campaign_name") != "", F.lit(False))
@@ -373,10 +376,18 @@ def _pacing(gold: GoldTables, accounts: DataFrame, as_of: date, **options: bool)
     return pacing_for_review(budget_pacing(gold.budget, gold.daily, as_of, **options), accounts)
 
 
-def review_facts(gold: GoldTables, period: Period, as_of: date, **options: bool) -> DataFrame:
+def review_facts(
+    gold: GoldTables,
+    period: Period,
+    as_of: date,
+    campaigns: DataFrame | None = None,
+    **options: bool,
+) -> DataFrame:
     """One row per account with all that the signals need, and the bounded lists."""
     accounts = period_kpis(_account_totals(gold.daily, period))
-    campaigns = _campaign_facts(_flagged_campaigns(gold, period))
+    if campaigns is None:
+        campaigns = flagged_campaigns(gold, period)
+    campaign_facts = _campaign_facts(campaigns)
     keywords = (
         top_keywords(gold.keywords, period)
         .groupBy("account_id")
@@ -399,7 +410,7 @@ def review_facts(gold: GoldTables, period: Period, as_of: date, **options: bool)
     )
     facts = accounts
     for section in (
-        campaigns,
+        campaign_facts,
         keywords,
         wasted,
         winners,
@@ -426,9 +437,15 @@ def review_facts(gold: GoldTables, period: Period, as_of: date, **options: bool)
     return facts.withColumns(filled | {"wasted_spend": F.coalesce("wasted_spend", F.lit(0.0))})
 
 
-def signals(gold: GoldTables, period: Period, as_of: date, **options: bool) -> DataFrame:
+def signals(
+    gold: GoldTables,
+    period: Period,
+    as_of: date,
+    campaigns: DataFrame | None = None,
+    **options: bool,
+) -> DataFrame:
     """Fired signals of every account, one per row."""
-    return signal_rows(review_facts(gold, period, as_of, **options))
+    return signal_rows(review_facts(gold, period, as_of, campaigns, **options))
 
 
 def review_summary(gold: GoldTables, period: Period, as_of: date, **options: bool) -> DataFrame:
@@ -462,6 +479,7 @@ def account_review(
     as_of: date,
     account: str | None = None,
     campaigns_per_part: int = CAMPAIGNS_PER_PART,
+    campaigns: DataFrame | None = None,
     **options: bool,
 ) -> DataFrame:
     """Nested review documents, one per account.
@@ -471,8 +489,10 @@ def account_review(
     other sections, so the lists stay whole and bounded.
     """
     gold = gold.of_account(account)
-    facts = review_facts(gold, period, as_of, **options)
-    campaigns = _flagged_campaigns(gold, period)
+    if campaigns is None:
+        campaigns = flagged_campaigns(gold, period)
+    campaigns = for_account(campaigns, account)
+    facts = review_facts(gold, period, as_of, campaigns, **options)
     sizes = campaigns.groupBy("account_id").agg(
         F.ceil(F.count("*") / F.lit(campaigns_per_part)).alias("parts")
     )
