@@ -61,7 +61,20 @@ META_ADS_RAW = _bronze(
 GOOGLE_ADS_RAW = _bronze(
     "google_ads_raw",
     record(
-        **texts("customer_id", "customer_name", "campaign_id", "campaign_name", "campaign_status", "ad_group_id", "ad_group_name", "ad_group_status", "keyword_id", "criterion_status", "keyword_text", "match_type"),
+        **texts(
+            "customer_id",
+            "customer_name",
+            "campaign_id",
+            "campaign_name",
+            "campaign_status",
+            "ad_group_id",
+            "ad_group_name",
+            "ad_group_status",
+            "keyword_id",
+            "criterion_status",
+            "keyword_text",
+            "match_type",
+        ),
         impressions="long",
         clicks="long",
         spend="double",
@@ -81,7 +94,18 @@ GOOGLE_ADS_RAW = _bronze(
 GOOGLE_SEARCH_TERMS_RAW = _bronze(
     "google_search_terms_raw",
     record(
-        **texts("customer_id", "customer_name", "campaign_id", "campaign_name", "ad_group_id", "ad_group_name", "search_term", "search_term_status", "matched_keyword_text", "matched_keyword_match_type"),
+        **texts(
+            "customer_id",
+            "customer_name",
+            "campaign_id",
+            "campaign_name",
+            "ad_group_id",
+            "ad_group_name",
+            "search_term",
+            "search_term_status",
+            "matched_keyword_text",
+            "matched_keyword_match_type",
+        ),
         impressions="long",
         clicks="long",
         spend="double",
@@ -103,7 +127,17 @@ GOOGLE_SEARCH_TERMS_RAW = _bronze(
 GOOGLE_NEGATIVES_RAW = _bronze(
     "google_negatives_raw",
     record(
-        **texts("customer_id", "campaign_id", "campaign_name", "ad_group_id", "ad_group_name", "criterion_id", "criterion_text", "match_type", "scope"),
+        **texts(
+            "customer_id",
+            "campaign_id",
+            "campaign_name",
+            "ad_group_id",
+            "ad_group_name",
+            "criterion_id",
+            "criterion_text",
+            "match_type",
+            "scope",
+        ),
         snapshot_date="date",
     ),
     ("snapshot_date", "customer_id", "scope", "criterion_id", "ad_group_id", "campaign_id"),

@@ -16,7 +16,7 @@ from adtide.operators.filters import non_empty
 from adtide.operators.latest import bronze_dedup
 from adtide.plans import access, checks, gold, metrics, review, silver
 from adtide.plans.review import GoldTables
-from adtide.schemas import ACCOUNT_KEYS, GOOGLE, GOOGLE_ADS_RAW, META, PLATFORMS
+from adtide.schemas import ACCOUNT_KEYS, GOOGLE, GOOGLE_ADS_RAW, META
 from adtide.session import new_workspace
 from adtide.sources import reports, testdata
 from adtide.sources.tables import materialize, read_table, side_by_side, staged
@@ -606,5 +606,3 @@ def _registered(run: Callable[[Models], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {name: _registered(run) for name, run in RUNS.items()}
-
-__all__ = ["PLATFORMS", "QUERIES", "Models"]
