@@ -21,6 +21,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adtide.llm import substring
+
+    kept = substring.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adtide.llm import language
 
@@ -29,6 +36,20 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adtide.llm import mixing
+
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adtide.llm import ann
+
+    found = ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adtide.llm import toxicity
 
@@ -44,10 +65,20 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adtide.llm import fingerprint
+
+    return fingerprint.edit_trial(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring": op1_substring,
     "op3_language": op3_language,
+    "op4_mixing": op4_mixing,
+    "op6_neighbours": op6_neighbours,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
+    "op9_fingerprints": op9_fingerprints,
 }
 
 ORACLES: dict[str, str] = {}

@@ -35,7 +35,8 @@ THRESHOLD = 0.3
 TOXIC_DICTIONARY, ORDINARY_DICTIONARY = 1 << 15, 3 << 14
 #: Words whose verdict a worker remembers.
 MEMORY_WORDS = 500_000
-GRAM = 5
+#: Bytes of the pieces of words that are compared between the classes, besides whole words.
+GRAMS = (5, 8)
 EDGES = b'.,;:!?"()[]|*#$'
 _CODE = [row.tobytes() for row in np.random.default_rng(7).integers(0, 256, (256, 4), dtype=np.uint8)]
 
@@ -50,7 +51,9 @@ def _words(text: str) -> set[bytes]:
 
 def _grams(word: bytes) -> set[bytes]:
     padded = b" " + word + b" "
-    return {padded[i : i + GRAM] for i in range(len(padded) - GRAM + 1)}
+    pieces = {padded[i : i + n] for n in GRAMS for i in range(len(padded) - n + 1)}
+    pieces.add(padded)
+    return pieces
 
 
 @dataclass
@@ -120,11 +123,11 @@ def _dictionaries(own: list[set[bytes]], other: list[set[bytes]]) -> tuple[bytes
         words.append(count)
         grams.append(gram)
     # grams of toxic text that ordinary text hardly has
-    rate = 20 * len(own) / len(other)
-    telling = {g for g, c in grams[0].items() if c >= max(2, 0.01 * len(own)) and c > rate * (grams[1][g] + 0.5)}
-    # words made of such grams, the most frequent last, where a match is cheapest
+    rate = 30 * len(own) / len(other)
+    telling = {g for g, c in grams[0].items() if c >= max(3, 0.015 * len(own)) and c > rate * (grams[1][g] + 0.5)}
+    # words with such a gram, the most frequent last, where a match is cheapest
     ranked = sorted(words[0], key=lambda w: (words[0][w], w))
-    marking = [w for w in ranked if w and len(_grams(w) & telling) * 2 > len(_grams(w))]
+    marking = [w for w in ranked if w and _grams(w) & telling]
     content = b"".join(map(_written, marking))[-TOXIC_DICTIONARY:]
     common = [w for w, _ in sorted(words[1].items(), key=lambda x: (-x[1], x[0]))[:8000] if w]
     samples = [_written(w) for w in common for _ in range(1 + min(20, words[1][w] // 20))]
