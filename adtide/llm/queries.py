@@ -71,6 +71,12 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_trial(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adtide.llm import jaccard
+
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("tid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op3_language": op3_language,
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
+    "op10_jaccard": op10_jaccard,
 }
 
 ORACLES: dict[str, str] = {}
