@@ -56,6 +56,16 @@ def doc_key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
 
 
+def one_row_each(documents: DataFrame) -> DataFrame:
+    """doc, tid and all columns of the documents, with one row of those that agree in id and text.
+
+    Without such rows, as a count over ids and hashes tells, nothing is grouped.
+    """
+    keyed = documents.select(doc_key().alias("doc"), F.xxhash64("text").alias("tid"), *documents.columns)
+    repeated = keyed.groupBy("doc", "tid").agg(F.count("*").alias("rows")).where("rows > 1")
+    return keyed if repeated.isEmpty() else keyed.dropDuplicates(["doc", "tid"])
+
+
 def held_out() -> Column:
     """Documents whose crc32(doc_id as text) mod 4 is 2; a null id is never held out."""
     part = F.crc32(F.col("doc_id").cast("string")) % 4

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtide.llm.common import LAST_ID, discard, doc_key, find_words, mix, span_hashes, store, text_slices, window_hashes, word_hashes
+from adtide.llm.common import LAST_ID, discard, doc_key, find_words, mix, one_row_each, span_hashes, store, text_slices, window_hashes, word_hashes
 from adtide.llm.graph import components
 
 SHINGLE = 5
@@ -225,7 +225,10 @@ def _with_sets(texts: DataFrame) -> DataFrame:
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:
-    """doc_id, tid, n_shingles, component_id of every row; tid is a hash of the text."""
+    """doc_id, tid, n_shingles, component_id, component of every row.
+
+    tid is a hash of the text; component numbers the components, also those without an id.
+    """
     base = documents.select("doc_id", "text")
     summaries = store(_summaries(base).withColumn("v", F.monotonically_increasing_id()), "summaries")
     rows = summaries.select("v", "doc", "tid", "n", "f1", "f2")
@@ -249,11 +252,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     every = F.concat(F.array("part"), others)
     placed = placed.select("v", "doc", "tid", "n", "first", F.transform(every, lambda p: F.xxhash64("grp", p)).alias("gids"))
     placed = store(placed, "placed")
-    texts = base.select(doc_key().alias("doc"), F.xxhash64("text").alias("tid"), "text")
-    repeated = members.groupBy("doc", "tid").agg(F.count("*").alias("c")).where("c > 1")
-    if not repeated.isEmpty():
-        texts = texts.dropDuplicates(["doc", "tid"])
-    grouped = _with_sets(texts.join(placed.select("v", "doc", "tid", "gids"), ["doc", "tid"]))
+    grouped = _with_sets(one_row_each(base).join(placed.select("v", "doc", "tid", "gids"), ["doc", "tid"]))
     cells = store(grouped.groupBy("gid").applyInArrow(_within, "v long, n int, own boolean, gid long, tokens binary, root long"), "cells")
 
     near = components(cells.select("v", "root"))
@@ -281,7 +280,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     label = labelled.select("v", "label").join(far, F.col("label") == F.col("a"), "left").select("v", F.coalesce("b", "label").alias("component"))
     ends = classes.join(label, "v", "left").select("n", "f1", "f2", "doc", F.coalesce("component", "v").alias("component"))
     smallest = ends.groupBy("component").agg(F.min("doc").alias("first_doc"))
-    ends = ends.join(smallest, "component").select("n", "f1", "f2", "first_doc")
+    ends = ends.join(smallest, "component").select("n", "f1", "f2", "first_doc", "component")
     result = members.join(ends, ["n", "f1", "f2"], "left")
     known = lambda c: F.when(c < LAST_ID, c)
-    return result.select(known(F.col("doc")).alias("doc_id"), "tid", F.col("n").cast("long").alias("n_shingles"), known(F.coalesce("first_doc", "doc")).alias("component_id"))
+    return result.select(known(F.col("doc")).alias("doc_id"), "tid", F.col("n").cast("long").alias("n_shingles"), known(F.coalesce("first_doc", "doc")).alias("component_id"), F.coalesce("component", "v").alias("component"))

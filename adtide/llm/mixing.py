@@ -126,9 +126,9 @@ def round_shares(rows: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
 
 
 def mix_sources(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies of every document."""
+    """doc_id, tid, source, size, source_size, target, copies of every document; tid is a hash of the text."""
     source = F.col("source").cast("string").alias("source")
-    sizes = identity(documents, "source").select(F.col("doc_id").cast("long"), source, word_count("text").alias("size"))
+    sizes = identity(documents, "source").select(F.col("doc_id").cast("long"), source, word_count("text").alias("size"), F.xxhash64("text").alias("tid"))
     sizes = store(sizes.withColumn("row", F.monotonically_increasing_id()), "sizes")
     targets = source_targets(sizes, weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -140,4 +140,4 @@ def mix_sources(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most:
     taken = round_shares(parts, group_rows)
     alone = (F.pmod(F.xxhash64("turn", F.lit(SEED + 1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     extra = F.coalesce(F.col("taken"), (alone < F.col("share")).cast("int"))
-    return joined.join(taken, "row", "left").select("doc_id", "source", "size", "source_size", "target", (F.col("whole") + extra).cast("int").alias("copies"), "row")
+    return joined.join(taken, "row", "left").select("doc_id", "tid", "source", "size", "source_size", "target", (F.col("whole") + extra).cast("int").alias("copies"))

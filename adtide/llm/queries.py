@@ -28,6 +28,13 @@ def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adtide.llm import license
+
+    found = license.scan(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return found.withColumnRenamed("id", "page_id")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adtide.llm import language
 
@@ -43,6 +50,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adtide.llm import quality
+
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adtide.llm import ann
 
@@ -74,13 +87,15 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adtide.llm import jaccard
 
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("tid")
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("tid", "component")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
+    "op2_license": op2_license,
     "op3_language": op3_language,
     "op4_mixing": op4_mixing,
+    "op5_quality": op5_quality,
     "op6_neighbours": op6_neighbours,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
