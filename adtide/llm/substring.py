@@ -125,16 +125,18 @@ def duplicate_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     blocks = store(parse_blocks(documents, window), "blocks")
     # anchors that more than one document has: everything else is dropped before any further shuffle
     anchors = blocks.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), (F.min("block") != F.max("block")).alias("borders"))
-    shared = anchors.where("low < high").select("anchor", "borders")
-    common = store(blocks.join(shared, "anchor"), "shared-blocks")
+    # results of groupings are stored before a join on the same key, so that a hot key's rows can be split there
+    shared = store(anchors.where("low < high").select("anchor", "borders"), "shared-anchors")
+    common = store(blocks.join(shared.hint("merge"), "anchor"), "shared-blocks")
     # the index: the first document of each block
-    index = common.groupBy("anchor", "block").agg(F.min("doc").alias("owner"))
+    index = store(common.groupBy("anchor", "block").agg(F.min("doc").alias("owner")), "index")
     looked_up = store(common.join(index, ["anchor", "block"]), "parsed-blocks")
     factors = looked_up.where("doc > owner").select("doc", "tid", "first", "windows")
     # the first document of a block stands for all that hold it
     borders = looked_up.where("doc = owner and borders").groupBy("doc", "tid").agg(F.collect_list(F.struct("first", "windows", "anchor")).alias("wanted"))
-    windows = store(_border_windows(_keyed(documents).join(borders, ["doc", "tid"]), window), "border-windows")
-    owners = windows.groupBy("anchor", "hash").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner < last").select("anchor", "hash", "owner")
+    windows = store(_border_windows(_keyed(documents).join(borders.hint("merge"), ["doc", "tid"]), window), "border-windows")
+    owners = windows.groupBy("anchor", "hash").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner < last")
+    owners = store(owners.select("anchor", "hash", "owner"), "owners")
     singles = windows.join(owners, ["anchor", "hash"]).where("doc > owner").select("doc", "tid", "first", F.lit(1).alias("windows"))
     found = factors.unionByName(singles).groupBy("doc", "tid").agg(F.sort_array(F.collect_set(F.struct("first", "windows"))).alias("parts"))
 
@@ -165,7 +167,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     spans = store(duplicate_spans(documents.select("doc_id", "text"), window), "spans")
     keys = {c: f"own_{at}" for at, c in enumerate(own)}
     renamed = documents.select(doc_key().alias("doc"), F.xxhash64("text").alias("tid"), *(F.col(f"`{c}`").alias(n) for c, n in keys.items()))
-    joined = renamed.join(spans, ["doc", "tid"], "left").select(*keys.values(), "spans")
+    joined = renamed.join(spans.hint("merge"), ["doc", "tid"], "left").select(*keys.values(), "spans")
     at = list(keys).index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
