@@ -12,8 +12,11 @@ ones; a document passes on only as many of its tokens as that order can need. Th
 
 Equal sets form one class beforehand. The members of a group are compared first; every part of
 a large group also holds the group's first document, which joins the parts. What one component already connects is
-not compared again: a group is opened only by documents of other components, the smaller component
-asking the larger. An opened group compares whole sets. Links lose no pair that could connect two components.
+not compared again. From then on a token that only one component has counts as a token of a single document, which
+closes all that share less than a link's part with other components. Those still open are compared with the first
+document of their group under other hashes, and last a group is opened by documents of other components whose first
+tokens are in its union, the smaller component asking the larger. An opened group compares whole sets. Links lose
+no pair that could connect two components.
 
 Defined results: null and blank texts have an empty set, are linked with nothing and are their own
 component; a text of fewer words than a shingle has one shingle; repeated rows repeat in the result;
@@ -41,6 +44,8 @@ LEVELS = (0.3, 0.5, 1.0)
 GROUP_DOCS = 64
 #: Documents that one task compares with a group.
 ASKING_DOCS = 256
+#: Further groupings in which documents are compared with the first of their group.
+STAR_ROUNDS = 2
 _EDGES = np.array([int(share * 2.0**64) - 1 if share < 1 else 2**64 - 1 for share in LEVELS], dtype=np.uint64)
 
 
@@ -122,14 +127,18 @@ def _first(n: int, counts: list[int], found: np.ndarray, often: np.ndarray) -> n
     return found[np.concatenate(taken)] if taken else found[:0]
 
 
-def _still_open(tokens: DataFrame, sets: DataFrame) -> DataFrame:
+def _still_open(tokens: DataFrame, sets: DataFrame, seed: int = 0, by: str = "v") -> DataFrame:
     """v, doc, tid, n, counts, found, first, grp of sets that may have a partner.
 
-    tokens: v, token. A token is shared if more than one set passes it on.
+    tokens: v, token and, for components, ``by``. A token is shared if more than one set (or component) passes it on.
+    grp is a minimum hash of the shared tokens under ``seed``.
     """
-    often = tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
-    found = tokens.join(often, "token").groupBy("v").agg(F.collect_list(F.struct("token", "often")).alias("shared"))
-    joined = sets.join(found, "v").select("v", "doc", "tid", "n", "counts", "shared")
+    # written before the join on the same key, so that a hot token's rows can be split there
+    often = tokens.select("token", by).distinct() if by != "v" else tokens
+    often = store(often.groupBy("token").agg(F.count("*").alias("often")).where("often > 1"), "often")
+    found = tokens.join(often.hint("merge"), "token").groupBy("v").agg(F.collect_list(F.struct("token", "often")).alias("shared"))
+    joined = sets.join(found.hint("merge"), "v").select("v", "doc", "tid", "n", "counts", "shared")
+    salt = mix(np.array([0x5851F42D4C957F2D + seed], dtype=np.uint64))[0]
     kinds = pa.schema([
         ("v", pa.int64()), ("doc", pa.int64()), ("tid", pa.int64()), ("n", pa.int32()), ("counts", pa.list_(pa.int32())),
         ("found", pa.list_(pa.int64())), ("first", pa.list_(pa.int64())), ("grp", pa.int64()),
@@ -144,7 +153,7 @@ def _still_open(tokens: DataFrame, sets: DataFrame) -> DataFrame:
                 own, often = (shared.field(i).to_numpy(zero_copy_only=False) for i in range(2))
                 first = _first(batch.column(3)[at].as_py(), counts[at], own, often)
                 if len(first):
-                    group = int(mix(own.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)).min().view(np.int64))
+                    group = int(mix(own.view(np.uint64) ^ salt).min().view(np.int64))
                     out.append((batch.column(0)[at].as_py(), batch.column(1)[at].as_py(), batch.column(2)[at].as_py(), batch.column(3)[at].as_py(), counts[at], own, first, group))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kinds, strict=True)], schema=kinds)
@@ -224,6 +233,28 @@ def _with_sets(texts: DataFrame) -> DataFrame:
     return texts.select("v", "text", "gids").mapInArrow(run, "v long, n int, own boolean, gid long, tokens binary")
 
 
+def _relabelled(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """v, gid, label after components named ``a`` became part of ``b``."""
+    return labels.join(joined, F.col("label") == F.col("a"), "left").select("v", "gid", F.coalesce("b", "label").alias("label"))
+
+
+def _stars(labelled: DataFrame, own: DataFrame) -> DataFrame:
+    """Links (a, b) of components whose documents are linked to the first document of their group."""
+    hubs = labelled.groupBy("grp").agg(F.min(F.struct("v", "label")).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"))
+    hubs = store(hubs.where("low < high").select("grp", F.col("hub.v").alias("hub"), F.col("hub.label").alias("b")), "hubs")
+    pairs = labelled.select("v", F.col("label").alias("a"), "grp").join(hubs, "grp").where("a <> b")
+    hub_sets = own.select(F.col("v").alias("hub"), F.col("tokens").alias("hub_tokens"))
+    pairs = pairs.join(own.select("v", "tokens"), "v").join(hub_sets.hint("merge"), "hub").select("a", "b", "tokens", "hub_tokens")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = ([np.frombuffer(x.as_py(), dtype=np.uint64) for x in batch.column(i)] for i in (2, 3))
+            keep = pa.array([_linked(a, b) for a, b in zip(one, two, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], names=["a", "b"])
+
+    return pairs.mapInArrow(compare, "a long, b long").distinct()
+
+
 def jaccard_components(documents: DataFrame) -> DataFrame:
     """doc_id, tid, n_shingles, component_id, component of every row.
 
@@ -256,10 +287,19 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     cells = store(grouped.groupBy("gid").applyInArrow(_within, "v long, n int, own boolean, gid long, tokens binary, root long"), "cells")
 
     near = components(cells.select("v", "root"))
-    labelled = placed.select("v", "n", "first", F.col("gids")[0].alias("gid")).join(near, F.col("v") == F.col("a"), "left")
-    labelled = labelled.select("v", "n", "gid", "first", F.coalesce("b", "v").alias("label"))
+    homes = placed.select("v", F.col("gids")[0].alias("gid"))
+    labels = store(homes.join(near, F.col("v") == F.col("a"), "left").select("v", "gid", F.coalesce("b", "v").alias("label")), "labels")
+    own = cells.where("own").select("v", "tokens", F.col("gid").alias("home"))
+    base_sets = left.select("v", "doc", "tid", "n", "counts")
+    used = left.select("v", F.explode("found").alias("token"))
+    for seed in range(1, STAR_ROUNDS + 1):
+        labelled = store(_still_open(used.join(labels.select("v", "label"), "v"), base_sets, seed, "label").select("v", "n", "first", "grp").join(labels, "v"), "labelled")
+        stars = _stars(labelled, own)
+        labels = store(_relabelled(labels, components(stars)), "labels")
+    labelled = _still_open(used.join(labels.select("v", "label"), "v"), base_sets, 0, "label").select("v", "n", "first").join(labels, "v")
+    labelled = store(labelled, "labelled")
     sizes = labelled.groupBy("label").agg(F.count("*").alias("weight"))
-    labelled = store(labelled.join(sizes, "label"), "labelled")
+    labelled = store(labelled.join(sizes, "label"), "weighed")
     uses = labelled.select("v", "n", "gid", "label", "weight", F.explode("first").alias("token"))
     mixed = uses.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
     uses = store(uses.join(mixed, "token"), "uses")
@@ -268,16 +308,13 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     asks = uses.join(matrix, "token").where("gid <> to and label <> to_label and (weight, label) < (to_weight, to_label)")
     asks = asks.where(f"most * 100 >= n * {PERCENT} and n * 100 >= least * {PERCENT}").select("v", "label", F.col("to").alias("gid")).distinct()
     asks = store(asks, "asks")
-    own = cells.where("own").select("v", "tokens", F.col("gid").alias("home"))
     asking = asks.join(own.drop("home"), "v").withColumn("turn", F.xxhash64("v"))
     load = asks.groupBy("gid").agg(F.ceil(F.count("*") / ASKING_DOCS).cast("int").alias("turns"))
     asking = asking.join(load, "gid").select("gid", F.pmod("turn", "turns").cast("int").alias("turn"), F.lit(True).alias("asks"), "v", "label", "tokens")
-    asked = own.withColumnRenamed("home", "gid").join(labelled.select("v", "label"), "v").join(load, "gid")
+    asked = own.withColumnRenamed("home", "gid").join(labels.select("v", "label"), "v").join(load, "gid")
     asked = asked.select("gid", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.lit(False).alias("asks"), "v", "label", "tokens")
     links = asking.unionByName(asked).groupBy("gid", "turn").applyInArrow(_across, "a long, b long")
-    far = components(links)
-
-    label = labelled.select("v", "label").join(far, F.col("label") == F.col("a"), "left").select("v", F.coalesce("b", "label").alias("component"))
+    label = _relabelled(labels, components(links)).select("v", F.col("label").alias("component"))
     ends = classes.join(label, "v", "left").select("n", "f1", "f2", "doc", F.coalesce("component", "v").alias("component"))
     smallest = ends.groupBy("component").agg(F.min("doc").alias("first_doc"))
     ends = ends.join(smallest, "component").select("n", "f1", "f2", "first_doc", "component")
