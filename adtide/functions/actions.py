@@ -56,8 +56,3 @@ def action_conversions(column: Column, mode: ParseMode = "strict") -> Column:
     present = F.filter(values, lambda v: v.isNotNull())
     total = F.aggregate(present, F.lit(0.0), lambda acc, v: acc + v)
     return F.coalesce(total, F.lit(0.0))
-
-
-def actions_to_json(actions: Column) -> Column:
-    """Stored text of an action list; an absent list is ``[]``."""
-    return F.coalesce(F.to_json(actions), F.lit("[]"))

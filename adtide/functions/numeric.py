@@ -4,8 +4,9 @@ Arguments are SQL expressions over the columns of the DataFrame at hand.
 
 Money and conversion counts are stored as DOUBLE. Adding doubles gives a result
 that depends on the order of the rows, and a shuffle changes that order, so sums
-go through whole units and millionths held in BIGINT: exact, order-free, and kept
-in the primitive buffers of a code-generated hash aggregate.
+go through whole units, millionths and millionths of those held in BIGINT: exact to
+twelve decimals, order-free, and kept in the primitive buffers of a code-generated
+hash aggregate.
 """
 
 from __future__ import annotations
@@ -21,27 +22,42 @@ def micros_to_currency(expression: str) -> Column:
     return F.expr(f"({expression}) / {MICROS}D")
 
 
+# Values from here on, and NaN, which compares as greater, are added as plain doubles.
+LARGE = "1e12D"
+
+
 def _sum_text(expression: str) -> str:
     value = f"CAST(({expression}) AS DOUBLE)"
-    millionths = f"CAST(rint(({value} - floor({value})) * {MICROS}D) AS BIGINT)"
-    return (
-        f"CAST(CAST(sum(floor({value})) AS DECIMAL(38,6))"
-        f" + CAST(sum({millionths}) AS DECIMAL(38,6)) / {MICROS} AS DOUBLE)"
-    )
+    small = f"abs({value}) < {LARGE}"
+    units = f"floor({value})"
+    millionths = f"(({value} - {units}) * {MICROS}D)"
+    # an amount of six decimals is off by its binary rounding only
+    even = f"abs({millionths} - rint({millionths})) <= abs({value}) * {MICROS}D * 4.5e-16D"
+    whole = f"CASE WHEN {even} THEN rint({millionths}) ELSE floor({millionths}) END"
+    rest = f"CASE WHEN {even} THEN 0D ELSE rint(({millionths} - floor({millionths})) * {MICROS}D) END"
+
+    def limb(part: str, unit: str) -> str:
+        held = f"CASE WHEN {small} THEN CAST({part} AS BIGINT) END"
+        return f"CAST(sum({held}) AS DECIMAL(20,0)) * {unit}BD"
+
+    limbs = f"{limb(units, '1')} + {limb(whole, '0.000001')} + {limb(rest, '0.000000000001')}"
+    exact = f"CAST({limbs} AS DOUBLE)"
+    large = f"sum(CASE WHEN NOT ({small}) THEN {value} END)"
+    return f"CASE WHEN {large} IS NULL THEN {exact} ELSE coalesce({exact}, 0D) + {large} END"
 
 
 def exact_sum(expression: str) -> Column:
-    """Aggregate: sum of a DOUBLE to six decimals, independent of row order.
+    """Aggregate: sum of a DOUBLE to twelve decimals, independent of row order.
 
-    Whole units and the remaining millionths are two BIGINT sums, so neither can
-    overflow before 9.2e18 units or 9.2e12 rows per group.
+    Each BIGINT sum holds 9 million rows of the largest amount there is below ``LARGE``,
+    and fails beyond rather than overflow. Larger amounts, infinities and NaN give what a plain sum gives.
     """
     return F.expr(_sum_text(expression))
 
 
 def exact_avg(expression: str) -> Column:
     """Aggregate: average over the non-NULL values, built on ``exact_sum``."""
-    return F.expr(f"{_sum_text(expression)} / nullif(count({expression}), 0)")
+    return F.expr(f"({_sum_text(expression)}) / nullif(count({expression}), 0)")
 
 
 def _round_text(expression: str, digits: int) -> str:

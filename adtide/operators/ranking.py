@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adtide.sources.tables import staged
+
 
 def top_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank: str = "position"
@@ -20,6 +22,29 @@ def top_per_group(
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
+def positions(
+    df: DataFrame, group: str, order: Sequence[Column], name: str = "position"
+) -> DataFrame:
+    """All rows with their 1-based position in their group, whatever its size.
+
+    The rows are sorted in ranges, so that a huge group is numbered by many tasks; what
+    is added up afterwards has a row per group and range.
+    """
+    ranged = df.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    # the upper bits are the range, the lower ones the place in it
+    numbered = staged(ranged.withColumn("_number", F.monotonically_increasing_id()), "ranges")
+    numbered = numbered.withColumn("_range", F.shiftright("_number", 33))
+    spans = numbered.groupBy(group, "_range").agg(
+        F.min("_number").alias("_first"), F.count("*").alias("_rows")
+    )
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    spans = spans.select(F.col(group).alias("_group"), F.col("_range").alias("_of"), "_first", "_before")
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of"))
+    place = F.col("_number") - F.col("_first") + F.col("_before") + 1
+    return numbered.join(spans, same).select(*df.columns, place.alias(name))
+
+
 def first_platform(df: DataFrame) -> DataFrame:
     """One row per account: the alphabetically first platform."""
     rest = [name for name in df.columns if name != "account_id"]

@@ -7,25 +7,28 @@ newer version plus the new rows, written with dynamic partition overwrite.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 from typing import Literal, NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from adtide.functions.dates import Period
 from adtide.functions.text import blank_nulls
-from adtide.operators.latest import latest_by_key
+from adtide.operators.latest import bronze_dedup, latest_by_key
 from adtide.schemas import BUDGET_KEYS, CLIENT_BUDGET, PLATFORMS, BronzeTable
-from adtide.session import new_workspace
 from adtide.sources.reports import stamp_load
 from adtide.sources.tables import (
     balanced,
     conform,
+    current_path,
     delete_path,
     exists,
     materialize,
+    move_folders,
     read_table,
     staged,
     table_path,
@@ -128,13 +131,22 @@ def merge_upsert(
     finish_publishing(spark, root, table)
     stored = read_table(spark, root, "bronze", table.name, table.schema)
     touched = stored.where(F.col(table.partition).isin(profile.days))
-    # the merged days exist twice until they are in place, so none can be lost
-    path = new_workspace(spark, f"merged-{table.name}")
-    conform(merged(touched, batch, table.keys), table.schema).write.parquet(path)
+    _replace_days(spark, root, table, merged(touched, batch, table.keys))
+    return profile.rows
+
+
+def _replace_days(spark: SparkSession, root: str, table: BronzeTable, rows: DataFrame) -> None:
+    """Put the days of ``rows`` in the place of the stored ones, written once.
+
+    They are written whole beside the table before any stored day goes, and stay there
+    until all are in place.
+    """
+    path = f"{_publishing(root)}/{table.name}-{uuid.uuid4().hex}"
+    rows = balanced(conform(rows, table.schema), table.partition)
+    rows.write.partitionBy(table.partition).parquet(path)
     note = spark.range(1).select(F.lit(path).alias("value"))
     note.write.mode("overwrite").text(_note_path(root, table))
     finish_publishing(spark, root, table)
-    return profile.rows
 
 
 def _publish(root: str, table: BronzeTable, rows: DataFrame) -> None:
@@ -142,22 +154,26 @@ def _publish(root: str, table: BronzeTable, rows: DataFrame) -> None:
     materialize(rows, root, "bronze", table.name, table.partition, only_touched=True)
 
 
+def _publishing(root: str) -> str:
+    return f"{root}/bronze/_publishing"
+
+
 def _note_path(root: str, table: BronzeTable) -> str:
-    return f"{root}/bronze/_publishing/{table.name}"
+    return f"{_publishing(root)}/{table.name}"
 
 
 def finish_publishing(spark: SparkSession, root: str, table: BronzeTable) -> None:
     """Put noted merged days in place, those left by a driver that died included.
 
     Replacing several folders is not one step for the file system. The note names
-    the written copy of the days being replaced; writing it again is harmless.
+    the folder of the merged days; those still in it take their places by renames.
     """
     note = _note_path(root, table)
     if not exists(spark, note):
         return
     paths = [row[0] for row in spark.read.text(note).take(1)]
     for path in paths:
-        _publish(root, table, spark.read.schema(table.schema).parquet(path))
+        move_folders(spark, path, current_path(spark, root, "bronze", table.name))
     delete_path(spark, note)
 
 
@@ -167,10 +183,11 @@ def _known(batch: DataFrame, table: BronzeTable) -> list[str]:
 
 def append_rows(root: str, table: BronzeTable, batch: DataFrame) -> int:
     """Plain append, for loads without a conflict key."""
-    rows = balanced(conform(batch, table.schema), table.partition)
-    path = table_path(root, "bronze", table.name)
-    rows.write.mode("append").partitionBy(table.partition).parquet(path)
-    return batch.count()
+    counted = Observation()
+    rows = conform(batch, table.schema).observe(counted, F.count("*").alias("rows"))
+    path = current_path(batch.sparkSession, root, "bronze", table.name)
+    balanced(rows, table.partition).write.mode("append").partitionBy(table.partition).parquet(path)
+    return counted.get["rows"]
 
 
 def load_bronze(
@@ -183,11 +200,13 @@ def load_bronze(
     upsert: bool = True,
     on_duplicate: OnDuplicate = "error",
     is_staged: bool = False,
+    ties: Sequence[Column] = (),
+    tie_columns: Sequence[str] = (),
 ) -> int:
     """Stamp a batch with its load time and source and store it."""
     batch = stamp_load(rows, at, source)
     if upsert:
-        return merge_upsert(spark, root, table, batch, on_duplicate, is_staged=is_staged)
+        return merge_upsert(spark, root, table, batch, on_duplicate, ties, tie_columns, is_staged)
     return append_rows(root, table, batch)
 
 
@@ -199,8 +218,13 @@ def snapshot_load(
     return load_bronze(spark, root, table, stamped, at, source)
 
 
-def upsert_budget(target: DataFrame, new: DataFrame, at: datetime) -> DataFrame:
-    """Budgets after an upsert: a known budget keeps its creation time."""
+def upsert_budget(
+    target: DataFrame, new: DataFrame, at: datetime, on_duplicate: OnDuplicate = "error"
+) -> DataFrame:
+    """Budgets after an upsert: a known budget keeps its creation time.
+
+    A batch with a key twice is refused; ``latest`` takes its largest amount.
+    """
     now = F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
     defaults = {"currency": F.lit("BRL"), "active": F.lit(True)}
     given = {
@@ -209,6 +233,11 @@ def upsert_budget(target: DataFrame, new: DataFrame, at: datetime) -> DataFrame:
     }
     new = new.withColumns(given).select(*BUDGET_KEYS, "monthly_budget", *defaults)
     new = new.withColumn("monthly_budget", _checked_budget())
+    if on_duplicate == "latest":
+        new = latest_by_key(new.withColumn("at", now), BUDGET_KEYS, "at", [F.desc("monthly_budget")])
+    elif not new.groupBy(*BUDGET_KEYS).count().where("count > 1").isEmpty():
+        raise DuplicateKeys(f"budgets of one batch share {', '.join(BUDGET_KEYS)}")
+    new = new.select(*BUDGET_KEYS, "monthly_budget", *defaults)
     created = target.select(*BUDGET_KEYS, "created_at")
     updated = new.join(created, list(BUDGET_KEYS), "left").withColumns(
         {"created_at": F.coalesce("created_at", now), "updated_at": now}
@@ -223,10 +252,18 @@ def _checked_budget() -> Column:
     return F.when(accepted, amount).otherwise(refused)
 
 
-def insert_if_absent(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target plus the new rows whose key it does not hold yet."""
+def insert_if_absent(
+    target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()
+) -> DataFrame:
+    """Target plus the first new row, in ``order``, of each key it does not hold yet.
+
+    Without an order the smallest of the remaining columns decides.
+    """
     absent = new.join(target.select(*keys), list(keys), "left_anti")
-    return target.unionByName(absent.select(*target.columns))
+    rest = [F.col(name) for name in target.columns if name not in keys]
+    first = Window.partitionBy(*keys).orderBy(*(order or rest or [F.col(keys[0])]))
+    one = absent.withColumn("rn", F.row_number().over(first)).where("rn = 1")
+    return target.unionByName(one.select(*target.columns))
 
 
 def delete_where(target: DataFrame, predicate: Column) -> DataFrame:
@@ -234,6 +271,56 @@ def delete_where(target: DataFrame, predicate: Column) -> DataFrame:
     return target.where(~F.coalesce(predicate, F.lit(False)))
 
 
+class OpsTable(NamedTuple):
+    """A small stored table that is changed as a whole, by a switch to a new version."""
+
+    root: str
+    layer: str
+    name: str
+    schema: StructType
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.root, self.layer, self.name, self.schema)
+
+    def replace(self, rows: DataFrame) -> DataFrame:
+        return materialize(conform(rows, self.schema), self.root, self.layer, self.name)
+
+
+def store_budgets(
+    spark: SparkSession, table: OpsTable, new: DataFrame, at: datetime, on_duplicate: OnDuplicate = "error"
+) -> DataFrame:
+    """Upsert budgets into the stored table and return it."""
+    return table.replace(upsert_budget(table.read(spark), new, at, on_duplicate))
+
+
+def store_if_absent(
+    spark: SparkSession, table: OpsTable, new: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()
+) -> DataFrame:
+    """Insert rows of unknown keys into the stored table and return it."""
+    return table.replace(insert_if_absent(table.read(spark), conform(new, table.schema), keys, order))
+
+
+def delete_stored(spark: SparkSession, table: OpsTable, predicate: Column) -> DataFrame:
+    """Delete rows of the stored table and return it."""
+    return table.replace(delete_where(table.read(spark), predicate))
+
+
+def dedup_stored(spark: SparkSession, root: str, table: BronzeTable, ties: Sequence[Column] = ()) -> int:
+    """Keep the latest row of each key of a stored raw table; returns the number of rewritten days.
+
+    Keys hold the day, so only days with a key twice are rewritten.
+    """
+    finish_publishing(spark, root, table)
+    stored = read_table(spark, root, "bronze", table.name, table.schema)
+    copies = stored.groupBy(*table.keys).agg(F.count("*").alias("copies")).where("copies > 1")
+    # an entry per calendar day
+    days = [row[0] for row in copies.select(table.partition).distinct().collect()]
+    if days:
+        touched = stored.where(F.col(table.partition).isin(days))
+        _replace_days(spark, root, table, bronze_dedup(touched, table, ties))
+    return len(days)
+
+
 def partition_plan(spark: SparkSession, period: Period, accounts: DataFrame) -> DataFrame:
     """Units of a load, one per day and account, oldest day first.
 
@@ -244,15 +331,25 @@ def partition_plan(spark: SparkSession, period: Period, accounts: DataFrame) ->
     return accounts.select(days.alias("date"), "account_id").orderBy("date", "account_id")
 
 
-def load_results(plan: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Rows and status of every planned unit, from the landed or stored rows."""
-    counts = loaded.groupBy("date", "account_id").agg(F.count("*").alias("rows"))
-    return plan.join(counts, ["date", "account_id"], "left").select(
-        "date",
-        "account_id",
-        F.coalesce("rows", F.lit(0)).alias("rows"),
-        F.when(F.col("rows").isNull(), "failed").otherwise("loaded").alias("status"),
-    )
+def load_results(plan: DataFrame, loaded: DataFrame, landed: DataFrame | None = None) -> DataFrame:
+    """Rows and status of every planned unit, from the landed or stored rows.
+
+    ``landed`` has ``date``, ``account_id`` and ``broken`` of every unit with a file. A unit
+    without rows is ``empty`` if its files landed whole, as an account may have had no
+    activity, else ``failed``. Without ``landed`` every planned unit counts as landed.
+    """
+    keys = ["date", "account_id"]
+    counts = loaded.groupBy(*keys).agg(F.count("*").alias("rows"))
+    units = plan.join(counts, keys, "left")
+    failed = F.lit(False)
+    if landed is not None:
+        # reduced first: a unit of many files is one row
+        whole = landed.groupBy(*keys).agg(F.max(F.col("broken").cast("int")).alias("bad"))
+        units = units.join(whole, keys, "left")
+        failed = F.coalesce("bad", F.lit(1)) == 1
+    status = F.when(failed, "failed").when(F.col("rows").isNull(), "empty").otherwise("loaded")
+    rows = F.when(failed, F.lit(0)).otherwise(F.coalesce("rows", F.lit(0)))
+    return units.select(*keys, rows.cast("bigint").alias("rows"), status.alias("status"))
 
 
 def missing_partitions(plan: DataFrame, loaded: DataFrame) -> DataFrame:
@@ -305,19 +402,21 @@ def backfill(
     at: datetime,
     source: str,
     account_col: str,
+    landed: DataFrame | None = None,
 ) -> DataFrame:
-    """Load all landed units of a range in one job and report the missing ones.
+    """Load all landed units of a range in one job and report how each of them went.
 
-    Units are independent: what landed is stored, what did not is reported with
-    ``load_report`` and can be loaded later without touching the rest.
+    ``rows`` are those of whole units only and ``landed`` is their list, both as
+    ``read_landed`` gives them. What landed is stored; a broken or missing unit is reported
+    with ``load_report`` and can be loaded later without touching the rest.
     """
     inside = F.col(table.partition).between(F.lit(period.start), F.lit(period.end))
     names = accounts.select(F.col("account_id").alias(account_col))
-    landed = rows.where(inside).join(names, account_col, "left_semi")
+    kept = rows.where(inside).join(names, account_col, "left_semi")
     # stored and reported from one written copy; the reports are parsed once
-    landed = staged(landed, f"landed-{table.name}")
-    load_bronze(spark, root, table, landed, at, source, is_staged=True)
-    units = landed.select(
+    kept = staged(kept, f"landed-{table.name}")
+    load_bronze(spark, root, table, kept, at, source, is_staged=True)
+    units = kept.select(
         F.col(table.partition).alias("date"), F.col(account_col).alias("account_id")
     )
-    return load_results(partition_plan(spark, period, accounts), units)
+    return load_results(partition_plan(spark, period, accounts), units, landed)

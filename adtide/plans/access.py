@@ -13,7 +13,9 @@ IDLE_DAYS = 14
 def keys_with_users(keys: DataFrame, users: DataFrame) -> DataFrame:
     """Every key with the role and state of its user, if it has one."""
     owners = users.select(F.col("id").alias("user_id"), "role", "disabled_at")
-    return keys.join(owners, "user_id", "left")
+    # keys without a user meet nobody; in the join they would all go to one task
+    owned = keys.where("user_id IS NOT NULL").join(owners, "user_id", "left")
+    return owned.unionByName(keys.where("user_id IS NULL"), allowMissingColumns=True)
 
 
 def is_idle(last_used: Column, at: datetime, days: int = IDLE_DAYS) -> Column:

@@ -24,18 +24,15 @@ from adtide.operators.filters import (
 )
 from adtide.operators.grouping import totals_by
 from adtide.operators.kpis import period_kpis, row_roas
-from adtide.operators.ranking import first_platform, top_per_group
+from adtide.operators.ranking import first_platform, positions, top_per_group
 from adtide.plans.gold import budget_pacing
 from adtide.plans.signals import LISTED_NAMES, MIN_SPEND, evaluate_all, signal_rows
+from adtide.sources.tables import staged
 
 TOP_KEYWORDS = 20
 TOP_SEARCH_TERMS = 15
 MIN_ROAS = 1.0
 
-# An account with more campaigns than this gets several document parts, so that no
-# row and no task has to hold an unbounded list.
-CAMPAIGNS_PER_PART = 5000
-
 
 class GoldTables(NamedTuple):
     """Inputs of a review."""
@@ -478,64 +475,46 @@ def account_review(
     period: Period,
     as_of: date,
     account: str | None = None,
-    campaigns_per_part: int = CAMPAIGNS_PER_PART,
     campaigns: DataFrame | None = None,
     **options: bool,
 ) -> DataFrame:
-    """Nested review documents, one per account.
+    """Nested review documents, one per account, of the bounded sections and all counts.
 
-    All campaigns of an account are listed. Up to ``campaigns_per_part`` of them
-    share one document; more are spread over ``parts`` documents that repeat the
-    other sections, so the lists stay whole and bounded.
+    The two lists without a bound are rows of their own for every account, however many
+    it has: ``review_campaigns`` and ``review_uncovered``.
     """
     gold = gold.of_account(account)
     if campaigns is None:
-        campaigns = flagged_campaigns(gold, period)
-    campaigns = for_account(campaigns, account)
-    facts = review_facts(gold, period, as_of, campaigns, **options)
-    sizes = campaigns.groupBy("account_id").agg(
-        F.ceil(F.count("*") / F.lit(campaigns_per_part)).alias("parts")
-    )
-    place = F.pmod(F.xxhash64("campaign_name"), F.col("parts")) + 1
-    row = F.struct(
-        (-F.col("spend")).alias("place"),
-        F.coalesce("campaign_name", F.lit("")).alias("name"),
-        F.struct(*CAMPAIGN_FIELDS).alias("row"),
-        "uncovered",
-    )
-    parts = (
-        campaigns.join(sizes, "account_id")
-        .withColumn("part", place)
-        .groupBy("account_id", "part")
-        .agg(F.array_sort(F.collect_list(row)).alias("listed"))
-    )
-    pages = facts.join(sizes, "account_id", "left").withColumn(
-        "parts", F.coalesce("parts", F.lit(1))
-    )
-    pages = pages.withColumn("part", F.explode(F.sequence(F.lit(1).cast("bigint"), "parts")))
-    documents = pages.join(parts, ["account_id", "part"], "left")
-    listed = _empty_if_null("listed", documents)
-    uncovered = F.filter(listed, lambda e: e["uncovered"])
-    return documents.select(
-        "part",
-        "parts",
+        # read by four sections
+        campaigns = staged(flagged_campaigns(gold, period), "campaigns")
+    facts = review_facts(gold, period, as_of, for_account(campaigns, account), **options)
+    return facts.select(
         F.struct("account_id", "account_name", "platform").alias("account"),
         F.struct(F.lit(period.start).alias("start"), F.lit(period.end).alias("end")).alias(
             "period"
         ),
         F.struct(*PERFORMANCE).alias("performance"),
-        F.transform(listed, lambda e: e["row"]).alias("campaigns"),
+        "campaign_count",
         "keywords_top",
         F.struct(
             F.col("wasted_terms").alias("top_by_spend_no_conv"),
             F.col("high_roas_terms").alias("high_roas"),
         ).alias("search_terms"),
-        F.struct(
-            "total_negatives",
-            F.array_sort(F.transform(uncovered, lambda e: e["name"])).alias(
-                "campaigns_without_negatives"
-            ),
-        ).alias("negatives"),
+        F.struct("total_negatives", "uncovered_count").alias("negatives"),
         F.struct(*BUDGET_FIELDS).alias("budget"),
         evaluate_all().alias("signals"),
     )
+
+
+def review_campaigns(campaigns: DataFrame, account: str | None = None) -> DataFrame:
+    """Campaign list of every account as rows, dearest first, of ``flagged_campaigns``."""
+    rows = for_account(campaigns, account)
+    order = [F.desc("spend"), F.asc("campaign_name")]
+    return positions(rows, "account_id", order).select("account_id", "position", *CAMPAIGN_FIELDS)
+
+
+def review_uncovered(campaigns: DataFrame, account: str | None = None) -> DataFrame:
+    """Campaigns without negatives of every account as rows, by name, of ``flagged_campaigns``."""
+    rows = for_account(campaigns, account).where("uncovered")
+    numbered = positions(rows, "account_id", [F.asc("campaign_name")])
+    return numbered.select("account_id", "position", "campaign_name")

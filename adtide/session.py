@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,20 +23,9 @@ def local_session(app: str, cores: int | str = "*", memory: str = "8g") -> Spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
-
-    Only a local session, where one machine is the whole cluster, falls back to a
-    temporary folder of its own.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="adtide-")
-    context.setCheckpointDir(folder)
-    return folder
+    """Folder every executor can reach: the one the cluster names, else one in its warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def new_workspace(spark: SparkSession, purpose: str) -> str:

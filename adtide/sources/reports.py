@@ -11,13 +11,13 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from adtide.functions.actions import actions_to_json
 from adtide.functions.dates import Period
 from adtide.functions.numeric import micros_to_currency
 from adtide.functions.text import blank_nulls
 from adtide.schemas import GOOGLE, META, record, texts
+from adtide.sources.tables import file_names, staged
 
 _ENTITY = record(id="long", name="string")
 _ENTITY_WITH_STATUS = record(id="long", name="string", status="string")
@@ -82,7 +82,8 @@ META_INSIGHT_REPORT = record(
     **texts("impressions", "clicks", "spend"),
     date_start="date",
     date_stop="date",
-    actions=ArrayType(record(action_type="string", value="string")),
+    # kept as its own JSON text, whatever fields an action has
+    actions="string",
     **texts("device_platform", "publisher_platform"),
 )
 
@@ -93,6 +94,9 @@ META_ACCOUNT_LIST = record(account_id="string", account_status="integer")
 
 REMOVED = "REMOVED"
 
+#: Place of a row's file among the landed ones, where a reader adds it; flattening keeps it.
+LANDED = "_landed"
+
 
 def _leaves(schema: StructType, prefix: str = "") -> list[tuple[str, str]]:
     found: list[tuple[str, str]] = []
@@ -131,6 +135,38 @@ def read_report(
     return reader.format(file_format).load(path)
 
 
+def read_landed(
+    spark: SparkSession, path: str, schema: StructType, account_as: str = "account_id"
+) -> tuple[DataFrame, DataFrame]:
+    """Report rows and the list of units of a landing folder ``date=…/account_id=…/*.json``.
+
+    A unit with a malformed record is ``broken``: none of its rows is given and all other
+    units are. A unit whose files hold no row is listed all the same.
+    """
+    keys = ["unit_date", "unit_account"]
+    record_of, account = F.col("_corrupt"), F.regexp_extract(F.col("file"), "/account_id=([^/]+)/", 1)
+    unit = [
+        F.to_date(F.regexp_extract(F.col("file"), "/date=([^/]+)/", 1)).alias(keys[0]),
+        F.url_decode(account).alias(keys[1]),
+    ]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    reader = spark.read.options(recursiveFileLookup=True, **options)
+    fields = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    rows = reader.schema(fields).json(path).withColumn("file", F.col("_metadata.file_path"))
+    # parsed once: records and their faults are read from the written copy
+    rows = staged(rows.select(*schema.fieldNames(), "_corrupt", *unit), "landed")
+    broken = rows.where(record_of.isNotNull()).select(*keys).distinct()
+    # a scan leaves out files without content, so the names come from the listing
+    files = spark.createDataFrame([(name,) for name in file_names(spark, path)], "file string")
+    units = files.select(*unit).distinct()
+    marked = units.join(broken.withColumn("broken", F.lit(True)), keys, "left").select(
+        F.col(keys[0]).alias("date"),
+        F.col(keys[1]).alias(account_as),
+        F.coalesce("broken", F.lit(False)).alias("broken"),
+    )
+    return rows.join(broken, keys, "left_anti").select(*schema.fieldNames()), marked
+
+
 def _on_days(df: DataFrame, column: str, dates: Period | None) -> DataFrame:
     if dates is None:
         return df
@@ -141,6 +177,10 @@ def _id(path: str) -> Column:
     return F.col(path).cast("string")
 
 
+def _landed(report: DataFrame) -> list[str]:
+    return [LANDED] if LANDED in report.columns else []
+
+
 def flatten_keyword(report: DataFrame) -> DataFrame:
     """Nested keyword report to raw-table columns; removed keywords are left out."""
     return report.where(F.col("ad_group_criterion.status") != REMOVED).select(
@@ -167,6 +207,7 @@ def flatten_keyword(report: DataFrame) -> DataFrame:
         "ad_group_criterion.quality_info.quality_score",
         "segments.device",
         "segments.date",
+        *_landed(report),
     )
 
 
@@ -189,6 +230,7 @@ def flatten_search_term(report: DataFrame) -> DataFrame:
         "metrics.conversions",
         F.col("metrics.conversions_value").alias("conversion_value"),
         "segments.date",
+        *_landed(report),
     )
     return blank_nulls(rows, ["matched_keyword_text", "matched_keyword_match_type"])
 
@@ -213,6 +255,7 @@ def stamp_negatives(report: DataFrame, scope: str, snapshot_date: date) -> DataF
         F.col(f"{criterion}.keyword.match_type").alias("match_type"),
         F.lit(scope).alias("scope"),
         F.lit(snapshot_date).alias("snapshot_date"),
+        *_landed(report),
     )
 
 
@@ -254,7 +297,7 @@ def conform_meta(report: DataFrame) -> DataFrame:
             "impressions": F.coalesce(F.col("impressions").cast("bigint"), F.lit(0)),
             "clicks": F.coalesce(F.col("clicks").cast("bigint"), F.lit(0)),
             "spend": F.coalesce(F.col("spend").cast("double"), F.lit(0.0)),
-            "actions": actions_to_json(F.col("actions")),
+            "actions": F.coalesce("actions", F.lit("[]")),
         }
     )
 

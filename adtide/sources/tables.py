@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,6 +15,10 @@ from adtide.session import new_workspace
 
 CONCURRENT_WRITES = 4
 
+#: File with the name of a table's current version, and what such names begin with.
+POINTER = "_current"
+VERSION = "version-"
+
 LAYERS = ("bronze", "silver", "gold", "ops", "users")
 
 # Fixed value: account id of the template row of a seed file.
@@ -32,28 +36,51 @@ def read_table(
 ) -> DataFrame:
     """Stored table; with a declared schema, columns missing in old files read as NULL."""
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(table_path(root, layer, name))
+    return reader.parquet(current_path(spark, root, layer, name))
 
 
-def read_jdbc(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    split_column: str,
-    bounds: tuple[str, str],
-    splits: int,
-    properties: dict[str, str] | None = None,
-) -> DataFrame:
-    """Table of an existing database, read in parallel ranges of ``split_column``."""
-    return spark.read.jdbc(
-        url,
-        table,
-        column=split_column,
-        lowerBound=bounds[0],
-        upperBound=bounds[1],
-        numPartitions=splits,
-        properties=properties,
-    )
+def _files(spark: SparkSession, path: str) -> tuple:
+    """File system of a path, and the path as that system takes it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def current_path(spark: SparkSession, root: str, layer: str, name: str) -> str:
+    """Folder with the files of a stored table: the version its pointer names."""
+    folder = table_path(root, layer, name)
+    version = _pointed(spark, folder)
+    return f"{folder}/{version}" if version else folder
+
+
+def _pointed(spark: SparkSession, folder: str) -> str | None:
+    """Version that the pointer of a table names, if there is one."""
+    files, pointer = _files(spark, f"{folder}/{POINTER}")
+    if not files.exists(pointer):
+        return None
+    stream = files.open(pointer)
+    name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return name
+
+
+def _switch(spark: SparkSession, folder: str, version: str) -> None:
+    """Make a written version the current one in one rename; the one before stays for its readers."""
+    files, pointer = _files(spark, f"{folder}/{POINTER}")
+    before = _pointed(spark, folder)
+    _, written = _files(spark, f"{folder}/{POINTER}-{version}")
+    stream = files.create(written, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    fs = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(written, pointer, options)
+    for status in files.listStatus(_files(spark, folder)[1]):
+        found = status.getPath().getName()
+        if found.startswith(VERSION) and found not in (version, before):
+            files.delete(status.getPath(), True)
 
 
 def balanced(df: DataFrame, partition_by: str | None = None) -> DataFrame:
@@ -76,20 +103,26 @@ def materialize(
 ) -> DataFrame:
     """Write a model and return the stored table.
 
-    A full refresh replaces the table. ``only_touched`` replaces just the partition
-    values present in ``df``.
+    A full refresh writes a new version beside the old one and then switches, so that
+    readers always find a whole table and ``df`` may read the one it replaces.
+    ``only_touched`` replaces just the partition values present in ``df``.
     """
-    path = table_path(root, layer, name)
+    if only_touched and not partition_by:
+        raise ValueError("replacing touched partitions needs a partition column")
+    spark = df.sparkSession
     writer = balanced(df, partition_by).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-        mode = "dynamic" if only_touched else "static"
-        writer = writer.option("partitionOverwriteMode", mode)
-    elif only_touched:
-        raise ValueError("replacing touched partitions needs a partition column")
-    writer.parquet(path)
+    if only_touched:
+        path = current_path(spark, root, layer, name)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        folder, version = table_path(root, layer, name), f"{VERSION}{uuid.uuid4().hex}"
+        path = f"{folder}/{version}"
+        writer.parquet(path)
+        _switch(spark, folder, version)
     # the written schema is known, so the files need not be opened to infer it
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def replace_days(
@@ -100,7 +133,7 @@ def replace_days(
     Dynamic overwrite leaves a day alone that has no row left. The days written are
     observed while writing, and stored days of the range beyond them are dropped.
     """
-    spark, path = df.sparkSession, table_path(root, layer, name)
+    spark, path = df.sparkSession, current_path(df.sparkSession, root, layer, name)
     written = Observation()
     seen = df.observe(written, F.collect_set(partition_by).alias("days"))
     materialize(seen, root, layer, name, partition_by, only_touched=True)
@@ -115,11 +148,38 @@ def replace_days(
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of the storage the tables live on, if it is there."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, hadoop = _files(spark, path)
     files.delete(hadoop, True)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of all files below a folder, as a reader lists them too."""
+    files, folder = _files(spark, path)
+    found, names = files.listFiles(folder, True), []
+    while found.hasNext():
+        names.append(found.next().getPath().toString())
+    return names
+
+
+def move_folders(spark: SparkSession, source: str, target: str) -> None:
+    """Replace folders of ``target`` by those of the same name in ``source``, one rename each.
+
+    Doing it again after an interruption moves what is left.
+    """
+    files, folder = _files(spark, source)
+    if not files.exists(folder):
+        return
+    files.mkdirs(_files(spark, target)[1])
+    # an entry per calendar day of a load
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory() and not name.startswith("_"):
+            place = _files(spark, f"{target}/{name}")[1]
+            files.delete(place, True)
+            files.rename(status.getPath(), place)
+    files.delete(folder, True)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a written table in the shared folder, cut off from their lineage.
 
@@ -154,14 +214,9 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a stored table is there yet."""
-    try:
-        spark.read.schema("probe string").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether something is stored under a path."""
+    files, hadoop = _files(spark, path)
+    return files.exists(hadoop)
 
 
 def load_seed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

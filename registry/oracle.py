@@ -11,7 +11,8 @@ import re
 
 def dsum(x: str) -> str:
     """Exact sum of an amount."""
-    return f"CAST(SUM(CAST({x} AS DECIMAL(28,6))) AS DOUBLE)"
+    # through the text: its digits are those of the amount, without binary noise
+    return f"CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,12))) AS DOUBLE)"
 
 
 def davg(x: str) -> str:
@@ -658,10 +659,29 @@ _FINALS: dict[str, str] = {
                 CAST((slot + 1) * 1000 AS DECIMAL(14,2)) AS monthly_budget
             FROM (SELECT DISTINCT c_custkey % 8 AS slot FROM customer) s) n
         ON n.account_id = t.account_id AND n.platform = t.platform""",
+    "upsert_budget_table": """SELECT COALESCE(n.account_id, t.account_id) AS account_id,
+        COALESCE(n.platform, t.platform) AS platform,
+        CAST(COALESCE(n.monthly_budget, t.monthly_budget) AS DOUBLE) AS monthly_budget,
+        'BRL' AS currency, CASE WHEN n.account_id IS NULL THEN t.active ELSE TRUE END AS active,
+        CASE WHEN t.account_id IS NULL THEN TIMESTAMP '2024-01-20 05:00:00'
+             ELSE TIMESTAMP '2024-01-01 00:00:00' END AS created_at,
+        CASE WHEN n.account_id IS NULL THEN TIMESTAMP '2024-01-01 00:00:00'
+             ELSE TIMESTAMP '2024-01-20 05:00:00' END AS updated_at
+        FROM client_budget t FULL OUTER JOIN (
+            SELECT CAST(slot AS VARCHAR) AS account_id, 'google_ads' AS platform,
+                CAST((slot + 1) * 1000 AS DECIMAL(14,2)) AS monthly_budget
+            FROM (SELECT DISTINCT c_custkey % 8 AS slot FROM customer) s) n
+        ON n.account_id = t.account_id AND n.platform = t.platform""",
     "insert_if_absent": """SELECT * FROM managed WHERE enabled = 1 UNION ALL
-        SELECT * FROM managed m WHERE enabled = 0 AND NOT EXISTS (
-            SELECT 1 FROM managed t WHERE t.enabled = 1 AND t.account_id = m.account_id
-              AND t.platform = m.platform)""",
+        SELECT account_id, platform, account_name, enabled FROM (
+            SELECT m.*, ROW_NUMBER() OVER (PARTITION BY account_id, platform ORDER BY account_name) AS rn
+            FROM managed m WHERE enabled = 0 AND NOT EXISTS (
+                SELECT 1 FROM managed t WHERE t.enabled = 1 AND t.account_id = m.account_id
+                  AND t.platform = m.platform)) a WHERE rn = 1""",
+    "insert_if_absent_table": """SELECT account_id, platform, account_name, enabled FROM (
+            SELECT m.*, ROW_NUMBER() OVER (PARTITION BY account_id, platform ORDER BY account_name) AS rn
+            FROM managed m) a WHERE rn = 1""",
+    "delete_where_table": "SELECT * FROM managed WHERE NOT (enabled = 0)",
     "delete_where": "SELECT * FROM managed WHERE NOT (enabled = 0)",
     "bronze_dedup": f"SELECT {MERGED} FROM google_latest_ag",
     "backfill_plan": f"""SELECT CAST(d AS DATE) AS date, account_id
@@ -726,7 +746,7 @@ _FINALS: dict[str, str] = {
         CAST(ts AS DATE) AS date_start, CAST(ts AS DATE) AS date_stop,
         CASE WHEN event_type = 'error' THEN '[]' ELSE
             CONCAT('[{"action_type":"', event_type, '","value":"', CAST(event_id % 7 AS VARCHAR),
-                   '"}]') END AS actions,
+                   '","7d_click":"', CAST(event_id % 3 AS VARCHAR), '"}]') END AS actions,
         'mobile' AS device_platform,
         CASE WHEN event_id % 2 = 0 THEN event_type ELSE '' END AS publisher_platform,
         TIMESTAMP '2024-01-20 05:00:00' AS _extracted_at, 'meta_ads' AS _source

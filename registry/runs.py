@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from adtide.functions.dates import Period
 from adtide.functions.text import key_hash, normalize_account_id
 from adtide.operators import quality, upsert
-from adtide.operators.filters import non_empty
+from adtide.operators.filters import in_range, non_empty
 from adtide.operators.latest import bronze_dedup
 from adtide.plans import access, checks, gold, metrics, review, silver
 from adtide.plans.review import GoldTables
-from adtide.schemas import ACCOUNT_KEYS, GOOGLE, GOOGLE_ADS_RAW, META
+from adtide.schemas import ACCOUNT_KEYS, CLIENT_BUDGET, GOOGLE, GOOGLE_ADS_RAW, META
 from adtide.session import new_workspace
 from adtide.sources import reports, testdata
 from adtide.sources.tables import materialize, read_table, side_by_side, staged
@@ -143,7 +143,7 @@ def _document_entries(m: Models) -> DataFrame:
             lambda e, i: F.struct(
                 F.lit(section).alias("section"),
                 (i + 1).cast("bigint").alias("position"),
-                (e[key] if key else e).alias("entry"),
+                e[key].alias("entry"),
                 figure(e).alias("spend"),
             ),
         )
@@ -154,16 +154,28 @@ def _document_entries(m: Models) -> DataFrame:
     def none(_: Column) -> Column:
         return F.lit(None).cast("double")
 
-    terms, lacking = "search_terms.top_by_spend_no_conv", "negatives.campaigns_without_negatives"
     lists = F.concat(
-        entries("campaigns", F.col("campaigns"), spend, "campaign_name"),
         entries("keywords_top", F.col("keywords_top"), spend, "keyword_text"),
-        entries("top_by_spend_no_conv", F.col(terms), spend, "search_term"),
+        entries("top_by_spend_no_conv", F.col("search_terms.top_by_spend_no_conv"), spend, "search_term"),
         entries("high_roas", F.col("search_terms.high_roas"), spend, "search_term"),
-        entries("campaigns_without_negatives", F.col(lacking), none, ""),
         entries("signals", F.col("signals"), none, "message"),
     )
-    return documents.select(F.col("account.account_id"), F.inline(lists))
+    bounded = documents.select(F.col("account.account_id"), F.inline(lists))
+    listed = review.review_campaigns(campaigns).select(
+        "account_id",
+        F.lit("campaigns").alias("section"),
+        "position",
+        F.col("campaign_name").alias("entry"),
+        "spend",
+    )
+    lacking = review.review_uncovered(campaigns).select(
+        "account_id",
+        F.lit("campaigns_without_negatives").alias("section"),
+        "position",
+        F.col("campaign_name").alias("entry"),
+        F.lit(None).cast("double").alias("spend"),
+    )
+    return bounded.unionByName(listed).unionByName(lacking)
 
 
 def _late(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -215,7 +227,7 @@ def _merge_table(m: Models) -> DataFrame:
     return rows.select(*MERGED_COLUMNS)
 
 
-def _upsert_budget(m: Models) -> DataFrame:
+def _new_budgets(m: Models) -> tuple[DataFrame, DataFrame]:
     first = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     target = m.budget().withColumns({"created_at": first, "updated_at": first})
     slot = F.col("slot")
@@ -229,9 +241,27 @@ def _upsert_budget(m: Models) -> DataFrame:
             ((slot + 1) * 1000).cast("decimal(14,2)").alias("monthly_budget"),
         )
     )
-    return upsert.upsert_budget(target, new, LOADED_AT).withColumn(
-        "monthly_budget", F.col("monthly_budget").cast("double")
-    )
+    return target, new
+
+
+def _plain_budget(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("monthly_budget", F.col("monthly_budget").cast("double"))
+
+
+def _upsert_budget(m: Models) -> DataFrame:
+    return _plain_budget(upsert.upsert_budget(*_new_budgets(m), LOADED_AT))
+
+
+def _stored_ops(name: str, rows: DataFrame) -> upsert.OpsTable:
+    table = upsert.OpsTable(new_workspace(rows.sparkSession, "ops"), "ops", name, rows.schema)
+    table.replace(rows)
+    return table
+
+
+def _upsert_budget_table(m: Models) -> DataFrame:
+    target, new = _new_budgets(m)
+    table = _stored_ops("client_budget", upsert.conform(target, CLIENT_BUDGET))
+    return _plain_budget(upsert.store_budgets(m.spark, table, new, LOADED_AT))
 
 
 def _managed(m: Models) -> DataFrame:
@@ -247,7 +277,20 @@ def _managed(m: Models) -> DataFrame:
 def _insert_if_absent(m: Models) -> DataFrame:
     accounts = _managed(m)
     target = accounts.where("enabled = 1")
-    return upsert.insert_if_absent(target, accounts.where("enabled = 0"), ACCOUNT_KEYS)
+    new = accounts.where("enabled = 0")
+    return upsert.insert_if_absent(target, new, ACCOUNT_KEYS, [F.asc("account_name")])
+
+
+def _insert_table(m: Models) -> DataFrame:
+    """All accounts into a table that holds none yet."""
+    accounts = _managed(m)
+    table = _stored_ops("managed_accounts", accounts.limit(0))
+    return upsert.store_if_absent(m.spark, table, accounts, ACCOUNT_KEYS, [F.asc("account_name")])
+
+
+def _delete_table(m: Models) -> DataFrame:
+    table = _stored_ops("managed_accounts", _managed(m))
+    return upsert.delete_stored(m.spark, table, F.col("enabled") == 0)
 
 
 def _nested_keywords(m: Models) -> DataFrame:
@@ -372,8 +415,11 @@ def _snapshot_negatives(m: Models) -> DataFrame:
 def _insights(m: Models) -> DataFrame:
     """The events as ad insights with text figures and nested actions."""
     event, user = F.col("event_id"), F.col("user_id")
+    # an action with more fields than the ones that are counted
     action = F.struct(
-        F.col("event_type").alias("action_type"), (event % 7).cast("string").alias("value")
+        F.col("event_type").alias("action_type"),
+        (event % 7).cast("string").alias("value"),
+        (event % 3).cast("string").alias("7d_click"),
     )
     rows = m.table("events").select(
         user.cast("string").alias("account_id"),
@@ -387,7 +433,7 @@ def _insights(m: Models) -> DataFrame:
         F.when(event % 11 != 0, F.col("value").cast("string")).alias("spend"),
         F.col("ts").cast("date").alias("date_start"),
         F.col("ts").cast("date").alias("date_stop"),
-        F.when(F.col("event_type") != "error", F.array(action)).alias("actions"),
+        F.when(F.col("event_type") != "error", F.to_json(F.array(action))).alias("actions"),
         F.lit("mobile").alias("device_platform"),
         F.when(event % 2 == 0, F.col("event_type")).alias("publisher_platform"),
     )
@@ -424,7 +470,7 @@ def _normalized(m: Models) -> DataFrame:
 def _load_plan(m: Models) -> tuple[DataFrame, DataFrame]:
     period = Period(date(2024, 1, 28), date(2024, 2, 2))
     plan = upsert.partition_plan(m.spark, period, m.accounts())
-    loaded = m.google_raw().select("date", F.col("customer_id").alias("account_id"))
+    loaded = in_range(m.google_raw(), period).select("date", F.col("customer_id").alias("account_id"))
     return plan, loaded
 
 
@@ -576,6 +622,9 @@ RUNS: dict[str, Callable[[Models], DataFrame]] = {
     "merge_upsert_table": _merge_table,
     "upsert_budget": _upsert_budget,
     "insert_if_absent": _insert_if_absent,
+    "upsert_budget_table": _upsert_budget_table,
+    "insert_if_absent_table": _insert_table,
+    "delete_where_table": _delete_table,
     "delete_where": lambda m: upsert.delete_where(_managed(m), F.col("enabled") == 0),
     "bronze_dedup": lambda m: bronze_dedup(
         m.google_raw(), GOOGLE_ADS_RAW, testdata.google_ads_ties()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from adtide.functions.actions import action_conversions, actions_to_json
+from adtide.functions.actions import action_conversions
 from adtide.operators.quality import action_text, run_checks
 
 
@@ -44,10 +44,3 @@ def test_text_that_is_no_list_fails_or_counts_nothing(spark, text):
 def test_bad_text_is_counted_by_a_check(spark):
     df = spark.createDataFrame([("[]",), (None,), ("",), ("{x",)], "actions string")
     assert run_checks(df, "m", action_text("actions")).first()["failures"] == 1
-
-
-def test_list_to_text(spark):
-    schema = "actions array<struct<action_type:string,value:string>>"
-    df = spark.createDataFrame([([("lead", "2")],), (None,)], schema)
-    texts = [r[0] for r in df.select(actions_to_json(F.col("actions"))).collect()]
-    assert texts == ['[{"action_type":"lead","value":"2"}]', "[]"]

@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import math
 import random
 from decimal import Decimal
+from fractions import Fraction
+
+import pytest
 
 from adtide.functions.numeric import (
     binary_round,
@@ -31,6 +35,24 @@ def test_sum_is_exact_and_independent_of_order(spark):
     assert one(frame(spark, shuffled).repartition(7).agg(exact_sum("x"))) == expected
 
 
+def test_sum_keeps_more_than_six_decimals(spark):
+    rng = random.Random(2)
+    values = [rng.randrange(1, 1000) / 3 for _ in range(3000)] + [0.0000004] * 7 + [-1e-9]
+    exact = sum(Fraction(v) for v in values)
+    got = one(frame(spark, values).repartition(5).agg(exact_sum("x")))
+    assert abs(Fraction(got) - exact) < Fraction(1, 10**8)
+    assert one(frame(spark, [0.0000004]).agg(exact_sum("x"))) == 0.0000004
+    assert one(frame(spark, [1 / 3, 1 / 3]).agg(exact_avg("x"))) == pytest.approx(1 / 3, abs=1e-12)
+
+
+def test_sum_of_values_without_a_place_in_the_limbs(spark):
+    inf, nan = float("inf"), float("nan")
+    assert one(frame(spark, [1.5, inf]).agg(exact_sum("x"))) == inf
+    assert math.isnan(one(frame(spark, [1.5, nan]).agg(exact_sum("x"))))
+    assert math.isnan(one(frame(spark, [inf, -inf]).agg(exact_sum("x"))))
+    assert one(frame(spark, [1e300, 1.5]).agg(exact_sum("x"))) == 1e300
+
+
 def test_sum_skips_null_and_is_null_without_values(spark):
     assert one(frame(spark, [1.25, None, 2.5]).agg(exact_sum("x"))) == 3.75
     assert one(frame(spark, [None, None]).agg(exact_sum("x"))) is None

@@ -185,19 +185,29 @@ def full_case(spark):
     )
 
 
+def listed(rows, account, name="campaign_name"):
+    own = sorted((r for r in rows.collect() if r["account_id"] == account), key=lambda r: r["position"])
+    assert [r["position"] for r in own] == list(range(1, len(own) + 1))
+    return [r[name] for r in own]
+
+
 def test_whole_review(spark):
-    documents = review.account_review(full_case(spark), PERIOD, AS_OF).collect()
+    gold = full_case(spark)
+    documents = review.account_review(gold, PERIOD, AS_OF).collect()
     docs = {d["account"]["account_id"]: d for d in documents}
-    assert set(docs) == {"1", "2"} and {d["parts"] for d in documents} == {1}
+    assert set(docs) == {"1", "2"} and len(documents) == 2
     first, second = docs["1"], docs["2"]
-    assert [c["campaign_name"] for c in first["campaigns"]] == [None, "Camp B", "Camp A", "Camp C"]
+    campaigns = review.flagged_campaigns(gold, PERIOD)
+    assert listed(review.review_campaigns(campaigns), "1") == [None, "Camp B", "Camp A", "Camp C"]
+    assert first["campaign_count"] == 4
     assert [k["keyword_text"] for k in first["keywords_top"]] == ["kw4", "kw2", "kw1", "kw3"]
     assert [t["search_term"] for t in first["search_terms"]["top_by_spend_no_conv"]] == [
         f"t{i}" for i in range(6)
     ]
     assert [t["search_term"] for t in first["search_terms"]["high_roas"]] == ["win"]
     assert first["negatives"]["total_negatives"] == 2
-    assert first["negatives"]["campaigns_without_negatives"] == ["Camp A", "Camp C"]
+    assert first["negatives"]["uncovered_count"] == 2
+    assert listed(review.review_uncovered(campaigns), "1") == ["Camp A", "Camp C"]
     assert (first["budget"]["monthly_budget"], first["budget"]["pace_flag"]) == (300.0, "over")
     assert [s["code"] for s in first["signals"]] == [
         "roas_below_one",
@@ -213,20 +223,21 @@ def test_whole_review(spark):
     assert first["period"]["start"] == PERIOD.start
 
 
-def test_many_campaigns_are_split_over_parts_without_loss(spark):
+def test_many_campaigns_keep_one_form(spark):
     gold = full_case(spark)
-    many = spark.createDataFrame(
-        [keyword("2", f"C{i:03}", float(i + 1), 1.0, 1.0) for i in range(100)], KEYWORDS
+    many = spark.range(12_000).selectExpr(
+        "'2' AS account_id", "concat('C', lpad(id, 5, '0')) AS campaign_name", "CAST(id % 900 + 1 AS DOUBLE) AS spend"
     )
-    gold = gold._replace(keywords=gold.keywords.unionByName(many))
-    documents = review.account_review(gold, PERIOD, AS_OF, campaigns_per_part=10).collect()
-    parts = [d for d in documents if d["account"]["account_id"] == "2"]
-    assert len(parts) == 11 and sorted(d["part"] for d in parts) == list(range(1, 12))
-    names = [c["campaign_name"] for d in parts for c in d["campaigns"]]
-    assert sorted(names) == sorted(["Camp A"] + [f"C{i:03}" for i in range(100)])
-    lacking = [n for d in parts for n in d["negatives"]["campaigns_without_negatives"]]
-    assert sorted(lacking) == [f"C{i:03}" for i in range(100)]
-    assert {d["parts"] for d in documents if d["account"]["account_id"] == "1"} == {1}
+    base = gold.keywords.where("account_id = '2'").limit(1).drop("account_id", "campaign_name", "spend")
+    gold = gold._replace(keywords=gold.keywords.unionByName(many.crossJoin(base)))
+    documents = review.account_review(gold, PERIOD, AS_OF).collect()
+    assert sorted(d["account"]["account_id"] for d in documents) == ["1", "2"]
+    second = next(d for d in documents if d["account"]["account_id"] == "2")
+    assert second["campaign_count"] == 12_001 and second["negatives"]["uncovered_count"] == 12_000
+    campaigns = review.flagged_campaigns(gold, PERIOD)
+    brute = sorted([(-(i % 900 + 1.0), f"C{i:05}") for i in range(12_000)] + [(-100.0, "Camp A")])
+    assert listed(review.review_campaigns(campaigns), "2") == [name for _, name in brute]
+    assert listed(review.review_uncovered(campaigns, "2"), "2") == [f"C{i:05}" for i in range(12_000)]
 
 
 def test_one_account_is_the_same_review(spark):

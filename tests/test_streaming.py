@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime
 
+import pytest
 from test_sources import keyword_row
 
 from adtide.schemas import GOOGLE_ADS_RAW
@@ -30,3 +32,20 @@ def test_only_new_files_are_loaded_and_repeats_change_nothing(spark, tmp_path, r
         "\n".join(json.dumps(keyword_row(keyword=k)) for k in (1, 2))
     )
     assert load(7) == {"1": 7, "2": 7}
+
+
+@pytest.mark.parametrize("newer", ["a.json", "b.json"])
+def test_the_newer_of_two_files_with_one_key_wins(spark, tmp_path, root, newer):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for at, name in enumerate(("a.json", "b.json")):
+        row = keyword_row(keyword=1)
+        row["ad_group"]["name"] = name
+        (landing / name).write_text(json.dumps(row))
+        os.utime(landing / name, (1_700_000_000 + (name == newer) * 60 + at, ) * 2)
+    ingest_landed_reports(
+        spark, str(landing), str(tmp_path / "progress"), KEYWORD_REPORT, flatten_keyword,
+        root, GOOGLE_ADS_RAW, "google_ads",
+    )
+    rows = read_table(spark, root, "bronze", "google_ads_raw", GOOGLE_ADS_RAW.schema)
+    assert [r["ad_group_name"] for r in rows.collect()] == [newer]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -9,10 +10,12 @@ import samples
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from samples import DAY
+from test_sources import keyword_row
 
 from adtide.functions.dates import Period
 from adtide.operators import upsert
 from adtide.schemas import CLIENT_BUDGET, GOOGLE_ADS_RAW, GOOGLE_SEARCH_TERMS_RAW
+from adtide.sources import reports
 from adtide.sources.tables import delete_path, read_table
 
 NEXT = date(2026, 4, 2)
@@ -63,7 +66,7 @@ def test_a_load_that_died_while_replacing_days_loses_nothing(spark, root, monkey
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patched:
-        patched.setattr(upsert, "_publish", die)
+        patched.setattr(upsert, "move_folders", die)
         with pytest.raises(RuntimeError):
             upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark, {"spend": 9.0}))
     other = samples.google(spark, {"date": NEXT})
@@ -152,10 +155,67 @@ def test_insert_if_absent_and_delete(spark):
     assert sorted(r["name"] for r in left.collect()) == ["new", "x"]
 
 
+def test_one_row_of_a_key_is_inserted_and_twice_in_a_budget_batch_is_refused(spark, root):
+    schema = "email string, name string"
+    target, new = spark.createDataFrame([("a", "old")], schema), [("b", "2"), ("b", "1"), ("a", "x"), ("b", "3")]
+    rows = upsert.insert_if_absent(target, spark.createDataFrame(new, schema), ["email"])
+    assert sorted(tuple(r) for r in rows.collect()) == [("a", "old"), ("b", "1")]
+    twice = spark.createDataFrame([("1", "google_ads", 5.0), ("1", "google_ads", 7.0)], "account_id string, platform string, monthly_budget double")
+    with pytest.raises(upsert.DuplicateKeys):
+        upsert.upsert_budget(budgets(spark), twice, AT)
+    kept = upsert.upsert_budget(budgets(spark), twice, AT, "latest").collect()
+    assert [r["monthly_budget"] for r in kept] == [Decimal("7.00")]
+
+
+def test_stored_forms_switch_versions(spark, root):
+    table = upsert.OpsTable(root, "ops", "client_budget", CLIENT_BUDGET)
+    made = datetime(2026, 4, 1)
+    table.replace(budgets(spark, ("9", "meta_ads", Decimal("10"), "USD", False, made, made)))
+    before = table.read(spark)
+    new = spark.createDataFrame([("1", "google_ads", 5.0)], "account_id string, platform string, monthly_budget double")
+    assert {r["account_id"] for r in upsert.store_budgets(spark, table, new, AT).collect()} == {"1", "9"}
+    # a reader that started before still finds its rows
+    assert [r["account_id"] for r in before.collect()] == ["9"]
+    again = upsert.store_if_absent(spark, table, budgets(spark, ("9", "meta_ads", Decimal("1"), "USD", True, made, made)), ["account_id", "platform"])
+    assert {(r["account_id"], r["monthly_budget"]) for r in again.collect()} == {("1", Decimal("5.00")), ("9", Decimal("10.00"))}
+    assert [r["account_id"] for r in upsert.delete_stored(spark, table, F.col("platform") == "meta_ads").collect()] == ["1"]
+    assert [r["account_id"] for r in table.read(spark).collect()] == ["1"]
+    bad = table.read(spark).withColumn("currency", F.raise_error(F.lit("stop")))
+    with pytest.raises(PySparkException):
+        table.replace(bad)
+    assert [r["account_id"] for r in table.read(spark).collect()] == ["1"]
+
+
 def accounts(spark, *names):
     return spark.createDataFrame([(n,) for n in names], "account_id string")
 
 
+def units(spark, *landed):
+    rows = [(*unit, False) for unit in landed]
+    return spark.createDataFrame(rows, "date date, account_id string, broken boolean")
+
+
+def test_a_bad_file_fails_only_its_unit_and_an_empty_one_is_no_failure(spark, root, tmp_path):
+    landing = tmp_path / "landed"
+    lines = {"a1": json.dumps(keyword_row(keyword=1)), "a2": '{"customer": {"id": ', "a3": "", "a4": json.dumps(keyword_row(keyword=4))}
+    for account, text in lines.items():
+        folder = landing / f"date={keyword_row()['segments']['date']}" / f"account_id={account}"
+        folder.mkdir(parents=True)
+        (folder / "part.json").write_text(text)
+    rows, landed = reports.read_landed(spark, str(landing), reports.KEYWORD_REPORT)
+    flat = reports.flatten_keyword(rows)
+    assert sorted(r["keyword_id"] for r in flat.collect()) == ["1", "4"]
+    found = {r["account_id"]: r["broken"] for r in landed.collect()}
+    assert found == {"a1": False, "a2": True, "a3": False, "a4": False}
+    day = date.fromisoformat(keyword_row()["segments"]["date"])
+    plan = upsert.partition_plan(spark, Period(day, day), accounts(spark, "a1", "a2", "a3", "a4", "a5"))
+    loaded = spark.createDataFrame([(day, "a1"), (day, "a4")], "date date, account_id string")
+    results = upsert.load_results(plan, loaded, landed)
+    status = {r["account_id"]: r["status"] for r in results.collect()}
+    assert status == {"a1": "loaded", "a2": "failed", "a3": "empty", "a4": "loaded", "a5": "failed"}
+    assert upsert.load_report(results, "x").first()["failed"] == 2
+
+
 def test_plan_is_oldest_day_first(spark):
     plan = upsert.partition_plan(spark, Period(DAY, NEXT), accounts(spark, "a1", "a2"))
     assert [tuple(r) for r in plan.collect()] == [(DAY, "a1"), (DAY, "a2"), (NEXT, "a1"), (NEXT, "a2")]
@@ -172,7 +232,7 @@ def test_backfill_keeps_what_landed_and_reports_the_rest(spark, root):
     ).drop("_extracted_at", "_source")
     results = upsert.backfill(
         spark, root, GOOGLE_ADS_RAW, rows, Period(DAY, NEXT), accounts(spark, "a1", "a2"), AT,
-        "google_ads", "customer_id",
+        "google_ads", "customer_id", units(spark, (DAY, "a2"), (NEXT, "a1"), (NEXT, "a2")),
     )
     assert stored(spark, root).count() == 3
     report = upsert.load_report(results, "google_ads").first()
@@ -185,7 +245,7 @@ def test_backfill_keeps_what_landed_and_reports_the_rest(spark, root):
 def test_report_samples_five_and_is_silent_on_success(spark):
     plan = upsert.partition_plan(spark, Period(DAY, NEXT), accounts(spark, "a", "b", "c", "d"))
     nothing = spark.createDataFrame([], "date date, account_id string")
-    report = upsert.load_report(upsert.load_results(plan, nothing), "x").first()
+    report = upsert.load_report(upsert.load_results(plan, nothing, units(spark)), "x").first()
     assert report["failed"] == 8 and report["message"].count("2026-") == 5
     assert "2026-04-01/a, 2026-04-01/b, 2026-04-01/c, 2026-04-01/d, 2026-04-02/a" in report["message"]
     done = upsert.load_report(upsert.load_results(plan, plan), "x").first()
