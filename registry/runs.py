@@ -479,7 +479,17 @@ def _missing(m: Models) -> DataFrame:
 
 
 def _load_report(m: Models) -> DataFrame:
-    return upsert.load_report(upsert.load_results(*_load_plan(m)), GOOGLE)
+    """One day whose files never came, one unit with a malformed file, and days without activity."""
+    plan, loaded = _load_plan(m)
+    malformed = F.expr("date = DATE'2024-01-29' AND account_id = '1'")
+    landed = plan.where("date <> DATE'2024-01-31'").withColumn("broken", malformed)
+    results = staged(upsert.load_results(plan, loaded, landed), "results")
+    return upsert.load_report(results, GOOGLE)
+
+
+def _load_results(m: Models) -> DataFrame:
+    plan, loaded = _load_plan(m)
+    return upsert.load_results(plan, loaded, plan.withColumn("broken", F.lit(False)))
 
 
 def _users(m: Models) -> DataFrame:
@@ -632,6 +642,7 @@ RUNS: dict[str, Callable[[Models], DataFrame]] = {
     "backfill_plan": lambda m: upsert.partition_plan(m.spark, PERIOD, m.accounts()),
     "missing_partitions": _missing,
     "load_report": _load_report,
+    "load_results": _load_results,
     "micros_and_flatten": lambda m: reports.flatten_keyword(_nested_keywords(m)),
     "flatten_search_terms": lambda m: reports.flatten_search_term(_nested_search_terms(m)),
     "snapshot_negatives": _snapshot_negatives,

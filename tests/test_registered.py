@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from compare import connect, differences
 
-import __spark_entry__ as driver
+from registry.oracle import ORACLES
+from registry.runs import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -16,14 +17,14 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    result = driver.queries()[name](spark, FOLDER)
+    result = QUERIES[name](spark, FOLDER)
     plan = result._jdf.queryExecution().executedPlan().toString()
     for refused in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert refused not in plan
-    schema, ours, theirs, only = differences(result, driver.oracle_sql()[name], duck)
+    schema, ours, theirs, only = differences(result, ORACLES[name], duck)
     assert schema == [] and only == [] and ours == theirs > 0
