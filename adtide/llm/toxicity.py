@@ -125,9 +125,9 @@ def _dictionaries(own: list[set[bytes]], other: list[set[bytes]]) -> tuple[bytes
     # grams of toxic text that ordinary text hardly has
     rate = 30 * len(own) / len(other)
     telling = {g for g, c in grams[0].items() if c >= max(3, 0.015 * len(own)) and c > rate * (grams[1][g] + 0.5)}
-    # words with such a gram, the most frequent last, where a match is cheapest
+    # words with such a gram that ordinary text does not have, the most frequent last, where a match is cheapest
     ranked = sorted(words[0], key=lambda w: (words[0][w], w))
-    marking = [w for w in ranked if w and _grams(w) & telling]
+    marking = [w for w in ranked if w and words[0][w] > rate * words[1][w] and _grams(w) & telling]
     content = b"".join(map(_written, marking))[-TOXIC_DICTIONARY:]
     common = [w for w, _ in sorted(words[1].items(), key=lambda x: (-x[1], x[0]))[:8000] if w]
     samples = [_written(w) for w in common for _ in range(1 + min(20, words[1][w] // 20))]
