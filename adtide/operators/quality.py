@@ -63,6 +63,28 @@ def unique_combination(df: DataFrame, model: str, keys: Sequence[str]) -> DataFr
     )
 
 
+def run_checks_with_key(
+    df: DataFrame, model: str, checks: Sequence[Check], keys: Sequence[str]
+) -> DataFrame:
+    """Row conditions and the uniqueness of a key in one pass: counts per key, then their sums."""
+    broken = [F.count_if(c.broken).alias(f"c{i}") for i, c in enumerate(checks)]
+    by_key = df.groupBy(*keys).agg(F.count("*").alias("copies"), *broken)
+    sums = [F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(checks))]
+    counts = by_key.agg(F.count_if(F.col("copies") > 1).alias("repeated"), *sums)
+    found = [(c.name, c.column, f"c{i}") for i, c in enumerate(checks)]
+    found.append(("unique_combination", ",".join(keys), "repeated"))
+    rows = [
+        F.struct(
+            F.lit(model).alias("model"),
+            F.lit(name).alias("check"),
+            F.lit(column).alias("column"),
+            F.col(count).alias("failures"),
+        )
+        for name, column, count in found
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def dq_not_null(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
     return run_checks(df, model, not_null(*columns))
 

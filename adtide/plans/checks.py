@@ -13,7 +13,7 @@ from adtide.operators.quality import (
     expression_is_true,
     not_null,
     run_checks,
-    unique_combination,
+    run_checks_with_key,
 )
 from adtide.schemas import GOOGLE, META, PACE_FLAGS, PLATFORMS, ROLES, SCOPES
 
@@ -109,13 +109,13 @@ def checked_columns(name: str) -> list[str]:
 
 
 def check_models(models: dict[str, DataFrame]) -> DataFrame:
-    """Declared checks of the given models: one pass each, plus one per unique key."""
+    """Declared checks of the given models, one pass over each."""
     declared = model_checks()
-    reports = [run_checks(df, name, declared[name]) for name, df in models.items()]
-    reports += [
-        unique_combination(df, name, UNIQUE_KEYS[name])
-        for name, df in models.items()
+    reports = [
+        run_checks_with_key(df, name, declared[name], UNIQUE_KEYS[name])
         if name in UNIQUE_KEYS
+        else run_checks(df, name, declared[name])
+        for name, df in models.items()
     ]
     return reduce(DataFrame.unionByName, reports)
 

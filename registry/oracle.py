@@ -511,35 +511,70 @@ KEYWORD_KEYS = "account_id, keyword_text, ad_group_name, campaign_name, date"
 TERM_KEYS = """account_id, ad_group_name, search_term, matched_keyword_text,
     matched_keyword_match_type, date""".replace("\n    ", " ")
 
+SCOPE_OUTSIDE = "scope NOT IN ('campaign', 'ad_group')"
+ACCEPTED = "accepted_values"
+FIGURES = ("impressions", "clicks", "spend")
+
+
+def expression(model: str, column: str, condition: str, source: str) -> str:
+    return check(model, "expression_is_true", column, f"NOT {column} {condition}", source)
+
+
 DQ_GOLD = [
     *nulls("gold.daily_performance", "daily", "account_id", "date", "platform", "impressions", "spend"),
-    check("gold.daily_performance", "accepted_values", "platform", PLATFORM_OUTSIDE, "daily"),
-    check("gold.daily_performance", "expression_is_true", "spend", "NOT spend >= 0", "daily"),
+    check("gold.daily_performance", ACCEPTED, "platform", PLATFORM_OUTSIDE, "daily"),
+    expression("gold.daily_performance", "spend", ">= 0", "daily"),
+    not_unique("gold.daily_performance", "daily", "account_id, date, platform"),
+    *nulls("gold.weekly_performance", "weekly", "account_id", "week_start", "platform", "spend"),
+    check("gold.weekly_performance", ACCEPTED, "platform", PLATFORM_OUTSIDE, "weekly"),
+    expression("gold.weekly_performance", "spend", ">= 0", "weekly"),
+    not_unique("gold.weekly_performance", "weekly", "account_id, week_start, platform"),
     *nulls("gold.google_ads_keywords", "g_keywords", "account_id", "keyword_text", "date", "spend"),
-    check("gold.google_ads_keywords", "expression_is_true", "spend", "NOT spend > 0", "g_keywords"),
+    expression("gold.google_ads_keywords", "spend", "> 0", "g_keywords"),
+    not_unique("gold.google_ads_keywords", "g_keywords", KEYWORD_KEYS),
     *nulls("gold.google_search_terms", "g_terms", "account_id", "search_term", "date", "spend"),
-    check("gold.google_search_terms", "expression_is_true", "spend", "NOT spend > 0", "g_terms"),
+    expression("gold.google_search_terms", "spend", "> 0", "g_terms"),
+    not_unique("gold.google_search_terms", "g_terms", TERM_KEYS),
     *nulls("gold.google_negatives", "g_negatives", "account_id", "criterion_id", "scope"),
+    check("gold.google_negatives", ACCEPTED, "scope", SCOPE_OUTSIDE, "g_negatives"),
+    *nulls("gold.budget_pacing", "pacing", "account_id", "platform", "pace_flag"),
+    check("gold.budget_pacing", ACCEPTED, "platform", PLATFORM_OUTSIDE, "pacing"),
     check(
-        "gold.google_negatives",
-        "accepted_values",
-        "scope",
-        "scope NOT IN ('campaign', 'ad_group')",
-        "g_negatives",
+        "gold.budget_pacing",
+        ACCEPTED,
+        "pace_flag",
+        "pace_flag NOT IN ('over', 'under', 'on_track', 'unknown')",
+        "pacing",
     ),
-    *nulls("ops.client_budget", "client_budget", "account_id", "platform", "monthly_budget"),
-    check("ops.client_budget", "accepted_values", "platform", PLATFORM_OUTSIDE, "client_budget"),
-    check(
-        "ops.client_budget",
-        "expression_is_true",
-        "monthly_budget",
-        "NOT monthly_budget > 0",
-        "client_budget",
+]
+
+DQ_SILVER = [
+    *nulls("silver.google_ads", "s_google", "account_id", "campaign_id", "date", "platform", *FIGURES),
+    check("silver.google_ads", ACCEPTED, "platform", "platform <> 'google_ads'", "s_google"),
+    *nulls("silver.meta_ads", "s_meta", "account_id", "ad_id", "campaign_id", "date", "platform", *FIGURES),
+    check("silver.meta_ads", ACCEPTED, "platform", "platform <> 'meta_ads'", "s_meta"),
+    *nulls("silver.unified_campaigns", "unified", "account_id", "campaign_id", "date", "platform"),
+    check("silver.unified_campaigns", ACCEPTED, "platform", PLATFORM_OUTSIDE, "unified"),
+    *nulls(
+        "silver.google_ads_keywords_dedup", "s_keywords", "account_id", "keyword_id", "keyword_text", "date", "platform"
     ),
-    not_unique("gold.daily_performance", "daily", "account_id, date, platform"),
-    not_unique("gold.google_ads_keywords", "g_keywords", KEYWORD_KEYS),
-    not_unique("gold.google_search_terms", "g_terms", TERM_KEYS),
+    check("silver.google_ads_keywords_dedup", ACCEPTED, "platform", "platform <> 'google_ads'", "s_keywords"),
+    *nulls("silver.google_search_terms_dedup", "s_terms", "account_id", "search_term", "date"),
+    *nulls("silver.google_negatives_dedup", "s_negatives", "account_id", "criterion_id", "scope", "snapshot_date"),
+    check("silver.google_negatives_dedup", ACCEPTED, "scope", SCOPE_OUTSIDE, "s_negatives"),
+]
+
+DQ_OPS = [
+    *nulls("ops.client_budget", "client_budget", "account_id", "platform", "monthly_budget"),
+    check("ops.client_budget", ACCEPTED, "platform", PLATFORM_OUTSIDE, "client_budget"),
+    expression("ops.client_budget", "monthly_budget", "> 0", "client_budget"),
     not_unique("ops.client_budget", "client_budget", "account_id, platform"),
+    *nulls("ops.managed_accounts", "managed", "account_id", "platform"),
+    check("ops.managed_accounts", ACCEPTED, "platform", PLATFORM_OUTSIDE, "managed"),
+    not_unique("ops.managed_accounts", "managed", "account_id, platform"),
+    *nulls("users.app_users", "users", "id", "email", "role"),
+    check("users.app_users", ACCEPTED, "role", "role NOT IN ('admin', 'user')", "users"),
+    not_unique("users.app_users", "users", "email"),
 ]
 
 
@@ -792,6 +827,8 @@ _FINALS: dict[str, str] = {
         "bronze.google_ads_raw", "expression_is_true", "spend", "NOT spend > 0", "google_ads_raw"
     ),
     "dq_gold_models": " UNION ALL ".join(DQ_GOLD),
+    "dq_silver_models": " UNION ALL ".join(DQ_SILVER),
+    "dq_ops_tables": " UNION ALL ".join(DQ_OPS),
     "api_key_status": """SELECT k.id, k.user_id, u.role, k.last_used_at,
         CASE WHEN k.revoked_at IS NOT NULL THEN 'revoked'
              WHEN u.disabled_at IS NOT NULL THEN 'disabled'

@@ -549,18 +549,49 @@ def _dq_expression(m: Models) -> DataFrame:
     return quality.dq_expression(m.google_raw(), "bronze.google_ads_raw", "spend", positive)
 
 
+def _checked(models: dict[str, DataFrame]) -> DataFrame:
+    needed = {name: df.select(*checks.checked_columns(name)) for name, df in models.items()}
+    return checks.check_models(needed)
+
+
 def _dq_gold(m: Models) -> DataFrame:
-    tables = m.gold_tables()
-    models = {
-        "gold.daily_performance": tables.daily,
-        "gold.google_ads_keywords": tables.keywords,
-        "gold.google_search_terms": tables.search_terms,
-        "gold.google_negatives": tables.negatives,
-        "ops.client_budget": tables.budget,
-    }
-    models = {name: df.select(*checks.checked_columns(name)) for name, df in models.items()}
-    reread = [name for name in models if name in checks.UNIQUE_KEYS]
-    return checks.check_models(models | _stored({name: models[name] for name in reread}))
+    # the unified campaigns are below three of the models
+    unified = staged(m.unified(), "unified")
+    daily = gold.daily_performance(unified)
+    return _checked(
+        {
+            "gold.daily_performance": daily,
+            "gold.weekly_performance": gold.weekly_performance(unified),
+            "gold.google_ads_keywords": m.gold_keywords(),
+            "gold.google_search_terms": m.gold_search_terms(),
+            "gold.google_negatives": m.gold_negatives(),
+            "gold.budget_pacing": gold.budget_pacing(m.budget(), daily, AS_OF),
+        }
+    )
+
+
+def _dq_silver(m: Models) -> DataFrame:
+    meta, google = m.meta(), m.google()
+    return _checked(
+        {
+            "silver.google_ads": google,
+            "silver.meta_ads": meta,
+            "silver.unified_campaigns": silver.unified_campaigns(meta, google),
+            "silver.google_ads_keywords_dedup": m.keywords(),
+            "silver.google_search_terms_dedup": m.search_terms(),
+            "silver.google_negatives_dedup": m.negatives(),
+        }
+    )
+
+
+def _dq_ops(m: Models) -> DataFrame:
+    return _checked(
+        {
+            "ops.client_budget": m.budget(),
+            "ops.managed_accounts": _managed(m),
+            "users.app_users": _users(m),
+        }
+    )
 
 
 def _clients(m: Models) -> DataFrame:
@@ -655,6 +686,8 @@ RUNS: dict[str, Callable[[Models], DataFrame]] = {
     "dq_unique": _dq_unique,
     "dq_expression": _dq_expression,
     "dq_gold_models": _dq_gold,
+    "dq_silver_models": _dq_silver,
+    "dq_ops_tables": _dq_ops,
     "api_key_status": _key_status,
     "key_hashes": _hashes,
     "list_users": lambda m: access.list_users(_users(m)),
