@@ -30,7 +30,7 @@ TASK_PIECES = 50_000
 #: Open bins that one task of a later round repacks.
 ROUND_BINS = 32 * OPEN_BINS
 #: Words whose ids a worker remembers.
-MEMORY_WORDS = 600_000
+MEMORY_WORDS = 1_000_000
 
 
 class WordIds(dict):
@@ -105,9 +105,10 @@ def tokenize(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) ->
         known = _known[tokenizer]
         end = END_TOKEN.to_bytes(4, "little")
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            # bytes as they are: words end at ASCII white space, which no other character contains
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
             for first in range(0, len(keys), 256):
-                bodies = [(t.as_py() or "").encode().split() for t in texts.slice(first, 256)]
+                bodies = [(t or b"").split() for t in texts.slice(first, 256).to_pylist()]
                 known.learn(set().union(*bodies))
                 out: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
                 for key, words in zip(keys[first : first + 256], bodies, strict=True):
