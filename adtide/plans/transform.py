@@ -143,7 +143,8 @@ def budget_pacing_view(
     spark: SparkSession, root: str, as_of: date, name: str = "budget_pacing"
 ) -> DataFrame:
     """Pacing as a view: recomputed from the stored tables whenever it is read."""
-    tables = gold_tables(spark, root)
-    view = gold.budget_pacing(tables.budget, tables.daily, as_of)
+    budget = read_table(spark, root, "ops", "client_budget", CLIENT_BUDGET)
+    daily = read_table(spark, root, "gold", "daily_performance")
+    view = gold.budget_pacing(budget, daily, as_of)
     view.createOrReplaceTempView(name)
     return view

@@ -431,6 +431,7 @@ CTES: dict[str, str] = {
         SELECT u.account_id, 6, 'campaigns_without_negatives', 'info',
             u.n || ' campanhas sem negativas: ' || u.names
         FROM uncovered_list u JOIN overview o ON o.account_id = u.account_id""",
+    "google_latest_stored": latest("google_ads_raw", NATURAL, GOOGLE_TIES.replace(" _seq DESC,", "")),
     "merge_target": latest("google_ads_raw", NATURAL, GOOGLE_TIES, f"NOT ({LATE})"),
     "merge_batch": latest("google_ads_raw", NATURAL, GOOGLE_TIES, LATE),
     "managed": """SELECT CAST(s_suppkey % 500 AS VARCHAR) AS account_id,
@@ -840,4 +841,16 @@ _FINALS: dict[str, str] = {
     "list_users": "SELECT * FROM users",
 }
 
+_FINALS |= {
+    "scan_keyword_report": _FINALS["micros_and_flatten"],
+    "scan_search_term_report": _FINALS["flatten_search_terms"]
+    + " WHERE l_shipdate >= DATE '1996-01-01' AND l_shipdate < DATE '1999-01-01'",
+    "scan_negative_reports": _FINALS["snapshot_negatives"],
+    "scan_meta_insights": _FINALS["conform_meta"],
+    "snapshot_load_table": _FINALS["snapshot_negatives"],
+    "bronze_dedup_table": f"SELECT {MERGED} FROM google_latest_stored",
+    "budget_pacing_view": _FINALS["budget_pacing"],
+    "review_json": f"SELECT account_id, campaign_count, signal_codes FROM ({_FINALS['account_review']}) r",
+}
+
 ORACLES: dict[str, str] = {name: with_ctes(sql) for name, sql in _FINALS.items()}

@@ -16,10 +16,11 @@ from adtide.operators.filters import in_range, non_empty
 from adtide.operators.latest import bronze_dedup
 from adtide.plans import access, checks, gold, metrics, review, silver
 from adtide.plans.review import GoldTables
-from adtide.schemas import ACCOUNT_KEYS, CLIENT_BUDGET, GOOGLE, GOOGLE_ADS_RAW, META
+from adtide.plans.transform import budget_pacing_view
+from adtide.schemas import ACCOUNT_KEYS, CLIENT_BUDGET, GOOGLE, GOOGLE_ADS_RAW, GOOGLE_NEGATIVES_RAW, META
 from adtide.session import new_workspace
 from adtide.sources import reports, testdata
-from adtide.sources.tables import materialize, read_table, side_by_side, staged
+from adtide.sources.tables import materialize, read_table, side_by_side, staged, write_review_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,7 @@ NEXT_MONTH = date(2024, 2, 10)
 LOADED_AT = datetime(2024, 1, 20, 5, 0)
 REREAD = ("daily", "keywords", "search_terms", "negatives")
 LATE_BATCH = datetime(2000, 6, 1)
+SCANNED_DAYS = Period(date(1996, 1, 1), date(1998, 12, 31))
 
 
 class Models:
@@ -412,7 +414,7 @@ def _snapshot_negatives(m: Models) -> DataFrame:
     )
 
 
-def _insights(m: Models) -> DataFrame:
+def _insight_rows(m: Models) -> DataFrame:
     """The events as ad insights with text figures and nested actions."""
     event, user = F.col("event_id"), F.col("user_id")
     # an action with more fields than the ones that are counted
@@ -421,7 +423,7 @@ def _insights(m: Models) -> DataFrame:
         (event % 7).cast("string").alias("value"),
         (event % 3).cast("string").alias("7d_click"),
     )
-    rows = m.table("events").select(
+    return m.table("events").select(
         user.cast("string").alias("account_id"),
         F.when(user % 3 != 0, F.lit("Account")).alias("account_name"),
         (user % 12).cast("string").alias("campaign_id"),
@@ -437,7 +439,80 @@ def _insights(m: Models) -> DataFrame:
         F.lit("mobile").alias("device_platform"),
         F.when(event % 2 == 0, F.col("event_type")).alias("publisher_platform"),
     )
-    return reports.stamp_load(reports.conform_meta(rows), LOADED_AT, META)
+
+
+def _insights(m: Models) -> DataFrame:
+    return reports.stamp_load(reports.conform_meta(_insight_rows(m)), LOADED_AT, META)
+
+
+def _landed(m: Models, report: DataFrame, name: str) -> str:
+    """A nested report as JSON files, and their folder."""
+    path = new_workspace(m.spark, name)
+    report.write.json(path)
+    return path
+
+
+def _scan_keywords(m: Models) -> DataFrame:
+    return reports.read_keyword_report(m.spark, _landed(m, _nested_keywords(m), "keywords"))
+
+
+def _scan_search_terms(m: Models) -> DataFrame:
+    path = _landed(m, _nested_search_terms(m), "terms")
+    return reports.read_search_term_report(m.spark, path, SCANNED_DAYS)
+
+
+def _scan_negatives(m: Models) -> DataFrame:
+    campaign = _landed(m, _nested_negatives(m, "campaign_criterion"), "campaign")
+    ad_group = _landed(m, _nested_negatives(m, "ad_group_criterion"), "ad-group")
+    return reports.all_negatives(
+        reports.read_campaign_negatives(m.spark, campaign, AS_OF),
+        reports.read_ad_group_negatives(m.spark, ad_group, AS_OF),
+    )
+
+
+def _scan_meta(m: Models) -> DataFrame:
+    actions = "array<struct<action_type:string,value:string,`7d_click`:string>>"
+    nested = _insight_rows(m).withColumn("actions", F.from_json("actions", actions))
+    rows = reports.read_meta_insights(m.spark, _landed(m, nested, "insights"))
+    return reports.stamp_load(rows, LOADED_AT, META)
+
+
+def _snapshot_table(m: Models) -> DataFrame:
+    """Today's negatives, stored twice as a rerun would."""
+    root, rows = new_workspace(m.spark, "snapshot"), _snapshot_negatives(m)
+    for _ in range(2):
+        upsert.snapshot_load(m.spark, root, GOOGLE_NEGATIVES_RAW, rows.drop("snapshot_date"), LOADED_AT, GOOGLE)
+    stored = read_table(m.spark, root, "bronze", GOOGLE_NEGATIVES_RAW.name, GOOGLE_NEGATIVES_RAW.schema)
+    return stored.select(*rows.columns)
+
+
+def _dedup_table(m: Models) -> DataFrame:
+    """Stored raw rows with keys several times, of which only the touched days are rewritten."""
+    root = new_workspace(m.spark, "dedup")
+    stored = upsert.conform(m.google_raw(), GOOGLE_ADS_RAW.schema)
+    materialize(stored, root, "bronze", GOOGLE_ADS_RAW.name, GOOGLE_ADS_RAW.partition)
+    # the order of arrival is no column of the table
+    upsert.dedup_stored(m.spark, root, GOOGLE_ADS_RAW, testdata.google_ads_ties()[1:])
+    rows = read_table(m.spark, root, "bronze", GOOGLE_ADS_RAW.name, GOOGLE_ADS_RAW.schema)
+    return rows.select(*MERGED_COLUMNS)
+
+
+def _pacing_view(m: Models) -> DataFrame:
+    root = new_workspace(m.spark, "view")
+    materialize(m.daily(), root, "gold", "daily_performance", "date")
+    materialize(upsert.conform(m.budget(), CLIENT_BUDGET), root, "ops", "client_budget")
+    budget_pacing_view(m.spark, root, AS_OF, "registered_pacing")
+    return m.spark.table("registered_pacing")
+
+
+def _review_json(m: Models) -> DataFrame:
+    """Review documents written as JSON lines and read back."""
+    documents = review.account_review(_review_inputs(m, *REREAD), PERIOD, AS_OF)
+    path = new_workspace(m.spark, "reviews")
+    write_review_json(documents, path)
+    fields = "account struct<account_id:string>, campaign_count long, signals array<struct<code:string>>"
+    rows = m.spark.read.schema(fields).json(path)
+    return rows.select("account.account_id", "campaign_count", F.array_join("signals.code", ",").alias("signal_codes"))
 
 
 def _google_accounts(m: Models) -> DataFrame:
@@ -678,6 +753,14 @@ RUNS: dict[str, Callable[[Models], DataFrame]] = {
     "flatten_search_terms": lambda m: reports.flatten_search_term(_nested_search_terms(m)),
     "snapshot_negatives": _snapshot_negatives,
     "conform_meta": _insights,
+    "scan_keyword_report": _scan_keywords,
+    "scan_search_term_report": _scan_search_terms,
+    "scan_negative_reports": _scan_negatives,
+    "scan_meta_insights": _scan_meta,
+    "snapshot_load_table": _snapshot_table,
+    "bronze_dedup_table": _dedup_table,
+    "budget_pacing_view": _pacing_view,
+    "review_json": _review_json,
     "list_google_accounts": _google_accounts,
     "list_meta_accounts": _meta_accounts,
     "normalize_accounts": _normalized,
