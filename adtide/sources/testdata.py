@@ -21,6 +21,24 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+#: Columns of the joined lines that the raw ad tables are made of.
+LINE_COLUMNS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "o_custkey",
+    "o_totalprice",
+    "o_orderdate",
+)
+
+
 def _texts(expressions: dict[str, str]) -> list[str]:
     return [f"CAST({text} AS STRING) AS {name}" for name, text in expressions.items()]
 
@@ -43,8 +61,8 @@ _LINE_FIGURES = [
 _ORDER_VALUE = "if(o_custkey % 4 = 3, o_totalprice / 50, o_totalprice)"
 
 
-def google_ads_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_lines(spark, sf_dir).selectExpr(
+def google_ads_raw(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return (order_lines(spark, sf_dir) if lines is None else lines).selectExpr(
         *_texts(
             _LINE_TEXTS
             | {
@@ -87,9 +105,12 @@ def google_ads_ties() -> list[Column]:
     ]
 
 
-def google_search_terms_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def google_search_terms_raw(
+    spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
+) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    rows = order_lines(spark, sf_dir).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = order_lines(spark, sf_dir) if lines is None else lines
+    rows = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
     return rows.selectExpr(
         *_texts(
             _LINE_TEXTS

@@ -38,12 +38,18 @@ class Models:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self.lines: DataFrame | None = None
+
+    def share_lines(self) -> None:
+        """Write the joined order lines once, for a query whose models start from them several times."""
+        lines = testdata.order_lines(self.spark, self.sf_dir).select(*testdata.LINE_COLUMNS)
+        self.lines = staged(lines, "lines")
 
     def _raw(self, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
         return build(self.spark, self.sf_dir)
 
     def google_raw(self) -> DataFrame:
-        return self._raw(testdata.google_ads_raw)
+        return testdata.google_ads_raw(self.spark, self.sf_dir, self.lines)
 
     def meta_raw(self) -> DataFrame:
         return self._raw(testdata.meta_ads_raw)
@@ -60,7 +66,7 @@ class Models:
         return silver.silver_keywords(self.google_raw(), testdata.google_ads_ties())
 
     def search_terms(self) -> DataFrame:
-        raw = self._raw(testdata.google_search_terms_raw)
+        raw = testdata.google_search_terms_raw(self.spark, self.sf_dir, self.lines)
         return silver.silver_search_terms(raw, testdata.search_term_ties())
 
     def negatives(self) -> DataFrame:
@@ -116,6 +122,7 @@ def _stored(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _review_inputs(m: Models, *reread: str) -> GoldTables:
+    m.share_lines()
     inputs = review.review_inputs(m.gold_tables(), PERIOD)
     return inputs._replace(**_stored({name: getattr(inputs, name) for name in reread}))
 
@@ -630,6 +637,7 @@ def _checked(models: dict[str, DataFrame]) -> DataFrame:
 
 
 def _dq_gold(m: Models) -> DataFrame:
+    m.share_lines()
     # the unified campaigns are below three of the models
     unified = staged(m.unified(), "unified")
     daily = gold.daily_performance(unified)
@@ -646,6 +654,7 @@ def _dq_gold(m: Models) -> DataFrame:
 
 
 def _dq_silver(m: Models) -> DataFrame:
+    m.share_lines()
     meta, google = m.meta(), m.google()
     return _checked(
         {
