@@ -92,34 +92,41 @@ def score(documents: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFra
     return scored.withColumn("key", F.col("log_weight") - F.log(-F.log(chance)))
 
 
-def largest(rows: DataFrame, key: str, count: int) -> Column:
-    """Condition that holds for the ``count`` rows with the largest key, all rows of equal key and doc at the border alike.
+def _border(rows: DataFrame, column: str, count: int) -> tuple[float | int | None, int]:
+    """Value of the ``count``-th largest row, and the number of rows above that value.
 
     Each round counts rows in 1,024 ranges of what is left and keeps the range that holds the border.
     """
-    low, high = rows.agg(F.min(key), F.max(key)).first()
-    if low is None or count <= 0:
-        return F.lit(False)
-    taken = 0
-    while low < high:
-        width = (high - low) / _RANGES
-        place = F.least(F.floor((F.col(key) - low) / width), F.lit(_RANGES - 1)) if width > 0 else F.lit(0)
-        own = rows.where((F.col(key) >= low) & (F.col(key) <= high)).groupBy(place.alias("place")).agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
-        ranges = sorted((r.place, r.n, r.low, r.high) for r in own.collect())
-        for _, n, least, most in reversed(ranges):
-            if taken + n >= count:
-                low, high = least, most
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    above = 0
+    while low is not None and low < high:
+        width = (high - low) // _RANGES + 1 if isinstance(low, int) else (high - low) / _RANGES
+        steps = (F.col(column).cast("decimal(20,0)") - F.lit(low)) / width if isinstance(low, int) else (F.col(column) - low) / width
+        place = F.least(F.floor(steps), F.lit(_RANGES - 1)).cast("int")
+        own = rows.where(F.col(column).between(low, high)).groupBy(place.alias("place"))
+        # at most one row for each range
+        ranges = own.agg(F.count("*").alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).orderBy(F.desc("place")).collect()
+        for r in ranges:
+            if above + r.n >= count:
+                low, high = r.low, r.high
                 break
-            taken += n
-        else:
-            return F.lit(True)
-        if len(ranges) == 1:
-            break
-    border = rows.where((F.col(key) >= low) & (F.col(key) <= high))
-    # rows that agree in the key: as good as none but for copies of one id
-    ids = [r.doc for r in border.select(doc_key().alias("doc")).orderBy("doc").limit(max(count - taken, 1)).collect()] if low == high and count - taken <= 10_000 else []
-    last = ids[-1] if ids else 2**63 - 1
-    return (F.col(key) > high) | ((F.col(key) >= low) & (doc_key() <= F.lit(last)))
+            above += r.n
+    return low, above
+
+
+def largest(rows: DataFrame, key: str, count: int) -> Column:
+    """Condition that holds for the ``count`` rows with the largest key; of equal keys the smaller ids.
+
+    Rows that agree in key and id are taken alike.
+    """
+    if count <= 0:
+        return F.lit(False)
+    border, above = _border(rows, key, count)
+    if border is None:
+        return F.lit(False)
+    at_border = rows.where(F.col(key) == F.lit(border)).select((-doc_key()).alias("turn"))
+    last, _ = _border(at_border, "turn", count - above)
+    return (F.col(key) > F.lit(border)) | ((F.col(key) == F.lit(border)) & (-doc_key() >= F.lit(last)))
 
 
 def resample(documents: DataFrame, labels: DataFrame, share: float = KEEP_SHARE, seed: int = SEED) -> DataFrame:
