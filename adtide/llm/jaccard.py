@@ -13,8 +13,8 @@ ones; a document passes on only as many of its tokens as that order can need. Th
 Equal sets form one class beforehand. The members of a group are compared first; every part of
 a large group also holds the group's first document, which joins the parts. What one component already connects is
 not compared again. From then on a token that only one component has counts as a token of a single document, which
-closes all that share less than a link's part with other components. Those still open are compared with the first
-document of their group under other hashes, and last a group is opened by documents of other components whose first
+closes all that share less than a link's part with other components. Those still open pass on all their tokens for
+an order by rarity alone, are compared with the first document of their group under other hashes, and last a group is opened by documents of other components whose first
 tokens are in its union, the smaller component asking the larger. An opened group compares whole sets. Links lose
 no pair that could connect two components.
 
@@ -109,9 +109,13 @@ def _summaries(documents: DataFrame) -> DataFrame:
 
 
 def _first(n: int, counts: list[int], found: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """The shared ones among a set's first tokens. found: its shared tokens, often: documents that have them."""
+    """The shared ones among a set's first tokens. found: its shared tokens, often: documents that have them.
+
+    counts: tokens passed on per level; a single count stands for a whole set in an order without levels.
+    """
     room = first_tokens(n)
-    level = np.searchsorted(_EDGES, found.view(np.uint64), side="left")
+    whole = counts == [n]
+    level = np.zeros(len(found), dtype=int) if whole else np.searchsorted(_EDGES, found.view(np.uint64), side="left")
     taken = []
     for at, count in enumerate(counts):
         own = np.flatnonzero(level == at)
@@ -233,6 +237,17 @@ def _with_sets(texts: DataFrame) -> DataFrame:
     return texts.select("v", "text", "gids").mapInArrow(run, "v long, n int, own boolean, gid long, tokens binary")
 
 
+def _whole_sets(sets: DataFrame) -> DataFrame:
+    """v, doc, tid, n, all: the set of each document as an array."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            arrays = [np.frombuffer(b.as_py(), dtype=np.int64) for b in batch.column(4)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(arrays, pa.list_(pa.int64()))], names=["v", "doc", "tid", "n", "all"])
+
+    return sets.select("v", "doc", "tid", "n", "tokens").mapInArrow(run, "v long, doc long, tid long, n int, all array<long>")
+
+
 def _relabelled(labels: DataFrame, joined: DataFrame) -> DataFrame:
     """v, gid, label after components named ``a`` became part of ``b``."""
     return labels.join(joined, F.col("label") == F.col("a"), "left").select("v", "gid", F.coalesce("b", "label").alias("label"))
@@ -292,11 +307,16 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     own = cells.where("own").select("v", "tokens", F.col("gid").alias("home"))
     base_sets = left.select("v", "doc", "tid", "n", "counts")
     used = left.select("v", F.explode("found").alias("token"))
+    # documents that share much across components are few and pass on all tokens, for an order by rarity alone
+    wide = _still_open(used.join(labels.select("v", "label"), "v"), base_sets, 0, "label").select("v", "doc", "tid", "n")
+    wide = store(_whole_sets(wide.join(own.select("v", "tokens"), "v")), "wide")
+    whole_sets = wide.select("v", "doc", "tid", "n", F.array("n").alias("counts"))
+    used = wide.select("v", F.explode("all").alias("token"))
     for seed in range(1, STAR_ROUNDS + 1):
-        labelled = store(_still_open(used.join(labels.select("v", "label"), "v"), base_sets, seed, "label").select("v", "n", "first", "grp").join(labels, "v"), "labelled")
-        stars = _stars(labelled, own)
-        labels = store(_relabelled(labels, components(stars)), "labels")
-    labelled = _still_open(used.join(labels.select("v", "label"), "v"), base_sets, 0, "label").select("v", "n", "first").join(labels, "v")
+        labelled = _still_open(used.join(labels.select("v", "label"), "v"), whole_sets, seed, "label")
+        labelled = store(labelled.select("v", "n", "first", "grp").join(labels, "v"), "labelled")
+        labels = store(_relabelled(labels, components(_stars(labelled, own))), "labels")
+    labelled = _still_open(used.join(labels.select("v", "label"), "v"), whole_sets, 0, "label").select("v", "n", "first").join(labels, "v")
     labelled = store(labelled, "labelled")
     sizes = labelled.groupBy("label").agg(F.count("*").alias("weight"))
     labelled = store(labelled.join(sizes, "label"), "weighed")
