@@ -114,17 +114,20 @@ def _dictionaries(own: list[set[bytes]], other: list[set[bytes]]) -> tuple[bytes
     """Toxic and ordinary dictionary of the words of toxic and of ordinary texts."""
     import zstandard
 
-    words, grams = [], []
-    for texts in (own, other):
-        count, gram = Counter(), Counter()
-        for text in texts:
-            count.update(text)
-            gram.update(set().union(*map(_grams, text)))
-        words.append(count)
-        grams.append(gram)
+    words = [Counter(w for text in texts for w in text) for texts in (own, other)]
+    grams: Counter = Counter()
+    for text in own:
+        grams.update(set().union(*map(_grams, text)))
+    grams = Counter({g: c for g, c in grams.items() if c >= max(3, 0.015 * len(own))})
+    # ordinary text only counts for grams that are frequent in toxic text
+    wanted = grams.keys()
+    holding = {w: found for w in words[1] if (found := _grams(w) & wanted)}
+    against: Counter = Counter()
+    for text in other:
+        against.update(set().union(*(holding[w] for w in text if w in holding)))
     # grams of toxic text that ordinary text hardly has
     rate = 30 * len(own) / len(other)
-    telling = {g for g, c in grams[0].items() if c >= max(3, 0.015 * len(own)) and c > rate * (grams[1][g] + 0.5)}
+    telling = {g for g, c in grams.items() if c > rate * (against[g] + 0.5)}
     # words with such a gram that ordinary text does not have, the most frequent last, where a match is cheapest
     ranked = sorted(words[0], key=lambda w: (words[0][w], w))
     marking = [w for w in ranked if w and words[0][w] > rate * words[1][w] and _grams(w) & telling]
@@ -144,7 +147,9 @@ def train(toxic: list[str], ordinary: list[str]) -> Model:
     toxic, ordinary = list(dict.fromkeys(toxic)), list(dict.fromkeys(ordinary))
     if len(toxic) < 2 or len(ordinary) < 2:
         return Model()
-    own, other = [_words(t) for t in toxic], [_words(t) for t in ordinary]
+    # one object for each word, however many texts hold it
+    known: dict[bytes, bytes] = {}
+    own, other = ([{known.setdefault(w, w) for w in _words(t)} for t in texts] for texts in (toxic, ordinary))
     held = [own[3::4] or own[-1:], other[3::4] or other[-1:]]
     model = Model(*_dictionaries([w for i, w in enumerate(own) if i % 4 != 3], [w for i, w in enumerate(other) if i % 4 != 3]))
     if not model.toxic:
