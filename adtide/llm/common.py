@@ -15,15 +15,20 @@ from adtide.session import new_workspace
 
 #: Bytes of text handled at once; bounds the numpy buffers of a task.
 SLICE_BYTES = 1 << 20
+#: Rows that a Python worker gets at once.
+BATCH_ROWS = 2000
 #: Stands for a null doc_id inside the operators: later than every other id.
 LAST_ID = 2**63 - 1
 
 
-def import_path(spark: SparkSession) -> None:
-    """Let Python workers started from now on import this package from where the driver did.
+def prepare_workers(spark: SparkSession) -> None:
+    """Settings of a session that runs the registered queries or the pipeline.
 
-    Where executors do not have that folder, the package goes along with ``--py-files``.
+    Python workers started from now on import this package from where the driver did; where executors do
+    not have that folder, the package goes along with ``--py-files``. Batches of rows with whole texts or
+    sets are kept small.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     folder = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     parts = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]

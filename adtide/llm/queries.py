@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtide.llm.common import held_out, import_path
+from adtide.llm.common import held_out, prepare_workers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    import_path(spark)
+    prepare_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -34,7 +34,7 @@ TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES = 3000, 4000, 1 << 14
 THRESHOLD = 0.3
 TOXIC_DICTIONARY, ORDINARY_DICTIONARY = 1 << 15, 3 << 14
 #: Words whose verdict a worker remembers.
-MEMORY_WORDS = 500_000
+MEMORY_WORDS = 300_000
 #: Bytes of the pieces of words that are compared between the classes, besides whole words.
 GRAMS = (5, 8)
 EDGES = b'.,;:!?"()[]|*#$'

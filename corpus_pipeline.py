@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtide.llm import jaccard, mixing, packing, substring, toxicity
-from adtide.llm.common import import_path, one_row_each, store
+from adtide.llm.common import prepare_workers, one_row_each, store
 from adtide.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -18,7 +18,7 @@ ORACLE_SQL = None
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold; the classifier learns from those of the input with labels."""
-    import_path(spark)
+    prepare_workers(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score(docs.select(*COLUMNS), model)
     return scored.where(F.col("toxicity") < toxicity.THRESHOLD).select(*COLUMNS)
@@ -26,7 +26,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the document with the smallest id, then the smallest hash of the text."""
-    import_path(spark)
+    prepare_workers(spark)
     found = jaccard.jaccard_components(docs)
     key = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"), "tid")
     first = found.groupBy("component").agg(F.min(key).alias("kept")).select("kept.doc", "kept.tid")
@@ -35,7 +35,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that an earlier document holds are cut; other texts stay as they are."""
-    import_path(spark)
+    prepare_workers(spark)
     cut = substring.without_repeats(docs.select(*COLUMNS))
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
@@ -45,7 +45,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    import_path(spark)
+    prepare_workers(spark)
     mixed = mixing.mix_sources(docs).where("copies > 0")
     # rows that agree in id, text and source are one row with their copies added
     doc = F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc")
@@ -60,7 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequences and offsets."""
-    import_path(spark)
+    prepare_workers(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 
@@ -75,7 +75,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; every result but the last is written and read again."""
-    import_path(spark)
+    prepare_workers(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for at, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
