@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from adtide.llm import license
+import textwrap
+
+from adtide.llm import license, license_texts
 
 
 def test_statements_and_inheritance(spark):
@@ -34,3 +36,38 @@ def test_templates_are_their_own_best_match():
     for name, text in license.TEMPLATES.items():
         assert license.best_template(f"Before it.\n{text}\nAfter.", idf, 1.0)[0] == name
     assert license.best_template("Nothing of that sort here, only words.", idf, 1.0)[1] < license.THRESHOLD
+
+
+def found(text: str) -> str | None:
+    name, score = license.best_template(text, dict.fromkeys(license.VOCABULARY, 4.0), 9.0)
+    return name if score >= license.THRESHOLD else None
+
+
+def wrapped(text: str, width: int = 60, mark: str = "") -> str:
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_texts_headers_and_tags():
+    for name, text in license_texts.PASSAGES:
+        assert found(f"Copyright (c) 2019 Jane Roe\n\n{wrapped(text)}\n") == name, text
+        assert found(f"#!/bin/sh\n{wrapped(text, 48, ' * ')}\n\nint main(void);\nreturn zero;") == name, text
+    for tag, name in {"Apache-2.0": "Apache-2.0", "GPL-2.0-or-later": "GPL-2.0", "EPL-2.0": "EPL-2.0", "MIT OR Apache-2.0": "MIT OR Apache-2.0", "mit": "MIT"}.items():
+        assert found(f"// SPDX-License-Identifier: {tag}\nint x;") == name
+    assert found("This small library of mine, written in spring, is released under the MIT license, so use it as you like and tell others") == "MIT"
+    assert found("The whole of this code is licensed under the GPLv3 as are its many tests and other files") == "GPL-3.0"
+
+
+def test_neighbours_are_kept_apart():
+    assert found("Licensed under the GNU Affero General Public License, version 3.") == "AGPL-3.0"
+    assert found("Licensed under the GNU Lesser General Public License, version 2.1.") == "LGPL-2.1"
+    assert found("Licensed under CC BY-ND 4.0.") == "CC-BY-ND-4.0" and found("Licensed under CC BY-NC-SA 4.0.") == "CC-BY-NC-SA-4.0"
+    assert found("Licensed under the BSD 2-Clause License.") == "BSD-2-Clause"
+    for other in ("Licensed under the Eclipse Public License, version 2.0.", "Licensed under the GNU General Public License, version 1.", "Licensed under CC BY 3.0.", "Released under the XYZ License."):
+        assert found(other) is None, other
+
+
+def test_licence_file_with_a_whole_text_is_inherited(spark):
+    body = wrapped(dict(license_texts.PASSAGES[::-1])["MIT"])
+    rows = [(1, "https://h.org/a/LICENSE", f"Copyright 2020 J. Roe\n\n{body}"), (2, "https://h.org/a/b/c", "Some prose.")]
+    got = license.scan(spark.createDataFrame(rows, "page_id long, url string, html string"), "page_id", "url", "html").collect()
+    assert {(r.id, r.license, r.origin) for r in got} == {(1, "MIT", "own"), (2, "MIT", "inherited")}
