@@ -31,8 +31,14 @@ def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adtide.llm import license
 
-    found = license.scan(table(spark, sf_dir, "pages"), "page_id", "url", "html")
-    return found.withColumnRenamed("id", "page_id")
+    pages = license.scan(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    # documents have no path: they state a licence of their own or none
+    unplaced = table(spark, sf_dir, "documents").select("doc_id", F.lit(None).cast("string").alias("url"), "text")
+    documents = license.scan(unplaced, "doc_id", "url", "text")
+    none = F.lit(None).cast("long")
+    stated = ("license", "score", "origin", "declared_by")
+    rows = pages.select(F.lit("pages").alias("table"), F.col("id").alias("page_id"), none.alias("doc_id"), *stated)
+    return rows.unionByName(documents.select(F.lit("documents").alias("table"), none.alias("page_id"), F.col("id").alias("doc_id"), *stated))
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:

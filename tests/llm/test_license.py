@@ -3,6 +3,7 @@ from __future__ import annotations
 import textwrap
 
 from adtide.llm import license, license_texts
+from adtide.llm.queries import op2_license
 
 
 def test_statements_and_inheritance(spark):
@@ -71,3 +72,10 @@ def test_licence_file_with_a_whole_text_is_inherited(spark):
     rows = [(1, "https://h.org/a/LICENSE", f"Copyright 2020 J. Roe\n\n{body}"), (2, "https://h.org/a/b/c", "Some prose.")]
     got = license.scan(spark.createDataFrame(rows, "page_id long, url string, html string"), "page_id", "url", "html").collect()
     assert {(r.id, r.license, r.origin) for r in got} == {(1, "MIT", "own"), (2, "MIT", "inherited")}
+
+
+def test_query_scans_documents_too(spark, tmp_path):
+    spark.createDataFrame([(1, "https://h.org/a", "Nothing.")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(1, "Prose.\nReleased under the MIT License."), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.table, r.page_id, r.doc_id, r.license, r.declared_by) for r in op2_license(spark, str(tmp_path)).collect()}
+    assert got == {("pages", 1, None, None, None), ("documents", None, 1, "MIT", 1), ("documents", None, 2, None, None)}
