@@ -142,8 +142,11 @@ def _dictionaries(own: list[set[bytes]], other: list[set[bytes]]) -> tuple[bytes
     return content, base
 
 
-def train(toxic: list[str], ordinary: list[str]) -> Model:
-    """Thresholds and scores are calibrated on every fourth text, with dictionaries of the others."""
+def train(toxic: list[str], ordinary: list[str], counts: tuple[int, int] | None = None) -> Model:
+    """Thresholds and scores are calibrated on every fourth text, with dictionaries of the others.
+
+    counts: labelled documents of each class that the texts stand for, as many as there are texts if not given.
+    """
     toxic, ordinary = list(dict.fromkeys(toxic)), list(dict.fromkeys(ordinary))
     if len(toxic) < 2 or len(ordinary) < 2:
         return Model()
@@ -174,8 +177,9 @@ def train(toxic: list[str], ordinary: list[str]) -> Model:
     for group, total in zip(measured, totals, strict=True):
         for text in group:
             total[min(2, sum(t <= model.longest and o - t >= model.least_saving for o, t in text))] += 1
-    # both classes weighed by their share of all labelled rows of the sample
-    shares = [total[0] / (total[0] + total[1]) for total in zip(*totals, strict=True)]
+    # each class weighs as much as it has labelled documents, however many of them are in the sample
+    weights = [count / sum(total) for count, total in zip(counts or (len(own), len(other)), totals, strict=True)]
+    shares = [weights[0] * total[0] / (weights[0] * total[0] + weights[1] * total[1]) for total in zip(*totals, strict=True)]
     model.scores = tuple(np.maximum.accumulate(shares).tolist())
     # with thresholds and scores set, the dictionaries learn from the held texts too
     model.toxic, model.ordinary = _dictionaries(own, other)
@@ -189,13 +193,15 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     """
     marked = labels.where("doc_id is not null and toxic is not null").where(~held_out())
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # one row for each class
+    sizes = {r["toxic"]: r["count"] for r in marked.where("toxic in (0, 1)").groupBy("toxic").count().collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     some = [marked.where(f"toxic = {kind}").orderBy(*order).limit(rows) for kind, rows in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS))]
     # at most 7,000 pairs of numbers
     chosen = some[0].unionByName(some[1])
     texts = identity(documents).where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(chosen), "doc_id")
     rows = texts.select("doc_id", "toxic", "text").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]).to_pylist()
-    return train([r["text"] for r in rows if r["toxic"] == 1], [r["text"] for r in rows if r["toxic"] == 0])
+    return train([r["text"] for r in rows if r["toxic"] == 1], [r["text"] for r in rows if r["toxic"] == 0], (sizes.get(1, 0), sizes.get(0, 0)))
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:

@@ -85,6 +85,25 @@ def test_toxicity_on_held_out_documents(spark):
     assert {r.toxicity for r in none.collect()} == {0.0}
 
 
+def test_toxicity_scores_do_not_depend_on_the_caps(spark, monkeypatch):
+    rng = random.Random(11)
+    data, marks = [], []
+    for doc in range(1200):
+        words = sentence(rng, 30).split()
+        toxic = doc % 10 == 0
+        # some toxic texts without a telling word, some ordinary ones with one
+        if rng.random() < (0.8 if toxic else 0.01):
+            words[3] = "zorgblat"
+        data.append((doc, " ".join(words), "aa", "s", 1))
+        marks.append((doc, 1, int(toxic)))
+    documents, labels = frame(spark, data), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    whole = toxicity.fit(documents, labels).scores
+    # ordinary rows are capped to as many as toxic ones
+    monkeypatch.setattr(toxicity, "ORDINARY_ROWS", 90)
+    capped = toxicity.fit(documents, labels).scores
+    assert whole[0] < 0.1 and capped[0] < 0.1
+
+
 def test_quality_sample_and_border(spark):
     rng = random.Random(9)
     good = "clear plain sound useful text".split()
