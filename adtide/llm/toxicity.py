@@ -4,7 +4,8 @@ Two zstandard dictionaries are trained, one on ordinary text and one on the word
 apart. A window, which is one word with its blanks, is compressed with both. It speaks for toxicity if
 its length under the toxic dictionary is at most one threshold and if it saves at least another against
 the ordinary dictionary. Both thresholds are calibrated on labelled documents that trained neither
-dictionary, and so is the score of a document with none, one or more such windows.
+dictionary, and so is the score of a document whose densest stretch of words has none, one or more such windows;
+the more stretches, the more of them chance explains.
 
 A short word has too few bytes for a compressed block to gain anything. Each byte is therefore written
 as four bytes of a fixed random code, which leaves the information as it is and scales the lengths.
@@ -26,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtide.llm.common import held_out, identity
+from adtide.llm.common import held_out, identity, store
 
-#: Bounds of the labelled sample: rows of each class, and bytes of a text that may be in it.
-TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES = 3000, 4000, 1 << 14
+#: Bounds of the labelled sample: rows of each class, and bytes of all its texts.
+TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES = 3000, 4000, 1 << 25
+#: Words of a stretch; the densest one of a text counts.
+STRETCH = 1000
 #: A score from here on predicts toxicity.
 THRESHOLD = 0.3
 TOXIC_DICTIONARY, ORDINARY_DICTIONARY = 1 << 15, 3 << 14
@@ -45,8 +48,12 @@ def _written(word: bytes) -> bytes:
     return b"".join([_CODE[c] for c in b" " + word + b" "])
 
 
-def _words(text: str) -> set[bytes]:
-    return {w.strip(EDGES) for w in text.encode().lower().split()}
+def _words(text: str) -> list[bytes]:
+    return [w.strip(EDGES) for w in text.encode().lower().split()]
+
+
+def _stretches(words: list[bytes]) -> list[set[bytes]]:
+    return [set(words[at : at + STRETCH]) for at in range(0, len(words), STRETCH)] or [set()]
 
 
 def _grams(word: bytes) -> set[bytes]:
@@ -58,15 +65,42 @@ def _grams(word: bytes) -> set[bytes]:
 
 @dataclass
 class Model:
-    """What a task needs: about 80 KB of dictionaries, two thresholds and three scores."""
+    """What a task needs: about 80 KB of dictionaries, two thresholds and a few rates."""
 
     toxic: bytes = b""
     ordinary: bytes = b""
     longest: int = -1
     least_saving: int = 1
-    scores: tuple[float, ...] = (0.0, 0.0, 0.0)
+    #: labelled documents of each class, toxic first
+    counts: tuple[float, float] = (0, 0)
+    #: share of toxic texts, and of stretches of ordinary ones, with at least one and at least two telling windows
+    toxic_rates: tuple[float, ...] = (0.0, 0.0)
+    ordinary_rates: tuple[float, ...] = (0.0, 0.0)
     memory: dict = field(default_factory=dict, repr=False)
 
+    @property
+    def scores(self) -> tuple[float, ...]:
+        return self.scores_of(1)
+
+    def scores_of(self, stretches: int) -> tuple[float, ...]:
+        """Scores of a text of so many stretches whose densest one has none, one or more telling windows.
+
+        Chance hits of the other stretches are in both classes alike, so that they say less of a long text.
+        """
+        if not self.toxic:
+            return 0.0, 0.0, 0.0
+        if stretches not in self.memory:
+            levels = []
+            for rates, others in ((self.toxic_rates, stretches - 1), (self.ordinary_rates, stretches - 1)):
+                one, two = (1 - (1 - p) * (1 - q) ** others for p, q in zip(rates, self.ordinary_rates, strict=True))
+                levels.append((1 - one, one - two, two))
+            shares = []
+            for own, other in zip(*levels, strict=True):
+                total = self.counts[0] * own + self.counts[1] * other
+                shares.append(self.counts[0] * own / total if total > 0 else 0.0)
+            self.memory[stretches] = tuple(np.maximum.accumulate(shares).tolist())
+        return self.memory[stretches]
+
     def compressors(self):
         import zstandard
 
@@ -152,8 +186,11 @@ def train(toxic: list[str], ordinary: list[str], counts: tuple[int, int] | None
         return Model()
     # one object for each word, however many texts hold it
     known: dict[bytes, bytes] = {}
-    own, other = ([{known.setdefault(w, w) for w in _words(t)} for t in texts] for texts in (toxic, ordinary))
-    held = [own[3::4] or own[-1:], other[3::4] or other[-1:]]
+    parted = [[_stretches([known.setdefault(w, w) for w in _words(t)]) for t in texts] for texts in (toxic, ordinary)]
+    own, other = ([parts[0] if len(parts) == 1 else set().union(*parts) for parts in texts] for texts in parted)
+    # toxic texts count as a whole, ordinary ones by their stretches
+    held = [own[3::4] or own[-1:], [part for parts in parted[1][3::4] or parted[1][-1:] for part in parts]]
+    dense = parted[0][3::4] or parted[0][-1:]
     model = Model(*_dictionaries([w for i, w in enumerate(own) if i % 4 != 3], [w for i, w in enumerate(other) if i % 4 != 3]))
     if not model.toxic:
         return Model()
@@ -173,14 +210,17 @@ def train(toxic: list[str], ordinary: list[str], counts: tuple[int, int] | None
             # a false alarm costs five misses
             best = max(best, (caught[0] - 5 * caught[1], saving, -longest))
     model.longest, model.least_saving = -best[2], best[1]
+    def level(text: list[tuple[int, int]]) -> int:
+        return min(2, sum(t <= model.longest and o - t >= model.least_saving for o, t in text))
+
     totals = [[0.5] * 3, [0.5] * 3]
-    for group, total in zip(measured, totals, strict=True):
-        for text in group:
-            total[min(2, sum(t <= model.longest and o - t >= model.least_saving for o, t in text))] += 1
+    for parts in dense:
+        totals[0][max(level([seen[w] for w in part]) for part in parts)] += 1
+    for text in measured[1]:
+        totals[1][level(text)] += 1
     # each class weighs as much as it has labelled documents, however many of them are in the sample
-    weights = [count / sum(total) for count, total in zip(counts or (len(own), len(other)), totals, strict=True)]
-    shares = [weights[0] * total[0] / (weights[0] * total[0] + weights[1] * total[1]) for total in zip(*totals, strict=True)]
-    model.scores = tuple(np.maximum.accumulate(shares).tolist())
+    model.counts = counts or (len(own), len(other))
+    model.toxic_rates, model.ordinary_rates = (((t[1] + t[2]) / sum(t), t[2] / sum(t)) for t in totals)
     # with thresholds and scores set, the dictionaries learn from the held texts too
     model.toxic, model.ordinary = _dictionaries(own, other)
     return model
@@ -199,8 +239,17 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     some = [marked.where(f"toxic = {kind}").orderBy(*order).limit(rows) for kind, rows in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS))]
     # at most 7,000 pairs of numbers
     chosen = some[0].unionByName(some[1])
-    texts = identity(documents).where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("doc_id", "toxic", "text").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]).to_pylist()
+    texts = identity(documents).where("text is not null").join(F.broadcast(chosen), "doc_id")
+    stored = store(texts.select("doc_id", "toxic", "text", F.xxhash64("doc_id").alias("turn"), F.xxhash64("text").alias("tid")), "labelled")
+    # texts of every length, in the same order, until the bytes are used up
+    sizes_of = stored.select("toxic", "turn", "doc_id", "tid", F.octet_length("text").alias("size")).distinct().toArrow()
+    left, taken = {0: SAMPLE_BYTES, 1: SAMPLE_BYTES}, []
+    for kind, turn, doc, tid, size in sorted(zip(*(c.to_pylist() for c in sizes_of.columns), strict=True)):
+        if size <= left[kind]:
+            left[kind] -= size
+            taken.append((doc, tid))
+    fitting = documents.sparkSession.createDataFrame(taken, "doc_id long, tid long")
+    rows = stored.join(F.broadcast(fitting), ["doc_id", "tid"]).select("doc_id", "toxic", "text").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]).to_pylist()
     return train([r["text"] for r in rows if r["toxic"] == 1], [r["text"] for r in rows if r["toxic"] == 0], (sizes.get(1, 0), sizes.get(0, 0)))
 
 
@@ -215,11 +264,17 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         verdicts = Verdicts(model) if model.toxic else None
         for batch in batches:
-            hits = []
+            hits, scores = [], []
             for text in batch.column(at):
                 body = text.as_py()
-                hits.append(sum(map(verdicts.__getitem__, set(body.encode().lower().split()))) if body and verdicts is not None else 0)
-            scores = [model.scores[min(2, h)] for h in hits]
+                if not body or verdicts is None:
+                    hits.append(0)
+                    scores.append(model.scores[0])
+                    continue
+                parts = _stretches(body.encode().lower().split())
+                found = [sum(map(verdicts.__getitem__, part)) for part in parts]
+                hits.append(sum(map(verdicts.__getitem__, set().union(*parts))) if len(parts) > 1 else found[0])
+                scores.append(model.scores_of(len(parts))[min(2, max(found))])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, pa.int64()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "toxic_windows", "toxicity"])
 
     schema = StructType([*frame.schema.fields, StructField("toxic_windows", LongType()), StructField("toxicity", DoubleType())])

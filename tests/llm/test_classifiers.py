@@ -104,6 +104,29 @@ def test_toxicity_scores_do_not_depend_on_the_caps(spark, monkeypatch):
     assert whole[0] < 0.1 and capped[0] < 0.1
 
 
+def test_a_chance_hit_says_less_of_a_long_text(spark):
+    rng = random.Random(12)
+    toxic, ordinary = [], []
+    for at in range(1000):
+        words = sentence(rng, 30).split()
+        bad = at % 4 == 0
+        if rng.random() < (0.9 if bad else 0):
+            words[3] = "zorgblat"
+        (toxic if bad else ordinary).append(" ".join(words))
+    model = toxicity.train(toxic, ordinary)
+    filler = sentence(rng, 20 * toxicity.STRETCH)
+    got = toxicity.score(spark.createDataFrame([(1, "a zorgblat b"), (2, f"zorgblat {filler}")], "doc_id long, text string"), model)
+    scores = {r.doc_id: r.toxicity for r in got.collect()}
+    assert scores[1] > toxicity.THRESHOLD and scores[2] < 0.9 * scores[1]
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    rng = random.Random(13)
+    data = [(d, f"{sentence(rng, 4000)} {'zorgblat' if d % 2 else ''}", "aa", "s", 1) for d in range(120)]
+    labels = spark.createDataFrame([(d, 1, d % 2) for d in range(120)], "doc_id long, quality int, toxic int")
+    assert toxicity.fit(frame(spark, data), labels).toxic
+
+
 def test_quality_sample_and_border(spark):
     rng = random.Random(9)
     good = "clear plain sound useful text".split()
