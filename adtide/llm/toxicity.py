@@ -24,13 +24,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtide.llm.common import held_out, identity, store
 
 #: Bounds of the labelled sample: rows of each class, and bytes of all its texts.
 TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES = 3000, 4000, 1 << 25
+#: Different texts of one id that may be in the sample.
+TEXTS_OF_ID = 4
 #: Words of a stretch; the densest one of a text counts.
 STRETCH = 1000
 #: A score from here on predicts toxicity.
@@ -240,7 +242,11 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     # at most 7,000 pairs of numbers
     chosen = some[0].unionByName(some[1])
     texts = identity(documents).where("text is not null").join(F.broadcast(chosen), "doc_id")
-    stored = store(texts.select("doc_id", "toxic", "text", F.xxhash64("doc_id").alias("turn"), F.xxhash64("text").alias("tid")), "labelled")
+    keyed = texts.select("doc_id", "toxic", "text", F.xxhash64("doc_id").alias("turn"), F.xxhash64("text").alias("tid"))
+    # repeated rows of an id are one, and of different texts of an id a few count
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("tid"))
+    few = keyed.dropDuplicates(["doc_id", "tid"]).withColumn("number", number).where(F.col("number") <= TEXTS_OF_ID).drop("number")
+    stored = store(few, "labelled")
     # texts of every length, in the same order, until the bytes are used up
     sizes_of = stored.select("toxic", "turn", "doc_id", "tid", F.octet_length("text").alias("size")).distinct().toArrow()
     left, taken = {0: SAMPLE_BYTES, 1: SAMPLE_BYTES}, []
