@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +96,12 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("tid", "component")
 
 
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adtide.llm import tokens
+
+    return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op2_license": op2_license,
@@ -107,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_jaccard": op10_jaccard,
+    "op12_tokens": op12_tokens,
 }
 
 ORACLES: dict[str, str] = {}
