@@ -102,6 +102,12 @@ def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adtide.llm import lexical
+
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op2_license": op2_license,
@@ -114,6 +120,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_jaccard": op10_jaccard,
     "op12_tokens": op12_tokens,
+    "op13_search": op13_search,
 }
 
-ORACLES: dict[str, str] = {}
+_SMALL_ASCII = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_SMALL_ASCII.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op13_search": f"""
+WITH numbered AS (SELECT row_number() OVER () AS row_no, doc_id, text FROM documents),
+words AS (SELECT row_no, doc_id, unnest({_TERMS}) AS term FROM numbered),
+sizes AS (SELECT row_no, doc_id, count(*) AS n FROM words GROUP BY ALL),
+whole AS (SELECT count(*) AS documents, sum(n)::BIGINT AS total FROM sizes),
+tfs AS (SELECT row_no, term, count(*) AS tf FROM words GROUP BY ALL),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM dfs, whole),
+asked AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+repeats AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL),
+scored AS (
+    SELECT item_id, row_no, doc_id,
+        sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // total))))::BIGINT AS score
+    FROM repeats JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (row_no), whole
+    GROUP BY ALL
+),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 20
+""",
+}
