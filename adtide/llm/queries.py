@@ -96,6 +96,12 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("tid", "component")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adtide.llm import phrases
+
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adtide.llm import tokens
 
@@ -119,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_jaccard": op10_jaccard,
+    "op11_phrases": op11_phrases,
     "op12_tokens": op12_tokens,
     "op13_search": op13_search,
 }
@@ -127,6 +134,35 @@ _SMALL_ASCII = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrs
 _TERMS = rf"regexp_extract_all({_SMALL_ASCII.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op11_phrases": f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_SMALL_ASCII.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+runs AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+phrases AS (SELECT lang, w[i : i + size - 1] AS p FROM runs, range(1, 6) AS lengths(size) WHERE i + size - 1 <= len(w)),
+counts AS (SELECT lang, p, count(*) AS f FROM phrases GROUP BY ALL),
+sizes AS (SELECT lang, sum(f) AS n FROM counts WHERE len(p) = 1 GROUP BY ALL),
+candidates AS (SELECT lang, p, f AS a FROM counts WHERE len(p) > 1 AND f >= 100),
+inside AS (
+    SELECT DISTINCT lang, longer.p[i : i + size - 1] AS p, a
+    FROM candidates AS longer, range(2, 5) AS lengths(size), range(1, 6) AS places(i)
+    WHERE size < len(longer.p) AND i + size - 1 <= len(longer.p)
+),
+left_over AS (SELECT * FROM candidates AS c WHERE NOT EXISTS (SELECT 1 FROM inside AS o WHERE o.lang = c.lang AND o.p = c.p AND o.a >= c.a)),
+cuts AS (SELECT lang, p, a, k, p[1 : k] AS head, p[k + 1 : len(p)] AS tail FROM left_over, range(1, 5) AS places(k) WHERE k < len(p)),
+scored AS (
+    SELECT c.lang, c.p, c.a, k, h.f AS l, t.f AS r, n, (1000::HUGEINT * a * n) // (h.f::HUGEINT * t.f) AS score
+    FROM cuts AS c JOIN counts AS h ON h.lang = c.lang AND h.p = c.head JOIN counts AS t ON t.lang = c.lang AND t.p = c.tail JOIN sizes AS s ON s.lang = c.lang
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (
+    SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score,
+        row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
+    FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+""",
     "op13_search": f"""
 WITH numbered AS (SELECT row_number() OVER () AS row_no, doc_id, text FROM documents),
 words AS (SELECT row_no, doc_id, unnest({_TERMS}) AS term FROM numbered),
