@@ -90,12 +90,12 @@ def test_phrases_join_while_a_cycle_is_under_way(spark):
 
     def spy(shard, reached, at, shards, longest):
         counted = step(shard, reached, at, shards, longest)
-        seen.append({r.length for r in counted.select("length").distinct().collect()})
+        seen.append({r.kind >> 8 for r in counted.select("kind").distinct().collect()})
         return counted
 
     phrases.count_step, kept = spy, step
     try:
-        complete, _ = phrases.frequent_phrases(spark, encoded, 20, 5, 3)
+        complete = phrases.frequent_phrases(encoded, 20, 5, 3)
     finally:
         phrases.count_step = kept
     # shards of 30 documents: each step that counts words in a shard counts one length more
