@@ -7,11 +7,15 @@ newer version plus the new rows, written with dynamic partition overwrite.
 
 from __future__ import annotations
 
+import threading
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 from typing import Literal, NamedTuple
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,14 +28,17 @@ from adtide.sources.reports import stamp_load
 from adtide.sources.tables import (
     balanced,
     conform,
+    create_alone,
     current_path,
     delete_path,
     exists,
+    folder_files,
     materialize,
     move_folders,
     read_table,
+    small_files,
     staged,
-    table_path,
+    take_over,
 )
 
 OnDuplicate = Literal["error", "latest"]
@@ -40,6 +47,19 @@ OnDuplicate = Literal["error", "latest"]
 INCOMPLETE_TEXT = "{} backfill incompleto: {}/{} partições falharam (amostra: {})"
 SAMPLE_SIZE = 5
 
+#: Times that a load merges days anew which other loads have replaced.
+ATTEMPTS = 20
+#: Seconds between looks at a claimed day, and after which a claim of another application is void.
+CLAIM_PAUSE = 0.2
+LEASE_SECONDS = 900
+#: Writers of this application that are at work.
+_LIVE: set[str] = set()
+_LIVE_LOCK = threading.Lock()
+
+
+class ConcurrentLoads(RuntimeError):
+    """Other loads replaced the same days again and again."""
+
 
 class DuplicateKeys(ValueError):
     """One batch holds several rows of the same natural key."""
@@ -105,8 +125,9 @@ def merge_upsert(
 ) -> int:
     """Upsert a batch into a stored raw table and return the number of its rows.
 
-    Running it twice leaves the same table. One writer at a time per table; a load
-    that died while replacing days is finished by the next one. ``tie_columns`` are
+    Running it twice leaves the same table. Loads may run at a time: those of different days
+    do not meet, and a day that another load has stored meanwhile is merged again, so that no row
+    is lost. A load that died while replacing days is finished by the next one. ``tie_columns`` are
     columns outside the table that ``ties`` refer to. ``is_staged`` says that the batch
     reads from a written table already.
     """
@@ -125,56 +146,133 @@ def merge_upsert(
         raise DuplicateKeys(f"rows of one batch share a key of {', '.join(table.keys)}")
     if not profile.rows:
         return 0
-    if not exists(spark, table_path(root, "bronze", table.name)):
-        _publish(root, table, batch)
-        return profile.rows
-    finish_publishing(spark, root, table)
-    stored = read_table(spark, root, "bronze", table.name, table.schema)
-    touched = stored.where(F.col(table.partition).isin(profile.days))
-    _replace_days(spark, root, table, merged(touched, batch, table.keys))
+    _merge_days(spark, root, table, profile.days, lambda stored: batch if stored is None else merged(stored, batch, table.keys))
     return profile.rows
 
 
-def _replace_days(spark: SparkSession, root: str, table: BronzeTable, rows: DataFrame) -> None:
-    """Put the days of ``rows`` in the place of the stored ones, written once.
+def _merge_days(
+    spark: SparkSession,
+    root: str,
+    table: BronzeTable,
+    days: Sequence[date],
+    merge: Callable[[DataFrame | None], DataFrame],
+) -> None:
+    """Put ``merge`` of the stored rows of some days in their place.
 
-    They are written whole beside the table before any stored day goes, and stay there
-    until all are in place.
+    Another load may store one of the days in the meantime. Days are therefore claimed while
+    they are replaced, and merged again if their files are no longer those that were read.
     """
-    path = f"{_publishing(root)}/{table.name}-{uuid.uuid4().hex}"
-    rows = balanced(conform(rows, table.schema), table.partition)
-    rows.write.partitionBy(table.partition).parquet(path)
-    note = spark.range(1).select(F.lit(path).alias("value"))
-    note.write.mode("overwrite").text(_note_path(root, table))
-    finish_publishing(spark, root, table)
+    partition = table.partition
+    for _ in range(ATTEMPTS):
+        finish_publishing(spark, root, table)
+        path = current_path(spark, root, "bronze", table.name)
+        # looked at before the rows are read: what comes later is noticed
+        seen = folder_files(spark, path, partition, days)
+        stored = None
+        if exists(spark, path):
+            rows = read_table(spark, root, "bronze", table.name, table.schema)
+            stored = rows.where(F.col(partition).isin(list(days)))
+        try:
+            if _replace_days(spark, root, table, merge(stored), seen):
+                return
+        except (Py4JJavaError, PySparkException):
+            # files that were being read may have been replaced
+            if folder_files(spark, path, partition, days) == seen:
+                raise
+    raise ConcurrentLoads(f"other loads kept replacing days of {table.name}")
+
+
+def _replace_days(
+    spark: SparkSession, root: str, table: BronzeTable, rows: DataFrame, seen: dict[date, tuple]
+) -> bool:
+    """Put the days of ``rows`` in the place of the stored ones, written once; False if those have changed.
 
-
-def _publish(root: str, table: BronzeTable, rows: DataFrame) -> None:
-    rows = conform(rows, table.schema)
-    materialize(rows, root, "bronze", table.name, table.partition, only_touched=True)
+    They are written whole beside the table before any stored day goes, and stay there
+    until all are in place. ``seen`` has the files of each day that the rows were made of.
+    """
+    writer = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    with _LIVE_LOCK:
+        _LIVE.add(writer)
+    try:
+        path = f"{_publishing(root, table)}/rows-{writer}"
+        whole = balanced(conform(rows, table.schema), table.partition)
+        whole.write.partitionBy(table.partition).parquet(path)
+        # in one order for all writers, so that none waits for another in a circle
+        for day in sorted(seen):
+            _claim(spark, root, table, day, writer)
+        target = current_path(spark, root, "bronze", table.name)
+        if folder_files(spark, target, table.partition, list(seen)) != seen:
+            _release(spark, root, table, writer)
+            delete_path(spark, path)
+            return False
+        note = f"{_publishing(root, table)}/note-{writer}"
+        create_alone(spark, note, writer)
+        _publish(spark, root, table, note, writer)
+        return True
+    finally:
+        with _LIVE_LOCK:
+            _LIVE.discard(writer)
+
+
+def _claim(spark: SparkSession, root: str, table: BronzeTable, day: date, writer: str) -> None:
+    """Wait until no other writer is replacing a day."""
+    claim = f"{_publishing(root, table)}/claim-{day.isoformat()}"
+    while not create_alone(spark, claim, writer):
+        finish_publishing(spark, root, table)
+        time.sleep(CLAIM_PAUSE)
+
+
+def _release(spark: SparkSession, root: str, table: BronzeTable, writer: str) -> None:
+    for path, owner, _ in small_files(spark, _publishing(root, table), "claim-"):
+        if owner == writer:
+            delete_path(spark, path)
+
+
+def _publish(spark: SparkSession, root: str, table: BronzeTable, note: str, owner: str) -> None:
+    """Move what is left of an owner's days into place, then drop the claims and the note."""
+    move_folders(spark, f"{_publishing(root, table)}/rows-{owner}", current_path(spark, root, "bronze", table.name))
+    _release(spark, root, table, owner)
+    delete_path(spark, note)
 
 
-def _publishing(root: str) -> str:
-    return f"{root}/bronze/_publishing"
+def _publishing(root: str, table: BronzeTable) -> str:
+    return f"{root}/bronze/_publishing/{table.name}"
 
 
-def _note_path(root: str, table: BronzeTable) -> str:
-    return f"{_publishing(root)}/{table.name}"
+def _is_dead(spark: SparkSession, writer: str, age: float) -> bool:
+    """Whether nobody is behind a claim or note any more: known for the own application, else by its age."""
+    if writer.startswith(f"{spark.sparkContext.applicationId}-"):
+        with _LIVE_LOCK:
+            return writer not in _LIVE
+    return age > LEASE_SECONDS
 
 
 def finish_publishing(spark: SparkSession, root: str, table: BronzeTable) -> None:
-    """Put noted merged days in place, those left by a driver that died included.
+    """Put noted merged days of drivers that died in place, and drop claims they left.
 
-    Replacing several folders is not one step for the file system. The note names
-    the folder of the merged days; those still in it take their places by renames.
+    Replacing several folders is not one step for the file system. A note says that its owner's
+    days are whole and were still those it had read; those still in its folder take their places
+    by renames. Its name tells who is doing so, and changes in one step when another takes over.
+    Days without a note were never published and their claims are void.
     """
-    note = _note_path(root, table)
-    if not exists(spark, note):
-        return
-    paths = [row[0] for row in spark.read.text(note).take(1)]
-    for path in paths:
-        move_folders(spark, path, current_path(spark, root, "bronze", table.name))
-    delete_path(spark, note)
+    folder = _publishing(root, table)
+    for path, owner, age in small_files(spark, folder, "note-"):
+        if not _is_dead(spark, path.rpartition("/note-")[2], age):
+            continue
+        finisher = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+        with _LIVE_LOCK:
+            _LIVE.add(finisher)
+        try:
+            note = f"{folder}/note-{finisher}"
+            if take_over(spark, path, note):
+                _publish(spark, root, table, note, owner)
+        finally:
+            with _LIVE_LOCK:
+                _LIVE.discard(finisher)
+    noted = {owner for _, owner, _ in small_files(spark, folder, "note-")}
+    for path, owner, age in small_files(spark, folder, "claim-"):
+        if owner and owner not in noted and _is_dead(spark, owner, age):
+            delete_path(spark, path)
 
 
 def _known(batch: DataFrame, table: BronzeTable) -> list[str]:
@@ -316,8 +414,7 @@ def dedup_stored(spark: SparkSession, root: str, table: BronzeTable, ties: Seque
     # an entry per calendar day
     days = [row[0] for row in copies.select(table.partition).distinct().collect()]
     if days:
-        touched = stored.where(F.col(table.partition).isin(days))
-        _replace_days(spark, root, table, bronze_dedup(touched, table, ties))
+        _merge_days(spark, root, table, days, lambda rows: bronze_dedup(rows, table, ties))
     return len(days)
 
 
@@ -410,13 +507,28 @@ def backfill(
     ``read_landed`` gives them. What landed is stored; a broken or missing unit is reported
     with ``load_report`` and can be loaded later without touching the rest.
     """
-    inside = F.col(table.partition).between(F.lit(period.start), F.lit(period.end))
-    names = accounts.select(F.col("account_id").alias(account_col))
-    kept = rows.where(inside).join(names, account_col, "left_semi")
+    plan = partition_plan(spark, period, accounts)
+    return load_units(spark, root, table, rows, plan, at, source, account_col, landed)
+
+
+def load_units(
+    spark: SparkSession,
+    root: str,
+    table: BronzeTable,
+    rows: DataFrame,
+    plan: DataFrame,
+    at: datetime,
+    source: str,
+    account_col: str,
+    landed: DataFrame | None = None,
+) -> DataFrame:
+    """Load the rows of the planned units, whatever others there are, and report how each unit went."""
+    units = plan.select(F.col("date").alias(table.partition), F.col("account_id").alias(account_col))
+    kept = rows.join(units, [table.partition, account_col], "left_semi").select(*rows.columns)
     # stored and reported from one written copy; the reports are parsed once
     kept = staged(kept, f"landed-{table.name}")
     load_bronze(spark, root, table, kept, at, source, is_staged=True)
-    units = kept.select(
+    stored = kept.select(
         F.col(table.partition).alias("date"), F.col(account_col).alias("account_id")
     )
-    return load_results(partition_plan(spark, period, accounts), units, landed)
+    return load_results(plan, stored, landed)

@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from adtide.functions.dates import Period
 from adtide.functions.numeric import exact_avg, exact_sum
@@ -27,12 +28,19 @@ from adtide.operators.kpis import period_kpis, row_roas
 from adtide.operators.ranking import first_platform, positions, top_per_group
 from adtide.plans.gold import budget_pacing
 from adtide.plans.signals import LISTED_NAMES, MIN_SPEND, evaluate_all, signal_rows
+from adtide.schemas import record
 from adtide.sources.tables import staged
 
 TOP_KEYWORDS = 20
 TOP_SEARCH_TERMS = 15
 MIN_ROAS = 1.0
 
+#: Entries of a long list that one page of a written review holds.
+PAGE_ENTRIES = 500
+#: Sections of written reviews.
+DOCUMENT, CAMPAIGN_PAGES, UNCOVERED_PAGES = "review", "campaigns", "campaigns_without_negatives"
+JSON_OPTIONS = {"ignoreNullFields": "false"}
+
 
 class GoldTables(NamedTuple):
     """Inputs of a review."""
@@ -518,3 +526,42 @@ def review_uncovered(campaigns: DataFrame, account: str | None = None) -> DataFr
     rows = for_account(campaigns, account).where("uncovered")
     numbered = positions(rows, "account_id", [F.asc("campaign_name")])
     return numbered.select("account_id", "position", "campaign_name")
+
+
+def _pages(rows: DataFrame, section: str, fields: tuple[str, ...], size: int) -> DataFrame:
+    """Entries of a list without a bound, in pages of at most ``size``."""
+    entry = F.struct("position", F.struct(*fields).alias("row"))
+    page = F.expr(f"(position - 1) div {size} + 1")
+    paged = rows.groupBy("account_id", page.alias("page")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    entries = F.transform("entries", lambda e: e["row"])
+    line = F.struct("account_id", F.lit(section).alias("section"), "page", entries.alias("entries"))
+    return paged.select(F.lit(section).alias("section"), F.to_json(line, JSON_OPTIONS).alias("value"))
+
+
+def review_lines(documents: DataFrame, campaigns: DataFrame, size: int = PAGE_ENTRIES) -> DataFrame:
+    """Whole reviews as JSON texts: a document per account and the pages of its long lists.
+
+    documents: of ``account_review``. campaigns: of ``flagged_campaigns`` of the same tables and
+    period. An account's lists may be of any length: no text holds more than ``size`` entries of
+    one, and each names its account, section and page. An empty list has no page; the document
+    has the number of entries of each list.
+    """
+    heads = documents.select(F.lit(DOCUMENT).alias("section"), F.to_json(F.struct(*documents.columns), JSON_OPTIONS).alias("value"))
+    listed = _pages(review_campaigns(campaigns), CAMPAIGN_PAGES, CAMPAIGN_FIELDS, size)
+    lacking = _pages(review_uncovered(campaigns), UNCOVERED_PAGES, ("campaign_name",), size)
+    return heads.unionByName(listed).unionByName(lacking)
+
+
+def page_schema(section: str) -> StructType:
+    """Declared schema of the pages of a section."""
+    kinds = {"spend": "double", "conversions": "double", "conversion_value": "double", "roas": "double"}
+    fields = CAMPAIGN_FIELDS if section == CAMPAIGN_PAGES else ("campaign_name",)
+    entry = record(**{name: kinds.get(name, "string") for name in fields})
+    return record(account_id="string", section="string", page="long").add("entries", ArrayType(entry))
+
+
+def page_entries(pages: DataFrame, size: int = PAGE_ENTRIES) -> DataFrame:
+    """Entries of pages as rows again, with their positions in the whole list."""
+    rows = pages.select("account_id", "page", F.posexplode("entries").alias("place", "entry"))
+    position = (F.col("page") - 1) * size + F.col("place") + 1
+    return rows.select("account_id", position.alias("position"), "entry.*")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import threading
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,6 +18,7 @@ from adtide.functions.dates import Period
 from adtide.session import new_workspace
 
 CONCURRENT_WRITES = 4
+_CREATING = threading.Lock()
 
 #: File with the name of a table's current version, and what such names begin with.
 POINTER = "_current"
@@ -161,6 +166,71 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
     return names
 
 
+def folder_files(spark: SparkSession, path: str, column: str, days: Sequence[date]) -> dict[date, tuple]:
+    """Names of the files of each of some day folders of a table; names are never used twice."""
+    files, _ = _files(spark, path)
+    found = {}
+    for day in days:
+        folder = _files(spark, f"{path}/{column}={day.isoformat()}")[1]
+        listed = files.listStatus(folder) if files.exists(folder) else []
+        found[day] = tuple(sorted(status.getPath().getName() for status in listed))
+    return found
+
+
+def create_alone(spark: SparkSession, path: str, content: str) -> bool:
+    """Write a small file unless it is there already; of several writers one succeeds."""
+    files, hadoop = _files(spark, path)
+    files.mkdirs(hadoop.getParent())
+    with _CREATING:
+        # a local file system looks and creates in two steps
+        if files.exists(hadoop):
+            return False
+        try:
+            stream = files.create(hadoop, False)
+        except Py4JJavaError:
+            if files.exists(hadoop):
+                return False
+            raise
+        stream.write(bytearray(content.encode()))
+        stream.close()
+    return True
+
+
+def take_over(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a small file and make it new; of several that try one succeeds."""
+    files, hadoop = _files(spark, source)
+    place = _files(spark, target)[1]
+    try:
+        if not files.rename(hadoop, place):
+            return False
+    except Py4JJavaError:
+        if files.exists(hadoop):
+            raise
+        return False
+    files.setTimes(place, int(time.time() * 1000), -1)
+    return True
+
+
+def small_files(spark: SparkSession, folder: str, prefix: str) -> list[tuple[str, str, float]]:
+    """Path, content and age in seconds of the small files of a folder whose names begin so."""
+    files, hadoop = _files(spark, folder)
+    found = []
+    if not files.exists(hadoop):
+        return found
+    for status in files.listStatus(hadoop):
+        if status.getPath().getName().startswith(prefix):
+            path = status.getPath().toString()
+            try:
+                stream = files.open(status.getPath())
+            except Py4JJavaError:
+                # gone meanwhile
+                continue
+            content = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            found.append((path, content, time.time() - status.getModificationTime() / 1000))
+    return found
+
+
 def move_folders(spark: SparkSession, source: str, target: str) -> None:
     """Replace folders of ``target`` by those of the same name in ``source``, one rename each.
 
@@ -228,3 +298,19 @@ def load_seed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def write_review_json(reviews: DataFrame, path: str) -> None:
     """Nested review documents as JSON lines; undefined figures stay as ``null``."""
     reviews.write.mode("overwrite").json(path, ignoreNullFields=False)
+
+
+def write_review_lines(lines: DataFrame, path: str) -> None:
+    """Whole reviews as JSON lines, a folder for each section; undefined figures stay as ``null``.
+
+    lines: section and value, as ``review_lines`` gives them.
+    """
+    lines.write.mode("overwrite").partitionBy("section").text(path)
+
+
+def read_review_lines(spark: SparkSession, path: str, section: str, schema: StructType) -> DataFrame:
+    """Documents or pages of one section. A section that no account has gives no rows."""
+    folder = f"{path}/section={section}"
+    if not exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(folder)

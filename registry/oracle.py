@@ -850,7 +850,8 @@ _FINALS |= {
     "snapshot_load_table": _FINALS["snapshot_negatives"],
     "bronze_dedup_table": f"SELECT {MERGED} FROM google_latest_stored",
     "budget_pacing_view": _FINALS["budget_pacing"],
-    "review_json": f"SELECT account_id, campaign_count, signal_codes FROM ({_FINALS['account_review']}) r",
+    "review_json": _FINALS["account_review_documents"],
+    "review_json_heads": f"SELECT account_id, campaign_count, signal_codes FROM ({_FINALS['account_review']}) r",
 }
 
 ORACLES: dict[str, str] = {name: with_ctes(sql) for name, sql in _FINALS.items()}

@@ -20,7 +20,7 @@ from adtide.plans.transform import budget_pacing_view
 from adtide.schemas import ACCOUNT_KEYS, CLIENT_BUDGET, GOOGLE, GOOGLE_ADS_RAW, GOOGLE_NEGATIVES_RAW, META
 from adtide.session import new_workspace
 from adtide.sources import reports, testdata
-from adtide.sources.tables import materialize, read_table, side_by_side, staged, write_review_json
+from adtide.sources.tables import materialize, read_review_lines, read_table, side_by_side, staged, write_review_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,11 +140,8 @@ def _review(m: Models) -> DataFrame:
     return review.review_summary(_review_inputs(m, *REREAD), PERIOD, AS_OF)
 
 
-def _document_entries(m: Models) -> DataFrame:
-    """Every list entry of the nested review documents, one per row."""
-    inputs = _review_inputs(m, *REREAD)
-    campaigns = staged(review.flagged_campaigns(inputs, PERIOD), "campaigns")
-    documents = review.account_review(inputs, PERIOD, AS_OF, campaigns=campaigns)
+def _bounded_entries(documents: DataFrame) -> DataFrame:
+    """Every entry of the lists inside review documents, one per row."""
 
     def entries(section: str, name: Column, figure: Callable[[Column], Column], key: str) -> Column:
         return F.transform(
@@ -169,22 +166,34 @@ def _document_entries(m: Models) -> DataFrame:
         entries("high_roas", F.col("search_terms.high_roas"), spend, "search_term"),
         entries("signals", F.col("signals"), none, "message"),
     )
-    bounded = documents.select(F.col("account.account_id"), F.inline(lists))
-    listed = review.review_campaigns(campaigns).select(
-        "account_id",
-        F.lit("campaigns").alias("section"),
-        "position",
-        F.col("campaign_name").alias("entry"),
-        "spend",
-    )
-    lacking = review.review_uncovered(campaigns).select(
+    return documents.select(F.col("account.account_id"), F.inline(lists))
+
+
+def _listed_entries(section: str, rows: DataFrame) -> DataFrame:
+    """Entries of a campaign list as rows."""
+    spend = F.col("spend") if "spend" in rows.columns else F.lit(None).cast("double")
+    return rows.select(
         "account_id",
-        F.lit("campaigns_without_negatives").alias("section"),
+        F.lit(section).alias("section"),
         "position",
         F.col("campaign_name").alias("entry"),
-        F.lit(None).cast("double").alias("spend"),
+        spend.alias("spend"),
     )
-    return bounded.unionByName(listed).unionByName(lacking)
+
+
+def _reviewed(m: Models) -> tuple[DataFrame, DataFrame]:
+    """Review documents and the campaign rows of the same review."""
+    inputs = _review_inputs(m, *REREAD)
+    campaigns = staged(review.flagged_campaigns(inputs, PERIOD), "campaigns")
+    return review.account_review(inputs, PERIOD, AS_OF, campaigns=campaigns), campaigns
+
+
+def _document_entries(m: Models) -> DataFrame:
+    """Every list entry of the nested review documents, one per row."""
+    documents, campaigns = _reviewed(m)
+    listed = _listed_entries(review.CAMPAIGN_PAGES, review.review_campaigns(campaigns))
+    lacking = _listed_entries(review.UNCOVERED_PAGES, review.review_uncovered(campaigns))
+    return _bounded_entries(documents).unionByName(listed).unionByName(lacking)
 
 
 def _late(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -512,14 +521,28 @@ def _pacing_view(m: Models) -> DataFrame:
     return m.spark.table("registered_pacing")
 
 
-def _review_json(m: Models) -> DataFrame:
-    """Review documents written as JSON lines and read back."""
-    documents = review.account_review(_review_inputs(m, *REREAD), PERIOD, AS_OF)
+def _written_reviews(m: Models, size: int = review.PAGE_ENTRIES) -> tuple[str, DataFrame]:
+    """Folder of written reviews and their documents as read back."""
+    documents, campaigns = _reviewed(m)
     path = new_workspace(m.spark, "reviews")
-    write_review_json(documents, path)
-    fields = "account struct<account_id:string>, campaign_count long, signals array<struct<code:string>>"
-    rows = m.spark.read.schema(fields).json(path)
-    return rows.select("account.account_id", "campaign_count", F.array_join("signals.code", ",").alias("signal_codes"))
+    write_review_lines(review.review_lines(documents, campaigns, size), path)
+    return path, read_review_lines(m.spark, path, review.DOCUMENT, documents.schema)
+
+
+def _review_json(m: Models) -> DataFrame:
+    """Every list entry of whole reviews written as JSON lines, with pages of two entries, and read back."""
+    size = 2
+    path, documents = _written_reviews(m, size)
+    rows = _bounded_entries(documents)
+    for section in (review.CAMPAIGN_PAGES, review.UNCOVERED_PAGES):
+        pages = read_review_lines(m.spark, path, section, review.page_schema(section))
+        rows = rows.unionByName(_listed_entries(section, review.page_entries(pages, size)))
+    return rows
+
+
+def _review_json_heads(m: Models) -> DataFrame:
+    _, documents = _written_reviews(m)
+    return documents.select("account.account_id", "campaign_count", F.array_join("signals.code", ",").alias("signal_codes"))
 
 
 def _google_accounts(m: Models) -> DataFrame:
@@ -770,6 +793,7 @@ RUNS: dict[str, Callable[[Models], DataFrame]] = {
     "bronze_dedup_table": _dedup_table,
     "budget_pacing_view": _pacing_view,
     "review_json": _review_json,
+    "review_json_heads": _review_json_heads,
     "list_google_accounts": _google_accounts,
     "list_meta_accounts": _meta_accounts,
     "normalize_accounts": _normalized,

@@ -11,7 +11,7 @@ from adtide.plans import review
 from adtide.plans.review import GoldTables
 from adtide.plans.signals import signal_rows
 from adtide.schemas import CLIENT_BUDGET
-from adtide.sources.tables import write_review_json
+from adtide.sources.tables import read_review_lines, write_review_json, write_review_lines
 
 DAY = date(2026, 4, 10)
 PERIOD = Period(date(2026, 4, 1), date(2026, 4, 22))
@@ -267,6 +267,33 @@ def test_documents_as_json(spark, tmp_path):
     assert document["signals"] == []
 
 
+@pytest.mark.parametrize("size", [1, 7, 500])
+def test_whole_reviews_are_written_in_bounded_pages(spark, tmp_path, size):
+    gold = full_case(spark)
+    many = [keyword("2", f"C{i:04}", float(i % 9 + 1), 0.0, 0.0) for i in range(1203)]
+    gold = gold._replace(keywords=gold.keywords.unionByName(spark.createDataFrame(many, KEYWORDS)))
+    campaigns = review.flagged_campaigns(gold, PERIOD)
+    documents, path = review.account_review(gold, PERIOD, AS_OF), str(tmp_path / "whole")
+    write_review_lines(review.review_lines(documents, campaigns, size), path)
+    assert sorted(read_review_lines(spark, path, review.DOCUMENT, documents.schema).collect()) == sorted(documents.collect())
+    for section, rows in ((review.CAMPAIGN_PAGES, review.review_campaigns(campaigns)), (review.UNCOVERED_PAGES, review.review_uncovered(campaigns))):
+        pages = read_review_lines(spark, path, section, review.page_schema(section))
+        assert pages.selectExpr("max(size(entries))").first()[0] <= size
+        back = review.page_entries(pages, size).select(*rows.columns)
+        assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+        lengths = {r["account_id"]: r["n"] for r in rows.groupBy("account_id").count().withColumnRenamed("count", "n").collect()}
+        found = {r["account_id"]: r["n"] for r in pages.groupBy("account_id").count().withColumnRenamed("count", "n").collect()}
+        assert found == {account: -(-n // size) for account, n in lengths.items()}
+
+
+def test_a_review_without_lists_has_documents_only(spark, tmp_path):
+    gold, path = tables(spark, daily=[day_row("1", 9.0, 9.0)]), str(tmp_path / "whole")
+    documents = review.account_review(gold, PERIOD, AS_OF)
+    write_review_lines(review.review_lines(documents, review.flagged_campaigns(gold, PERIOD)), path)
+    assert read_review_lines(spark, path, review.DOCUMENT, documents.schema).count() == 1
+    assert read_review_lines(spark, path, review.CAMPAIGN_PAGES, review.page_schema(review.CAMPAIGN_PAGES)).isEmpty()
+
+
 def test_hot_account_keeps_whole_counts(spark):
     """A third of the campaigns and terms in one account, against brute force."""
     rows = [keyword("hot", f"C{i % 700}", 60.0, float(i % 2), 1.0, f"k{i}") for i in range(2100)]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -16,7 +17,7 @@ from adtide.functions.dates import Period
 from adtide.operators import upsert
 from adtide.schemas import CLIENT_BUDGET, GOOGLE_ADS_RAW, GOOGLE_SEARCH_TERMS_RAW
 from adtide.sources import reports
-from adtide.sources.tables import delete_path, read_table
+from adtide.sources.tables import create_alone, delete_path, read_table
 
 NEXT = date(2026, 4, 2)
 AT = datetime(2026, 4, 3, 5)
@@ -74,6 +75,78 @@ def test_a_load_that_died_while_replacing_days_loses_nothing(spark, root, monkey
     assert figures(stored(spark, root)) == [(DAY, "1000", 9.0), (DAY, "2", 20.0), (NEXT, "1000", 20.0)]
 
 
+def test_a_day_that_another_load_stored_meanwhile_is_merged_again(spark, root, monkeypatch):
+    upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark, {}, {"date": NEXT}))
+    replace, made = upsert._replace_days, []
+
+    def other_load_first(*arguments):
+        made.append(1)
+        if len(made) == 1:
+            other = samples.google(spark, {"keyword_id": "2"}, {"spend": 5.0})
+            upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, other)
+        return replace(*arguments)
+
+    monkeypatch.setattr(upsert, "_replace_days", other_load_first)
+    own = samples.google(spark, {"keyword_id": "3"}, {"keyword_id": "4", "date": NEXT})
+    assert upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, own) == 2
+    # the own load twice and the other one once
+    assert len(made) == 3
+    assert figures(stored(spark, root)) == [
+        (DAY, "1000", 5.0), (DAY, "2", 20.0), (DAY, "3", 20.0), (NEXT, "1000", 20.0), (NEXT, "4", 20.0)
+    ]
+
+
+def test_loads_of_other_days_do_not_meet(spark, root, monkeypatch):
+    upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark, {}, {"date": NEXT}))
+    replace, made = upsert._replace_days, []
+
+    def other_load_first(*arguments):
+        made.append(1)
+        if len(made) == 1:
+            upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark, {"date": NEXT, "spend": 5.0}))
+        return replace(*arguments)
+
+    monkeypatch.setattr(upsert, "_replace_days", other_load_first)
+    upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark, {"spend": 6.0}))
+    assert len(made) == 2
+    assert figures(stored(spark, root)) == [(DAY, "1000", 6.0), (NEXT, "1000", 5.0)]
+
+
+def test_many_loads_at_a_time_lose_no_row(spark, root):
+    loads = [samples.google(spark, {"keyword_id": f"k{i}"}, {"keyword_id": f"k{i}", "date": NEXT}) for i in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        done = list(pool.map(lambda batch: upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, batch), loads))
+    assert done == [2] * 6
+    expected = sorted((day, f"k{i}", 20.0) for day in (DAY, NEXT) for i in range(6))
+    assert figures(stored(spark, root)) == expected
+    # nothing is left beside the table
+    folder = Path(root) / "bronze" / "_publishing" / GOOGLE_ADS_RAW.name
+    assert [p.name for p in folder.iterdir() if not p.name.startswith(".")] == []
+
+
+def test_claims_of_a_dead_driver_are_void_and_of_a_live_one_are_kept(spark, root, monkeypatch):
+    upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark))
+    claim = f"{root}/bronze/_publishing/{GOOGLE_ADS_RAW.name}/claim-{DAY}"
+    # of this application, with nobody at work
+    assert create_alone(spark, claim, f"{spark.sparkContext.applicationId}-gone")
+    assert not create_alone(spark, claim, "again")
+    upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark, {"spend": 2.0}))
+    # of another application: kept until its lease is over
+    assert create_alone(spark, claim, "application_9-x")
+    upsert.finish_publishing(spark, root, GOOGLE_ADS_RAW)
+    assert Path(claim).exists()
+    monkeypatch.setattr(upsert, "LEASE_SECONDS", -1)
+    upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark, {"spend": 3.0}))
+    assert figures(stored(spark, root)) == [(DAY, "1000", 3.0)] and not Path(claim).exists()
+
+
+def test_a_load_gives_up_when_its_days_never_rest(spark, root, monkeypatch):
+    upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark))
+    monkeypatch.setattr(upsert, "_replace_days", lambda *_: False)
+    with pytest.raises(upsert.ConcurrentLoads):
+        upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark))
+
+
 def test_an_empty_batch_changes_nothing(spark, root):
     upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark))
     assert upsert.merge_upsert(spark, root, GOOGLE_ADS_RAW, samples.google(spark).where("false")) == 0
