@@ -81,3 +81,75 @@ def month_end(column: Column) -> Column:
 
 def days_in_month(column: Column) -> Column:
     return F.dayofmonth(F.last_day(column))
+
+
+def window_columns(as_of: Column) -> dict[str, tuple[Column, Column]]:
+    """First and last day of each named window, for a column of days."""
+    before, week, month = F.date_sub(as_of, 1), week_start(as_of), month_start(as_of)
+    return {
+        "yesterday": (before, before),
+        "lastweek": (F.date_sub(week, 7), F.date_sub(week, 1)),
+        "lastmonth": (F.add_months(month, -1), F.date_sub(month, 1)),
+    }
+
+
+# What is wrong with a given range.
+NO_START, WRONG_ORDER, ONE_DATE, NO_DATE = "start missing", "end before start", "one date missing", "not a date"
+
+
+def _range(start: Column, end: Column, problem: Column) -> Column:
+    ordered = F.coalesce(problem, F.when(end < start, WRONG_ORDER))
+    whole = ordered.isNull()
+    return F.struct(F.when(whole, start).alias("start"), F.when(whole, end).alias("end"), ordered.alias("problem"))
+
+
+def parsed_range(start: Column, end: Column) -> Column:
+    """``parse_range`` of date columns: start, end and what is wrong, which leaves both NULL."""
+    return _range(start, F.coalesce(end, start), F.when(start.isNull(), NO_START))
+
+
+def resolved_review_period(start: Column, end: Column, as_of: Column) -> Column:
+    """``review_period`` of date columns: start, end and what is wrong."""
+    first, last = window_columns(as_of)["lastmonth"]
+    return F.when(start.isNull(), _range(first, last, F.lit(None).cast("string"))).otherwise(parsed_range(start, end))
+
+
+def resolved_target_dates(start: Column, end: Column, as_of: Column) -> Column:
+    """``resolve_target_dates`` of ISO text columns: start, end and what is wrong; blank texts are none."""
+    first, last = F.nullif(start, F.lit("")), F.nullif(end, F.lit(""))
+    neither = first.isNull() & last.isNull()
+    iso = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+    days = [F.when(text.rlike(iso), F.try_to_date(text, "yyyy-MM-dd")) for text in (first, last)]
+    problem = F.when(first.isNull() | last.isNull(), ONE_DATE).when(days[0].isNull() | days[1].isNull(), NO_DATE)
+    before = window_columns(as_of)["yesterday"]
+    return F.when(neither, _range(*before, F.lit(None).cast("string"))).otherwise(_range(*days, problem))
+
+
+def with_periods(df: DataFrame, as_of: str = "as_of", start: str = "start_date", end: str = "end_date") -> DataFrame:
+    """Rows with the review period and the load range that their day and their given ISO texts mean.
+
+    One job thus serves reviews of many days. Adds ``review`` and ``load``, each with start, end
+    and problem; a text that is no date is a problem of both.
+    """
+    day = F.col(as_of)
+    first, last = F.nullif(F.col(start), F.lit("")), F.nullif(F.col(end), F.lit(""))
+    review = resolved_review_period(F.try_to_date(first, "yyyy-MM-dd"), F.try_to_date(last, "yyyy-MM-dd"), day)
+    unread = (first.isNotNull() & F.try_to_date(first, "yyyy-MM-dd").isNull()) | (
+        last.isNotNull() & F.try_to_date(last, "yyyy-MM-dd").isNull()
+    )
+    none = F.lit(None).cast("date")
+    wrong = F.struct(none.alias("start"), none.alias("end"), F.lit(NO_DATE).alias("problem"))
+    return df.withColumns(
+        {"review": F.when(unread, wrong).otherwise(review), "load": resolved_target_dates(F.col(start), F.col(end), day)}
+    )
+
+
+def in_given_period(days: DataFrame, periods: DataFrame, period: str = "review", column: str = "date") -> DataFrame:
+    """Rows of daily figures with each period that holds their day.
+
+    Each period is a row per day, so that figures meet it by an equi-join. ``periods`` without
+    start and end, those with a problem, meet no day. The day is named ``column`` on both sides.
+    """
+    held = periods.where(F.col(f"{period}.start").isNotNull())
+    each = F.explode(F.sequence(F.col(f"{period}.start"), F.col(f"{period}.end")))
+    return days.join(held.withColumn(column, each), column)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adtide.functions.actions import is_action_list
+from adtide.session import new_workspace
 
 
 class Check(NamedTuple):
@@ -101,3 +102,47 @@ def dq_unique(df: DataFrame, model: str, keys: Sequence[str]) -> DataFrame:
 
 def dq_expression(df: DataFrame, model: str, column: str, condition: Column) -> DataFrame:
     return run_checks(df, model, expression_is_true(column, condition))
+
+
+class Constrained(NamedTuple):
+    """Rows that keep the constraints, rows that do not with ``reasons``, and how many broke which."""
+
+    kept: DataFrame
+    refused: DataFrame
+    counts: dict[str, int]
+
+
+def _reason(check: Check) -> str:
+    return f"{check.name}({check.column})"
+
+
+def split_refused(df: DataFrame, checks: Sequence[Check], purpose: str = "constrained") -> Constrained:
+    """Part rows that break a constraint from those to be stored, in one pass over them.
+
+    As in a database, a condition that is undefined is not broken. A refused row names every
+    constraint it breaks. ``counts`` has the rows, the refused ones and those of each constraint,
+    counted while the rows are written; both parts are read from what was written.
+    """
+    broken = {_reason(c): F.coalesce(c.broken, F.lit(False)) for c in checks}
+    reasons = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in broken.items()]))
+    if not broken:
+        reasons = F.array().cast("array<string>")
+    marked = df.withColumn("reasons", reasons).withColumn("refused", F.size("reasons") > 0)
+    counted = Observation()
+    names = list(broken)
+    marked = marked.observe(
+        counted,
+        F.count("*").alias("rows"),
+        F.count_if("refused").alias("refused"),
+        *[F.count_if(F.array_contains("reasons", name)).alias(f"c{i}") for i, name in enumerate(names)],
+    )
+    path = new_workspace(df.sparkSession, purpose)
+    marked.write.partitionBy("refused").parquet(path)
+    rows = df.sparkSession.read.schema(marked.schema).parquet(path)
+    got = counted.get
+    counts = {"rows": got["rows"], "refused": got["refused"]} | {n: got[f"c{i}"] for i, n in enumerate(names)}
+    return Constrained(
+        rows.where("not refused").select(*df.columns),
+        rows.where("refused").select(*df.columns, "reasons"),
+        counts,
+    )

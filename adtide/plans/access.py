@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adtide.operators.filters import not_revoked
+
 IDLE_DAYS = 14
 
 
@@ -37,6 +39,11 @@ def api_key_status(keys: DataFrame, users: DataFrame, as_of: datetime) -> DataFr
     )
 
 
+def live_key_status(keys: DataFrame, users: DataFrame, as_of: datetime) -> DataFrame:
+    """State of the keys that were never revoked."""
+    return api_key_status(not_revoked(keys), users, as_of)
+
+
 def admin_keys(status: DataFrame) -> DataFrame:
     """Keys that may read the user list: valid and owned by an administrator."""
     return status.where((F.col("status") == "valid") & (F.col("role") == "admin"))

@@ -182,3 +182,13 @@ API_KEYS = record(
     last_used_at="timestamp_ntz",
     revoked_at="timestamp_ntz",
 )
+
+LOAD_LEDGER = record(
+    table_name="string",
+    date="date",
+    **texts("account_id", "status"),
+    rows="long",
+    attempts="integer",
+    updated_at="timestamp_ntz",
+)
+LEDGER_KEYS = ("table_name", "date", "account_id")

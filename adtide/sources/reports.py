@@ -17,7 +17,7 @@ from adtide.functions.dates import Period
 from adtide.functions.numeric import micros_to_currency
 from adtide.functions.text import blank_nulls
 from adtide.schemas import GOOGLE, META, record, texts
-from adtide.sources.tables import file_names, staged
+from adtide.sources.tables import indexed_files, staged
 
 _ENTITY = record(id="long", name="string")
 _ENTITY_WITH_STATUS = record(id="long", name="string", status="string")
@@ -147,7 +147,8 @@ def read_landed(
     record_of, account = F.col("_corrupt"), F.regexp_extract(F.col("file"), "/account_id=([^/]+)/", 1)
     unit = [
         F.to_date(F.regexp_extract(F.col("file"), "/date=([^/]+)/", 1)).alias(keys[0]),
-        F.url_decode(account).alias(keys[1]),
+        # escaped once as a folder name and once as part of a path
+        F.url_decode(F.url_decode(account)).alias(keys[1]),
     ]
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     reader = spark.read.options(recursiveFileLookup=True, **options)
@@ -156,9 +157,8 @@ def read_landed(
     # parsed once: records and their faults are read from the written copy
     rows = staged(rows.select(*schema.fieldNames(), "_corrupt", *unit), "landed")
     broken = rows.where(record_of.isNotNull()).select(*keys).distinct()
-    # a scan leaves out files without content, so the names come from the listing
-    files = spark.createDataFrame([(name,) for name in file_names(spark, path)], "file string")
-    units = files.select(*unit).distinct()
+    # a scan leaves out files without content, so the names come from the index behind it
+    units = indexed_files(spark, path).select(*unit).distinct()
     marked = units.join(broken.withColumn("broken", F.lit(True)), keys, "left").select(
         F.col(keys[0]).alias("date"),
         F.col(keys[1]).alias(account_as),

@@ -157,13 +157,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(hadoop, True)
 
 
-def file_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of all files below a folder, as a reader lists them too."""
-    files, folder = _files(spark, path)
-    found, names = files.listFiles(folder, True), []
-    while found.hasNext():
-        names.append(found.next().getPath().toString())
-    return names
+def indexed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file``: escaped paths of all files below a folder, those without content included.
+
+    Spark lists many folders in a job. The names stay in the JVM, where every scan keeps
+    the index of its files anyway.
+    """
+    index = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    names = spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(index._jdf.inputFiles())
+    rows = spark._jsparkSession.createDataset(names, spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(rows.toDF(), spark).toDF("file")
 
 
 def folder_files(spark: SparkSession, path: str, column: str, days: Sequence[date]) -> dict[date, tuple]:

@@ -854,4 +854,69 @@ _FINALS |= {
     "review_json_heads": f"SELECT account_id, campaign_count, signal_codes FROM ({_FINALS['account_review']}) r",
 }
 
+_FAILS_FIRST = """(date = DATE '2024-01-31' OR (date = DATE '2024-01-29' AND account_id = '1')
+    OR (date = DATE '2024-01-30' AND account_id = '2'))"""
+_FAILS_AGAIN = "(date = DATE '2024-01-30' AND account_id = '2')"
+_UNIT_ROWS = """SELECT p.date, p.account_id, COUNT(r.date) AS n FROM load_plan p
+    LEFT JOIN google_latest_ag r ON r.date = p.date AND r.customer_id = p.account_id GROUP BY ALL"""
+_ADDED = ", ".join(
+    f"CASE WHEN date >= DATE '2024-01-16' THEN {c} END AS {c}"
+    for c in ("campaign_status", "ad_group_status", "criterion_status", "conversion_value")
+)
+_BROKEN = {
+    "not_null(clicks)": "clicks IS NULL",
+    "not_null(keyword_text)": "keyword_text IS NULL",
+    "accepted_values(campaign_status)": "campaign_status NOT IN ('ENABLED', 'PAUSED')",
+    "expression_is_true(spend)": "NOT (spend > 0)",
+}
+_REASONS = "concat_ws(',', " + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _BROKEN.items()) + ")"
+_GIVEN = """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS as_of,
+    CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'not a day'
+        ELSE strftime(CAST(o_orderdate AS DATE) - CAST(o_orderkey % 40 AS INTEGER), '%Y-%m-%d') END AS s,
+    CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN ''
+        ELSE strftime(CAST(o_orderdate AS DATE) - CAST(o_orderkey % 30 AS INTEGER), '%Y-%m-%d') END AS e
+    FROM orders"""
+_READ = f"""SELECT *, TRY_CAST(nullif(s, '') AS DATE) AS sd, TRY_CAST(nullif(e, '') AS DATE) AS ed,
+    coalesce(s, '') = '' AS no_s, coalesce(e, '') = '' AS no_e FROM ({_GIVEN}) g"""
+_JUDGED = f"""SELECT *, CASE WHEN s = 'not a day' THEN 'not a date' WHEN no_s THEN NULL
+        WHEN coalesce(ed, sd) < sd THEN 'end before start' END AS rp,
+    CASE WHEN no_s AND no_e THEN NULL WHEN no_s OR no_e THEN 'one date missing'
+        WHEN s = 'not a day' THEN 'not a date' WHEN ed < sd THEN 'end before start' END AS lp FROM ({_READ}) r"""
+
+_FINALS |= {
+    "live_key_status": _FINALS["api_key_status"].rstrip() + " WHERE k.revoked_at IS NULL",
+    "stream_restart": f"SELECT * EXCLUDE (_extracted_at) FROM ({UPSERTED}) u",
+    "merge_upsert_two_writers": UPSERTED,
+    "append_table": f"SELECT {MERGED} FROM google_ads_raw",
+    "seed_accounts": """SELECT CAST(s_suppkey AS VARCHAR) AS account_id,
+        CASE WHEN s_nationkey % 2 = 0 THEN 'google_ads' ELSE 'meta_ads' END AS platform,
+        s_name AS account_name, CAST(s_suppkey % 2 AS SMALLINT) AS enabled
+        FROM supplier WHERE s_nationkey <> 7""",
+    "backfill_resume": f"""SELECT date, account_id,
+        CASE WHEN {_FAILS_AGAIN} THEN 'failed' WHEN n = 0 THEN 'empty' ELSE 'loaded' END AS status,
+        CASE WHEN {_FAILS_AGAIN} THEN 0 ELSE n END AS rows,
+        CAST(CASE WHEN {_FAILS_FIRST} THEN 2 ELSE 1 END AS INTEGER) AS attempts
+        FROM ({_UNIT_ROWS}) u""",
+    "backfill_landed": f"""SELECT date, account_id, CASE WHEN bad THEN 0 ELSE n END AS rows,
+        CASE WHEN bad THEN 'failed' ELSE 'loaded' END AS status, CASE WHEN bad THEN 0 ELSE n END AS stored
+        FROM (SELECT *, n = 0 OR {_FAILS_AGAIN} OR (date = DATE '2024-01-29' AND account_id = '1') AS bad
+              FROM ({_UNIT_ROWS}) u) v""",
+    "schema_growth": f"""SELECT date, customer_id, keyword_id, device, clicks, spend, {_ADDED},
+        CAST(NULL AS VARCHAR) AS _source FROM google_ads_raw""",
+    "refused_rows": f"""SELECT _seq, date, customer_id, keyword_id, spend, {_REASONS} AS reasons
+        FROM google_ads_raw WHERE {_REASONS} <> ''""",
+    "resolved_periods": f"""SELECT o_orderkey,
+        CASE WHEN rp IS NOT NULL THEN NULL WHEN no_s THEN CAST(date_trunc('month', as_of) - INTERVAL 1 MONTH AS DATE)
+            ELSE sd END AS review_start,
+        CASE WHEN rp IS NOT NULL THEN NULL WHEN no_s THEN CAST(date_trunc('month', as_of) - INTERVAL 1 DAY AS DATE)
+            ELSE coalesce(ed, sd) END AS review_end, rp AS review_problem,
+        CASE WHEN lp IS NOT NULL THEN NULL WHEN no_s THEN as_of - 1 ELSE sd END AS load_start,
+        CASE WHEN lp IS NOT NULL THEN NULL WHEN no_s THEN as_of - 1 ELSE ed END AS load_end, lp AS load_problem
+        FROM ({_JUDGED}) j""",
+}
+
 ORACLES: dict[str, str] = {name: with_ctes(sql) for name, sql in _FINALS.items()}
+# the same signals under budgets that are a hundred times as large
+ORACLES["signals_under_pace"] = (
+    ORACLES["signals"].replace("150000000 *", "15000000000 *").replace("60000 + (slot - 6) * 60000", "6000000 + (slot - 6) * 6000000")
+)

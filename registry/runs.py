@@ -9,18 +9,21 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtide.functions.dates import Period
+from adtide.functions.dates import Period, with_periods
 from adtide.functions.text import key_hash, normalize_account_id
 from adtide.operators import quality, upsert
 from adtide.operators.filters import in_range, non_empty
 from adtide.operators.latest import bronze_dedup
+from adtide.operators.ledger import resume_backfill
 from adtide.plans import access, checks, gold, metrics, review, silver
 from adtide.plans.review import GoldTables
 from adtide.plans.transform import budget_pacing_view
-from adtide.schemas import ACCOUNT_KEYS, CLIENT_BUDGET, GOOGLE, GOOGLE_ADS_RAW, GOOGLE_NEGATIVES_RAW, META
+from adtide.schemas import ACCOUNT_KEYS, CLIENT_BUDGET, GOOGLE, GOOGLE_ADS_RAW, GOOGLE_NEGATIVES_RAW, LOAD_LEDGER, META, record
 from adtide.session import new_workspace
 from adtide.sources import reports, testdata
-from adtide.sources.tables import materialize, read_review_lines, read_table, side_by_side, staged, write_review_lines
+from adtide.sources.growth import read_grown
+from adtide.sources.tables import PLACEHOLDER, load_seed, materialize, read_review_lines, read_table, side_by_side, staged, write_review_lines
+from adtide.streaming.landing import ingest_landed_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -502,6 +505,191 @@ def _snapshot_table(m: Models) -> DataFrame:
     return stored.select(*rows.columns)
 
 
+def _as_report(rows: DataFrame) -> DataFrame:
+    """Raw keyword rows as the nested report they could have come from, with day and account."""
+
+    def entity(id_column: str, name: str, status: str) -> Column:
+        return F.struct(F.col(id_column).cast("long").alias("id"), F.col(name).alias("name"), F.col(status).alias("status"))
+
+    criterion = F.struct(
+        F.col("keyword_id").cast("long").alias("criterion_id"),
+        F.col("criterion_status").alias("status"),
+        F.struct(F.col("keyword_text").alias("text"), "match_type").alias("keyword"),
+        F.struct("quality_score").alias("quality_info"),
+    )
+    figures = F.struct(
+        "impressions",
+        "clicks",
+        F.round(F.col("spend") * 1_000_000).cast("bigint").alias("cost_micros"),
+        "conversions",
+        F.col("conversion_value").alias("conversions_value"),
+        "view_through_conversions",
+        "all_conversions",
+        "search_impression_share",
+    )
+    return rows.select(
+        F.struct(F.col("customer_id").cast("long").alias("id"), F.col("customer_name").alias("descriptive_name")).alias("customer"),
+        entity("campaign_id", "campaign_name", "campaign_status").alias("campaign"),
+        entity("ad_group_id", "ad_group_name", "ad_group_status").alias("ad_group"),
+        criterion.alias("ad_group_criterion"),
+        figures.alias("metrics"),
+        F.struct("device", "date").alias("segments"),
+        "date",
+        F.col("customer_id").alias("account_id"),
+    )
+
+
+def _stream_restart(m: Models) -> DataFrame:
+    """Reports landed and loaded by the stream, then later ones after a restart; equal to the batch upsert."""
+    root, landing = new_workspace(m.spark, "stream"), new_workspace(m.spark, "landing")
+    progress = new_workspace(m.spark, "progress")
+    for part in _late(m.google_raw()):
+        _as_report(part).drop("date", "account_id").write.mode("append").json(landing)
+        ingest_landed_reports(
+            m.spark, landing, progress, reports.KEYWORD_REPORT, reports.flatten_keyword, root, GOOGLE_ADS_RAW, GOOGLE,
+            clock=lambda: LOADED_AT,
+        )
+    rows = read_table(m.spark, root, "bronze", GOOGLE_ADS_RAW.name, GOOGLE_ADS_RAW.schema)
+    return rows.select(*[c for c in MERGED_COLUMNS if c != "_extracted_at"])
+
+
+def _two_writers(m: Models) -> DataFrame:
+    """The late batch in two halves, whose loads run at a time and touch the same days."""
+    root = new_workspace(m.spark, "writers")
+    target, batch = _late(m.google_raw())
+    known = [name for name in GOOGLE_ADS_RAW.schema.fieldNames() if name in target.columns]
+    upsert.merge_upsert(m.spark, root, GOOGLE_ADS_RAW, target.select(*known))
+    half = F.pmod(F.xxhash64(*GOOGLE_ADS_RAW.keys), F.lit(2))
+    batch = staged(batch.select(*known), "late")
+    loads = [partial(upsert.merge_upsert, m.spark, root, GOOGLE_ADS_RAW, batch.where(half == i)) for i in range(2)]
+    side_by_side(loads)
+    rows = read_table(m.spark, root, "bronze", GOOGLE_ADS_RAW.name, GOOGLE_ADS_RAW.schema)
+    return rows.select(*MERGED_COLUMNS)
+
+
+def _append_table(m: Models) -> DataFrame:
+    """Raw rows stored by loads without a conflict key, one after the other."""
+    root, raw = new_workspace(m.spark, "append"), m.google_raw()
+    late = F.col("_extracted_at") >= F.lit(LATE_BATCH.isoformat(sep=" ")).cast("timestamp_ntz")
+    for part in (raw.where(~late), raw.where(late)):
+        upsert.append_rows(root, GOOGLE_ADS_RAW, part.select(*[c for c in raw.columns if c != "_seq"]))
+    rows = read_table(m.spark, root, "bronze", GOOGLE_ADS_RAW.name, GOOGLE_ADS_RAW.schema)
+    return rows.select(*MERGED_COLUMNS)
+
+
+def _seed_accounts(m: Models) -> DataFrame:
+    """Accounts from a seed file with template rows, into a table that holds none yet."""
+    path, accounts = new_workspace(m.spark, "seed"), m.table("supplier")
+    name = F.when(F.col("s_nationkey") == 7, PLACEHOLDER).otherwise(F.col("s_suppkey").cast("string"))
+    rows = accounts.select(
+        name.alias("account_id"),
+        F.when(F.col("s_nationkey") % 2 == 0, GOOGLE).otherwise(META).alias("platform"),
+        F.col("s_name").alias("account_name"),
+        (F.col("s_suppkey") % 2).cast("smallint").alias("enabled"),
+    )
+    rows.write.csv(path, header=True)
+    fields = record(account_id="string", platform="string", account_name="string", enabled="short")
+    table = _stored_ops("managed_accounts", rows.limit(0))
+    return upsert.store_if_absent(m.spark, table, load_seed(m.spark, path, fields), ACCOUNT_KEYS)
+
+
+LEFT_OUT = "date = DATE'2024-01-31' OR (date = DATE'2024-01-29' AND account_id = '1')"
+STILL_BROKEN = "date = DATE'2024-01-30' AND account_id = '2'"
+LOAD_DAYS = Period(date(2024, 1, 28), date(2024, 2, 2))
+
+
+def _backfill_resume(m: Models) -> DataFrame:
+    """Ledger after a load with missing and malformed units and a second one that resumes it."""
+    root = new_workspace(m.spark, "resume")
+    ledger = upsert.OpsTable(root, "ops", "load_ledger", LOAD_LEDGER)
+    ledger.replace(m.spark.createDataFrame([], LOAD_LEDGER))
+    rows = bronze_dedup(in_range(m.google_raw(), LOAD_DAYS), GOOGLE_ADS_RAW, testdata.google_ads_ties())
+    rows = staged(rows.drop("_seq", "_extracted_at").withColumn("account_id", F.col("customer_id")), "rows")
+    plan = staged(upsert.partition_plan(m.spark, LOAD_DAYS, m.accounts()), "plan")
+    first = plan.where("date <> DATE'2024-01-31'").withColumn("broken", F.expr(f"({LEFT_OUT}) OR ({STILL_BROKEN})"))
+    second = plan.withColumn("broken", F.expr(STILL_BROKEN))
+    for hour, landed in enumerate((first, second)):
+        whole = landed.where("NOT broken").select("date", "account_id")
+        found = rows.join(whole, ["date", "account_id"], "left_semi").drop("account_id")
+        resume_backfill(
+            m.spark, root, ledger, GOOGLE_ADS_RAW, found, landed, plan, LOADED_AT.replace(hour=5 + hour), GOOGLE, "customer_id"
+        )
+    return ledger.read(m.spark).select("date", "account_id", "status", "rows", "attempts")
+
+
+def _backfill_landed(m: Models) -> DataFrame:
+    """Units of landed report files, one of them malformed and one missing, loaded in one job."""
+    root, path = new_workspace(m.spark, "backfill"), new_workspace(m.spark, "landed")
+    rows = bronze_dedup(in_range(m.google_raw(), LOAD_DAYS), GOOGLE_ADS_RAW, testdata.google_ads_ties())
+    report = _as_report(rows).where(f"NOT ({STILL_BROKEN})")
+    report.write.partitionBy("date", "account_id").json(path)
+    unfinished = m.spark.range(1).select(F.lit('{"customer": {"id": ').alias("value"))
+    unfinished.write.text(f"{path}/date=2024-01-29/account_id=1/late")
+    found, landed = reports.read_landed(m.spark, path, reports.KEYWORD_REPORT)
+    results = upsert.backfill(
+        m.spark, root, GOOGLE_ADS_RAW, reports.flatten_keyword(found), LOAD_DAYS, m.accounts(), LOADED_AT, GOOGLE, "customer_id", landed
+    )
+    stored = read_table(m.spark, root, "bronze", GOOGLE_ADS_RAW.name, GOOGLE_ADS_RAW.schema)
+    kept = stored.groupBy("date", F.col("customer_id").alias("account_id")).agg(F.count("*").alias("stored"))
+    joined = staged(results, "results").join(kept, ["date", "account_id"], "left")
+    return joined.select("date", "account_id", "rows", "status", F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
+ADDED_COLUMNS = ("campaign_status", "ad_group_status", "criterion_status", "conversion_value")
+
+
+def _schema_growth(m: Models) -> DataFrame:
+    """Days written under an earlier schema, with columns lacking and narrower clicks, read with later ones."""
+    root, raw = new_workspace(m.spark, "growth"), m.google_raw().drop("_seq")
+    early = F.col("date") < F.lit(date(2024, 1, 16))
+    path = f"{root}/bronze/{GOOGLE_ADS_RAW.name}"
+    old = raw.where(early).drop(*ADDED_COLUMNS).withColumn("clicks", F.col("clicks").cast("int"))
+    for rows in (old, raw.where(~early)):
+        rows.write.mode("append").partitionBy("date").parquet(path)
+    grown = read_grown(m.spark, root, "bronze", GOOGLE_ADS_RAW.name, GOOGLE_ADS_RAW.schema)
+    return grown.select("date", "customer_id", "keyword_id", "device", "clicks", "spend", *ADDED_COLUMNS, "_source")
+
+
+def _refused_rows(m: Models) -> DataFrame:
+    """Raw rows that break a constraint, with the constraints they break."""
+    constraints = [
+        *quality.not_null("clicks", "keyword_text"),
+        *quality.accepted_values("campaign_status", ["ENABLED", "PAUSED"]),
+        *quality.expression_is_true("spend", F.col("spend") > 0),
+    ]
+    refused = quality.split_refused(m.google_raw(), constraints).refused
+    return refused.select("_seq", "date", "customer_id", "keyword_id", "spend", F.array_join("reasons", ",").alias("reasons"))
+
+
+def _resolved_periods(m: Models) -> DataFrame:
+    """Review and load periods of the orders' days, whose given texts are of all kinds."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    start = (
+        F.when(key % 7 == 0, F.lit(None).cast("string"))
+        .when(key % 7 == 1, "")
+        .when(key % 7 == 2, "not a day")
+        .otherwise(F.date_sub(day, (key % 40).cast("int")).cast("string"))
+    )
+    end = (
+        F.when(key % 5 == 0, F.lit(None).cast("string"))
+        .when(key % 5 == 1, "")
+        .otherwise(F.date_sub(day, (key % 30).cast("int")).cast("string"))
+    )
+    rows = m.table("orders").select("o_orderkey", day.alias("as_of"), start.alias("start_date"), end.alias("end_date"))
+    return with_periods(rows).select(
+        "o_orderkey",
+        *[F.col(f"{p}.{f}").alias(f"{p}_{f}") for p in ("review", "load") for f in ("start", "end", "problem")],
+    )
+
+
+def _signals_under_pace(m: Models) -> DataFrame:
+    """Signals under budgets that are a hundred times as large, which spend falls short of."""
+    inputs = _review_inputs(m, "daily")
+    larger = (F.col("monthly_budget") * 100).cast("decimal(14,2)")
+    inputs = inputs._replace(budget=inputs.budget.withColumn("monthly_budget", larger))
+    return review.signals(inputs, PERIOD, AS_OF)
+
+
 def _dedup_table(m: Models) -> DataFrame:
     """Stored raw rows with keys several times, of which only the touched days are rewritten."""
     root = new_workspace(m.spark, "dedup")
@@ -806,6 +994,17 @@ RUNS: dict[str, Callable[[Models], DataFrame]] = {
     "dq_ops_tables": _dq_ops,
     "api_key_status": _key_status,
     "key_hashes": _hashes,
+    "live_key_status": lambda m: access.live_key_status(_keys(m), _users(m), LOADED_AT),
+    "stream_restart": _stream_restart,
+    "merge_upsert_two_writers": _two_writers,
+    "append_table": _append_table,
+    "seed_accounts": _seed_accounts,
+    "backfill_resume": _backfill_resume,
+    "backfill_landed": _backfill_landed,
+    "schema_growth": _schema_growth,
+    "refused_rows": _refused_rows,
+    "resolved_periods": _resolved_periods,
+    "signals_under_pace": _signals_under_pace,
     "list_users": lambda m: access.list_users(_users(m)),
 }
 

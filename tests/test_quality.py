@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
+from adtide.operators import quality
 from adtide.operators.quality import (
     dq_accepted_values,
     dq_expression,
@@ -53,3 +56,24 @@ def test_declared_checks_of_models(spark):
         ("unique_combination", "email"): 1,
     }
     assert set(UNIQUE_KEYS) <= set(model_checks())
+
+
+def test_refused_rows_name_every_constraint_and_the_rest_is_kept(spark):
+    rng = random.Random(7)
+    rows = [(i, rng.choice([None, 0, 1, 5]), rng.choice(["a", "b", "z", None])) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, figure int, kind string").repartition(4)
+    checks = [*quality.not_null("figure"), *quality.accepted_values("kind", ["a", "b"]), *quality.expression_is_true("figure", F.col("figure") > 0)]
+    found = quality.split_refused(df, checks)
+    names = ["not_null(figure)", "accepted_values(kind)", "expression_is_true(figure)"]
+    # an undefined condition is not broken
+    reasons = {i: [n for n, broken in zip(names, (f is None, k == "z", f == 0), strict=True) if broken] for i, f, k in rows}
+    assert {r["id"]: r["reasons"] for r in found.refused.collect()} == {i: r for i, r in reasons.items() if r}
+    assert sorted(map(tuple, found.kept.collect())) == [row for row in rows if not reasons[row[0]]]
+    assert found.counts == {"rows": 500, "refused": sum(map(bool, reasons.values()))} | {n: sum(n in r for r in reasons.values()) for n in names}
+
+
+def test_nothing_is_refused_without_constraints_or_rows(spark):
+    df = spark.createDataFrame([(1,), (None,)], "id int")
+    assert quality.split_refused(df, []).kept.count() == 2
+    none = quality.split_refused(df.where("false"), quality.not_null("id"))
+    assert none.kept.isEmpty() and none.refused.isEmpty() and none.counts == {"rows": 0, "refused": 0, "not_null(id)": 0}
