@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtide.llm.common import doc_key, find_words, lists, span_hashes, store, text_slices, window_hashes, word_hashes
+from adtide.llm.common import doc_key, find_words, identity, lists, one_row_each, span_hashes, store, text_slices, window_hashes, word_hashes
 
 WINDOW = 50
 
@@ -44,12 +44,16 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
-    """Documents by id and a hash of the text, which tells rows of one id apart."""
-    return documents.select(doc_key().alias("doc"), F.xxhash64("text").alias("tid"), "text")
+    """Documents by id and a hash of the text, which tells rows of one id apart; one row of equal ones."""
+    return one_row_each(identity(documents)).select("doc", "tid", "text")
 
 
 def parse_blocks(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc, tid, anchor, block, first, windows: the blocks of every document, by the number of their first word."""
+    return _blocks(_keyed(documents), window)
+
+
+def _blocks(texts: DataFrame, window: int) -> DataFrame:
     run_words = window // 2
     schema = "doc long, tid long, first array<int>, windows array<int>, anchor array<long>, block array<long>"
 
@@ -86,7 +90,7 @@ def parse_blocks(documents: DataFrame, window: int = WINDOW) -> DataFrame:
                     names=["doc", "tid", "first", "windows", "anchor", "block"],
                 )
 
-    packed = _keyed(documents).mapInArrow(parse, schema)
+    packed = texts.mapInArrow(parse, schema)
     return packed.select("doc", "tid", F.inline(F.arrays_zip("first", "windows", "anchor", "block")))
 
 
@@ -122,7 +126,9 @@ def _border_windows(texts: DataFrame, window: int) -> DataFrame:
 
 def duplicate_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc, tid, spans: per document that repeats anything, its duplicate spans of words, in order."""
-    blocks = store(parse_blocks(documents, window), "blocks")
+    # repeated rows are judged alike, so that one of them stands for all
+    texts = _keyed(documents)
+    blocks = store(_blocks(texts, window), "blocks")
     # anchors that more than one document has: everything else is dropped before any further shuffle
     anchors = blocks.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), (F.min("block") != F.max("block")).alias("borders"))
     # results of groupings are stored before a join on the same key, so that a hot key's rows can be split there
@@ -134,7 +140,7 @@ def duplicate_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     factors = looked_up.where("doc > owner").select("doc", "tid", "first", "windows")
     # the first document of a block stands for all that hold it
     borders = looked_up.where("doc = owner and borders").groupBy("doc", "tid").agg(F.collect_list(F.struct("first", "windows", "anchor")).alias("wanted"))
-    windows = store(_border_windows(_keyed(documents).join(borders.hint("merge"), ["doc", "tid"]), window), "border-windows")
+    windows = store(_border_windows(texts.join(borders.hint("merge"), ["doc", "tid"]), window), "border-windows")
     owners = windows.groupBy("anchor", "hash").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner < last")
     owners = store(owners.select("anchor", "hash", "owner"), "owners")
     singles = windows.join(owners, ["anchor", "hash"]).where("doc > owner").select("doc", "tid", "first", F.lit(1).alias("windows"))

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from cases import SCHEMA, frame, rows
+import random
+
+from cases import SCHEMA, frame, rows, sentence
 
 from adtide.llm import substring
 
@@ -42,5 +44,27 @@ def test_blocks_cover_every_window_once(spark):
             assert row["sum(windows)"] % (words[0] - WINDOW + 1) == 0
 
 
+def test_copies_of_a_row_are_parsed_once(spark, monkeypatch):
+    rng = random.Random(8)
+    shared, own = sentence(rng, 200), sentence(rng, 40)
+    one = (5, f"{shared} {own}", "aa", "s", 1)
+    windows = substring._border_windows
+
+    def counted(texts, window):
+        found = windows(texts, window)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(substring, "_border_windows", counted)
+    sizes = []
+    for copies in (1, 1000):
+        made = []
+        data = [one] * copies + [(9, f"{sentence(random.Random(1), 30)} {shared}", "aa", "s", 1)]
+        got = substring.without_repeats(frame(spark, data), 50).collect()
+        assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got), key=str) == brute(data, 50)
+        sizes.append(made[0])
+    assert sizes[0] == sizes[1] > 0
+
+
 def test_no_rows(spark):
     assert substring.without_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
