@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtide.llm.common import identity, store
+from adtide.operators.ranking import positions
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -125,6 +126,24 @@ def round_shares(rows: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     return result
 
 
+def with_turns(rows: DataFrame) -> DataFrame:
+    """Rows of a source with ``turn``, by which they are dealt into groups; equal ones get different turns.
+
+    rows: source_rank, doc_id, tid, size, row. Rows of one source, id and size are numbered, in ranges,
+    so that however many there are they fall into groups as others do. Which of equal rows gets which
+    number makes no difference.
+    """
+    plain = rows.withColumn("turn", F.xxhash64("doc_id", "size"))
+    keyed = plain.select("row", "tid", F.xxhash64("source_rank", "turn").alias("key"))
+    repeated = keyed.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
+    if repeated.isEmpty():
+        return plain
+    equal = keyed.join(store(repeated.select("key"), "repeated"), "key", "left_semi")
+    numbers = positions(equal, "key", [F.asc("tid"), F.asc("row")], "number").where("number > 1").select("row", "number")
+    numbered = plain.join(numbers, "row", "left")
+    return numbered.withColumn("turn", F.when(F.col("number").isNull(), F.col("turn")).otherwise(F.xxhash64("turn", "number"))).drop("number")
+
+
 def mix_sources(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, tid, source, size, source_size, target, copies of every document; tid is a hash of the text."""
     source = F.col("source").cast("string").alias("source")
@@ -135,7 +154,7 @@ def mix_sources(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most:
     joined = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     joined = joined.withColumn("whole", F.floor(rate + 1e-9)).withColumn("share", F.greatest(rate - F.col("whole"), F.lit(0.0)))
     joined = joined.withColumn("share", F.when(F.col("share") < 1e-9, 0.0).otherwise(F.col("share")))
-    joined = joined.withColumn("turn", F.xxhash64("doc_id", "size"))
+    joined = with_turns(joined)
     parts = joined.where("size > 0").select("source_rank", "n", "row", "turn", "size", "share")
     taken = round_shares(parts, group_rows)
     alone = (F.pmod(F.xxhash64("turn", F.lit(SEED + 1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)

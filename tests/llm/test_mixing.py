@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 from cases import SCHEMA, frame, rows
+from pyspark.sql import functions as F
 
 from adtide.llm import mixing
 
@@ -48,5 +49,16 @@ def test_targets_and_words_taken(spark):
     assert key(got) == key(again)
 
 
+def test_a_hot_id_is_dealt_into_groups_like_others(spark):
+    data = [(None, "one two three", "aa", "a", 1)] * 3000 + [(i, "w " * (1 + i % 7), "aa", "a", 1) for i in range(3000)]
+    rows = frame(spark, data).select(F.lit(0).alias("source_rank"), "doc_id", F.xxhash64("text").alias("tid"), F.when(F.col("doc_id").isNull(), 3).otherwise(F.col("doc_id") % 7 + 1).alias("size"))
+    turned = mixing.with_turns(rows.withColumn("row", F.monotonically_increasing_id()))
+    groups = turned.groupBy(F.pmod(F.xxhash64("turn", F.lit(0)), F.lit(60)).alias("grp")).count()
+    assert turned.select("turn").distinct().count() == 6000
+    assert groups.agg(F.max("count")).first()[0] < 2 * 100
+    got = mixing.mix_sources(frame(spark, data), group_rows=100).collect()
+    assert len(got) == 6000 and {r.copies for r in got} == {1}
+
+
 def test_no_rows(spark):
     assert mixing.mix_sources(spark.createDataFrame([], SCHEMA)).count() == 0
