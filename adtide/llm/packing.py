@@ -12,15 +12,19 @@ ignored; a text of any length is cut into full pieces and one rest.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtide.llm.common import identity, store
+from adtide.llm.tokens import NO_RANK, Merges, alternate, byte_symbols
 
 CAPACITY = 4096
 END_TOKEN = 1
@@ -29,10 +33,83 @@ OPEN_BINS = 256
 TASK_PIECES = 50_000
 #: Open bins that one task of a later round repacks.
 ROUND_BINS = 32 * OPEN_BINS
+#: Bytes of text whose unknown words are learned at once, about.
+LEARNED_BYTES = 4 << 20
+#: Bytes of the longest run that is merged with others.
+LONGEST_RUN = 256
 #: Words whose ids a worker remembers.
 MEMORY_WORDS = 1_000_000
 
 
+#: Small letters of ASCII and Latin-1 alone, which the tokenizer's normalizer leaves as they are.
+_RUN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+
+class LetterRuns(Merges):
+    """Token ids of runs of small letters, each of which is one pre-token that ends with a word-end sign.
+
+    The ragged arrays are merged as for counts; pairs are looked up in a table by a product of their
+    symbols instead of by bisection.
+    """
+
+    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], suffix: str):
+        super().__init__(vocabulary, merges)
+        symbols = byte_symbols()
+        self.last = np.array([vocabulary.get(symbols[b] + suffix, -1) for b in range(256)], dtype=np.int64)
+        bits = max(4, (4 * len(self.keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot_keys = np.full(1 << bits, -1, dtype=np.int64)
+        self.slot_ranks = np.full(1 << bits, NO_RANK, dtype=np.int64)
+        for key, rank, place in zip(self.keys.tolist(), self.order.tolist(), self._places(self.keys).tolist(), strict=True):
+            while self.slot_keys[place] >= 0:
+                place = (place + 1) & self.mask
+            self.slot_keys[place], self.slot_ranks[place] = key, rank
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = (left << 32) | right
+        places = self._places(keys)
+        held = self.slot_keys[places]
+        found = np.where(held == keys, self.slot_ranks[places], NO_RANK)
+        rest = np.flatnonzero((held != keys) & (held >= 0))
+        while len(rest):
+            places[rest] = (places[rest] + 1) & self.mask
+            held = self.slot_keys[places[rest]]
+            same = held == keys[rest]
+            found[rest[same]] = self.slot_ranks[places[rest[same]]]
+            rest = rest[~same & (held >= 0)]
+        return found
+
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in turn, and where each word's begin, with the end of the last."""
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        data = np.frombuffer(b"".join(words), dtype=np.uint8)
+        symbols, ends = self.first[data], np.cumsum(sizes) - 1
+        symbols[ends] = self.last[data[ends]]
+        owner = np.repeat(np.arange(len(words)), sizes)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(symbols):
+            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            rank = np.full(len(symbols), NO_RANK)
+            same = np.flatnonzero(owner[1:] == owner[:-1])
+            rank[same] = self.ranks(symbols[same], symbols[same + 1])
+            lowest = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.r_[starts, len(owner)]))
+            over = lowest == NO_RANK
+            done.append((owner[over], symbols[over]))
+            chosen = np.flatnonzero((rank == lowest) & ~over)
+            chosen = alternate(chosen, chosen[1:] == chosen[:-1] + 1)
+            symbols[chosen] = self.made[rank[chosen]]
+            keep = ~over
+            keep[chosen + 1] = False
+            symbols, owner = symbols[keep], owner[keep]
+        owners = np.concatenate([o for o, _ in done]) if done else np.zeros(0, np.int64)
+        order = np.argsort(owners, kind="stable")
+        flat = np.concatenate([s for _, s in done])[order] if done else np.zeros(0, np.int64)
+        return flat, np.r_[0, np.cumsum(np.bincount(owners, minlength=len(words)))]
+
+
 class WordIds(dict):
     """Token ids, as little-endian bytes, of words between ASCII white space.
 
@@ -49,6 +126,10 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = "<|endoftext|>"
         self.mark_id = self.tokenizer.token_to_id(self.mark)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.letters = LetterRuns(model["vocab"], merges, model["end_of_word_suffix"] or "")
 
     def encode(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
@@ -57,8 +138,11 @@ class WordIds(dict):
     def learn(self, words: set[bytes]) -> None:
         if len(self) > MEMORY_WORDS:
             self.clear()
-        plain = {}
+        plain, runs, fits = {}, set(), _RUN.fullmatch
         for word in words.difference(self):
+            if fits(word) and len(word) <= LONGEST_RUN:
+                runs.add(word)
+                continue
             if b"<|" in word:
                 # may hold a special token, which is matched before letters are lowered
                 self[word] = self.encode(word)
@@ -69,14 +153,20 @@ class WordIds(dict):
                 core = core[:-1]
             else:
                 tail = b""
-            if core in self:
-                self[word] = self[core] + (self[tail] if tail else b"")
-            else:
-                plain[word] = (core, tail)
+            plain[word] = (core, tail)
         for tail in (b".", b","):
             if tail not in self:
                 self[tail] = self.encode(tail)
-        cores = list({c for c, _ in plain.values()})
+        cores = {c for c, _ in plain.values() if c not in self}
+        runs.update(c for c in cores if fits(c) and len(c) <= LONGEST_RUN)
+        # a run of letters is one pre-token; long ones are left to the library
+        wanted = list(runs)
+        for first in range(0, len(wanted), 100_000):
+            some = wanted[first : first + 100_000]
+            flat, starts = self.letters.ids(some)
+            data, at = flat.astype("<u4").tobytes(), (starts * 4).tolist()
+            self.update((c, data[a:b]) for c, a, b in zip(some, at, at[1:], strict=False))
+        cores = list(cores - runs)
         for first in range(0, len(cores), 20_000):
             some = cores[first : first + 20_000]
             joined = self.mark.join(c.decode("utf-8") for c in some)
@@ -107,11 +197,14 @@ def tokenize(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) ->
         for batch in batches:
             # bytes as they are: words end at ASCII white space, which no other character contains
             keys, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
-            for first in range(0, len(keys), 256):
-                bodies = [(t or b"").split() for t in texts.slice(first, 256).to_pylist()]
+            # rows with some MB of text at once: a word is then looked for once in many texts
+            edges = np.cumsum(np.r_[0, pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)]) // LEARNED_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(edges[:-1])) + 1).tolist(), len(keys)] if len(keys) else [0]
+            for first, end_row in zip(cuts, cuts[1:], strict=False):
+                bodies = [(t or b"").split() for t in texts.slice(first, end_row - first).to_pylist()]
                 known.learn(set().union(*bodies))
                 out: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
-                for key, words in zip(keys[first : first + 256], bodies, strict=True):
+                for key, words in zip(keys[first:end_row], bodies, strict=True):
                     data = b"".join(map(known.__getitem__, words)) + end
                     for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[at : at + 4 * capacity]

@@ -35,7 +35,8 @@ SLICE = 1 << 20
 LONG = 512
 #: Symbols that one ragged array holds.
 ROUND_SYMBOLS = 1 << 21
-_NONE = np.int64(1 << 40)
+#: Above every rank.
+NO_RANK = np.int64(1 << 40)
 
 
 def byte_symbols() -> dict[int, str]:
@@ -65,10 +66,10 @@ class Merges:
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, a number above all ranks where there is none."""
         if not len(self.keys):
-            return np.full(len(left), _NONE)
+            return np.full(len(left), NO_RANK)
         wanted = (left << 32) | right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where(self.keys[at] == wanted, self.order[at], _NONE)
+        return np.where(self.keys[at] == wanted, self.order[at], NO_RANK)
 
     def count(self, words: list[bytes]) -> np.ndarray:
         """Surviving symbols of each word."""
@@ -90,15 +91,15 @@ class Merges:
         while len(symbols):
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             lengths = np.diff(np.r_[starts, len(owner)])
-            rank = np.full(len(symbols), _NONE)
+            rank = np.full(len(symbols), NO_RANK)
             same = np.flatnonzero(owner[1:] == owner[:-1])
             rank[same] = self.ranks(symbols[same], symbols[same + 1])
             lowest = np.repeat(np.minimum.reduceat(rank, starts), lengths)
-            done = lowest == _NONE
+            done = lowest == NO_RANK
             ready = done[starts]
             counts[owner[starts[ready]]] = lengths[ready]
             chosen = np.flatnonzero((rank == lowest) & ~done)
-            chosen = _alternate(chosen, chosen[1:] == chosen[:-1] + 1)
+            chosen = alternate(chosen, chosen[1:] == chosen[:-1] + 1)
             symbols[chosen] = self.made[rank[chosen]]
             keep = ~done
             keep[chosen + 1] = False
@@ -116,7 +117,7 @@ class Merges:
         def offer(places: np.ndarray) -> None:
             places = places[(places >= 0) & (after[places] < size)]
             rank = self.ranks(symbols[places], symbols[after[places]])
-            order = np.argsort(rank, kind="stable")[: int((rank < _NONE).sum())]
+            order = np.argsort(rank, kind="stable")[: int((rank < NO_RANK).sum())]
             places, rank = places[order], rank[order]
             if len(rank):
                 for group in np.split(np.arange(len(rank)), np.flatnonzero(np.diff(rank)) + 1):
@@ -133,7 +134,7 @@ class Merges:
             places = places[alive[places]]
             places = places[after[places] < size]
             places = places[self.ranks(symbols[places], symbols[after[places]]) == key]
-            places = _alternate(places, after[places[:-1]] == places[1:])
+            places = alternate(places, after[places[:-1]] == places[1:])
             gone = after[places]
             symbols[places] = self.made[key]
             alive[gone] = False
@@ -144,7 +145,7 @@ class Merges:
         return int(alive.sum())
 
 
-def _alternate(places: np.ndarray, joined: np.ndarray) -> np.ndarray:
+def alternate(places: np.ndarray, joined: np.ndarray) -> np.ndarray:
     """Every other place of each run, the first included; ``joined`` tells which places follow on the one before.
 
     Pairs of one rank overlap only in runs of one symbol, where the leftmost pair is merged first.
