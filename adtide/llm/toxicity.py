@@ -18,6 +18,7 @@ other columns of either table are ignored; a text of any length is read whole.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -228,10 +229,10 @@ def train(toxic: list[str], ordinary: list[str], counts: tuple[int, int] | None
     return model
 
 
-def fit(documents: DataFrame, labels: DataFrame) -> Model:
-    """Train on a bounded sample of labelled rows that are not held out.
+def sample(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """doc_id, text, toxic of the labelled rows to learn from, and the labelled documents of each class, toxic first.
 
-    Of each class the rows with the smallest hash of the id, so that reruns agree.
+    Of each class the rows with the smallest hash of the id, none held out, so that reruns agree.
     """
     marked = labels.where("doc_id is not null and toxic is not null").where(~held_out())
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -255,8 +256,25 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
             left[kind] -= size
             taken.append((doc, tid))
     fitting = documents.sparkSession.createDataFrame(taken, "doc_id long, tid long")
-    rows = stored.join(F.broadcast(fitting), ["doc_id", "tid"]).select("doc_id", "toxic", "text").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]).to_pylist()
-    return train([r["text"] for r in rows if r["toxic"] == 1], [r["text"] for r in rows if r["toxic"] == 0], (sizes.get(1, 0), sizes.get(0, 0)))
+    chosen_texts = stored.join(F.broadcast(fitting), ["doc_id", "tid"]).select("doc_id", "text", "toxic")
+    return chosen_texts, (sizes.get(1, 0), sizes.get(0, 0))
+
+
+def fit(documents: DataFrame, labels: DataFrame) -> Model:
+    """Train on a bounded sample of labelled rows that are not held out.
+
+    One task learns from it, and only the model comes to the driver.
+    """
+    rows, counts = sample(documents, labels)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        parts = ([text for _, text, kind in texts if kind == 1], [text for _, text, kind in texts if kind == 0])
+        texts.clear()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(*parts, counts))], pa.binary())], names=["model"])
+
+    made = rows.repartition(1).mapInArrow(learn, "model binary").first()
+    return pickle.loads(bytes(made["model"])) if made else Model()
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:

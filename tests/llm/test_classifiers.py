@@ -131,9 +131,9 @@ def test_repeated_ids_are_cut_before_the_driver(spark, monkeypatch):
     data = [(1, "same text", "aa", "s", 1)] * 300 + [(3, f"text {i}", "aa", "s", 1) for i in range(50)] + [(4, "other", "aa", "s", 1)]
     labels = spark.createDataFrame([(1, 1, 1), (3, 1, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
     assert not any(map(is_held, (1, 3, 4)))
-    taken = []
-    monkeypatch.setattr(toxicity, "train", lambda toxic, ordinary, counts: taken.extend([toxic, ordinary, counts]))
-    toxicity.fit(frame(spark, data), labels)
+    rows, counts = toxicity.sample(frame(spark, data), labels)
+    texts = [(r["text"], r["toxic"]) for r in rows.collect()]
+    taken = [[t for t, kind in texts if kind == 1], [t for t, kind in texts if kind == 0], counts]
     assert taken[0] == ["same text"] and len(taken[1]) == toxicity.TEXTS_OF_ID + 1 and taken[2] == (1, 2)
 
 
