@@ -1,4 +1,8 @@
-"""Corpus pipeline: stages over documents, each written before the next one reads it."""
+"""Corpus pipeline: stages over documents, each written before the next one reads it.
+
+In every stage a null text is an empty one, a text of any length is read whole, other columns of the
+input are left out and an empty table gives an empty one with the same columns.
+"""
 
 from __future__ import annotations
 
@@ -17,7 +21,11 @@ ORACLE_SQL = None
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the toxicity threshold; the classifier learns from those of the input with labels."""
+    """Documents below the toxicity threshold; the classifier learns from those of the input with labels.
+
+    Every row is judged on its own, so that repeated rows stay or go together; empty texts and null ids
+    are judged like others. Without toxic or without ordinary labels every document stays.
+    """
     prepare_workers(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score(docs.select(*COLUMNS), model)
@@ -25,7 +33,11 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the smallest id, then the smallest hash of the text."""
+    """Of each component of near copies the document with the smallest id, then the smallest hash of the text.
+
+    Of repeated rows one stays; a null id comes after all others; texts without words link with nothing,
+    so that each of them stays.
+    """
     prepare_workers(spark)
     found = jaccard.jaccard_components(docs)
     key = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"), "tid")
@@ -34,7 +46,11 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more that an earlier document holds are cut; other texts stay as they are."""
+    """Passages of 50 words or more that an earlier document holds are cut; other texts stay as they are.
+
+    Repeated rows are cut alike, a null id is later than all others, and a text that is cut whole stays as
+    an empty one.
+    """
     prepare_workers(spark)
     cut = substring.without_repeats(docs.select(*COLUMNS))
     changed = F.col("n_removed") > 0
@@ -44,7 +60,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it.
+
+    Documents without words and those of a null source take part like others; a document that the mix
+    does not take goes.
+    """
     prepare_workers(spark)
     mixed = mixing.mix_sources(docs).where("copies > 0")
     # rows that agree in id, text and source are one row with their copies added
@@ -59,7 +79,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences and offsets."""
+    """The pieces of all documents with their sequences and offsets; an empty text is its end token alone."""
     prepare_workers(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
