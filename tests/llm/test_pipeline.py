@@ -45,3 +45,19 @@ def test_stages_take_effect(spark, tmp_path):
     packed = results[5].collect()
     assert {r.doc_id for r in packed} == {r.doc_id for r in results[4].collect()}
     assert sum(r.piece == 0 for r in packed) == results[4].count()
+
+
+def test_stages_of_empty_tables_and_of_clashing_columns(spark, tmp_path):
+    from cases import frame
+
+    folder = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    none = spark.createDataFrame([], SCHEMA)
+    for _, stage in pipeline.STAGES[:-1]:
+        empty = stage(spark, none, folder)
+        assert empty.columns == list(pipeline.COLUMNS) and empty.count() == 0
+    assert pipeline.STAGES[-1][1](spark, none, folder).count() == 0
+    clashing = frame(spark, rows(count=25))
+    for _, stage in pipeline.STAGES[:-1]:
+        assert stage(spark, clashing, folder).columns == list(pipeline.COLUMNS)
+    assert pipeline.pack(spark, clashing, folder).count() >= clashing.count()
