@@ -102,16 +102,34 @@ def _frequencies(files: DataFrame) -> dict[str, int]:
     return {r["word"]: r["n"] for r in counted.collect()}
 
 
+_IDS = {name.lower(): name for name in license_texts.SPDX_IDS}
+_LATER = re.compile(r"(?i)(-only|-or-later|\+)$")
+
+
+def _is_operand(word: str, after: str) -> bool:
+    """Whether a word of an SPDX expression names a licence, or an exception after WITH."""
+    plain = word.strip("()")
+    if after.upper() == "WITH":
+        return "exception" in plain.lower() or plain.lower().startswith("additionref-")
+    return plain.lower().startswith("licenseref-") or _LATER.sub("", plain).lower() in _IDS
+
+
 def spdx(text: str) -> str | None:
-    """The first SPDX tag of a text, without a suffix for later versions if it is a single licence."""
-    found = _SPDX.search(text)
-    if not found:
-        return None
-    stated = found[1].strip().rstrip(".")
-    if " " in stated or "\t" in stated:
-        return " ".join(stated.split())
-    stated = re.sub(r"(?i)(-only|-or-later|\+)$", "", stated.strip("()"))
-    return next((n for n in license_texts.NEEDED if n.lower() == stated.lower()), stated) or None
+    """The first SPDX tag of a text that states licences, without a suffix for later versions if it is a single one.
+
+    Every operand must be a known identifier or a LicenseRef; a sentence about tags or a pointer to a file
+    states nothing.
+    """
+    for found in _SPDX.finditer(text):
+        words = found[1].strip().rstrip(".").split()
+        # a sentence may go on after a single licence as if it were an expression
+        if not all(_is_operand(word, words[at - 1] if at else "") for at, word in enumerate(words) if at % 2 == 0):
+            continue
+        if len(words) > 1:
+            return " ".join(words)
+        plain = words[0].strip("()")
+        return _IDS.get(_LATER.sub("", plain).lower(), plain)
+    return None
 
 
 class Matcher:

@@ -217,3 +217,22 @@ FOREIGN: dict[str, set[str]] = {
     "CC-BY-NC-SA-4.0": {"nd", "noderivatives", "noderivs"},
     "CC-BY-NC-ND-4.0": {"sa", "sharealike"},
 }
+
+# Identifiers of usual licences in the SPDX list, without a suffix for later versions.
+SPDX_IDS = (
+    "0BSD", "AFL-2.1", "AFL-3.0", "AGPL-1.0", "AGPL-3.0", "Apache-1.0", "Apache-1.1", "Apache-2.0", "APSL-2.0", "Artistic-1.0",
+    "Artistic-2.0", "BlueOak-1.0.0", "BSD-1-Clause", "BSD-2-Clause", "BSD-2-Clause-Patent", "BSD-3-Clause", "BSD-3-Clause-Clear",
+    "BSD-3-Clause-LBNL", "BSD-4-Clause", "BSD-Source-Code", "BSL-1.0", "BUSL-1.1", "bzip2-1.0.6", "CC-BY-1.0", "CC-BY-2.0",
+    "CC-BY-2.5", "CC-BY-3.0", "CC-BY-4.0", "CC-BY-NC-1.0", "CC-BY-NC-2.0", "CC-BY-NC-2.5", "CC-BY-NC-3.0", "CC-BY-NC-4.0",
+    "CC-BY-NC-ND-2.0", "CC-BY-NC-ND-2.5", "CC-BY-NC-ND-3.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-2.0", "CC-BY-NC-SA-2.5",
+    "CC-BY-NC-SA-3.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-2.0", "CC-BY-ND-2.5", "CC-BY-ND-3.0", "CC-BY-ND-4.0", "CC-BY-SA-1.0",
+    "CC-BY-SA-2.0", "CC-BY-SA-2.5", "CC-BY-SA-3.0", "CC-BY-SA-4.0", "CC-PDDC", "CC0-1.0", "CDDL-1.0", "CDDL-1.1", "CDLA-Permissive-1.0",
+    "CDLA-Permissive-2.0", "CDLA-Sharing-1.0", "CECILL-2.0", "CECILL-2.1", "CECILL-B", "CECILL-C", "CPAL-1.0", "CPL-1.0", "curl",
+    "ECL-2.0", "EFL-2.0", "Elastic-2.0", "EPL-1.0", "EPL-2.0", "EUPL-1.1", "EUPL-1.2", "FSFAP", "FTL", "GFDL-1.1", "GFDL-1.2",
+    "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "HPND", "ICU", "IJG", "ImageMagick", "IPL-1.0", "ISC", "JSON", "LGPL-2.0", "LGPL-2.1",
+    "LGPL-3.0", "Libpng", "libtiff", "LPL-1.02", "LPPL-1.3c", "MirOS", "MIT", "MIT-0", "MIT-CMU", "MPL-1.0", "MPL-1.1", "MPL-2.0",
+    "MPL-2.0-no-copyleft-exception", "MS-PL", "MS-RL", "MulanPSL-2.0", "NCSA", "NTP", "ODbL-1.0", "ODC-By-1.0", "OFL-1.0", "OFL-1.1",
+    "OpenSSL", "OSL-2.1", "OSL-3.0", "PDDL-1.0", "PHP-3.0", "PHP-3.01", "PostgreSQL", "PSF-2.0", "Python-2.0", "QPL-1.0", "Ruby",
+    "SGI-B-2.0", "SSPL-1.0", "TCL", "Unicode-3.0", "Unicode-DFS-2016", "Unlicense", "UPL-1.0", "Vim", "W3C", "WTFPL", "X11", "Zlib",
+    "zlib-acknowledgement", "ZPL-2.0", "ZPL-2.1",
+)

@@ -79,3 +79,25 @@ def test_query_scans_documents_too(spark, tmp_path):
     spark.createDataFrame([(1, "Prose.\nReleased under the MIT License."), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {(r.table, r.page_id, r.doc_id, r.license, r.declared_by) for r in op2_license(spark, str(tmp_path)).collect()}
     assert got == {("pages", 1, None, None, None), ("documents", None, 1, "MIT", 1), ("documents", None, 2, None, None)}
+
+
+def test_only_known_identifiers_are_stated_by_tags():
+    for text, name in {
+        "SPDX-License-Identifier: see LICENSE file": None,
+        "SPDX-License-Identifier: names a licence. Released under the MIT License.": None,
+        "SPDX-License-Identifier: NONE": None,
+        "SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0": "GPL-2.0-or-later WITH Classpath-exception-2.0",
+        "SPDX-License-Identifier: GPL-2.0 WITH pleasure": None,
+        "SPDX-License-Identifier: (mit OR Apache-2.0) AND isc": "(mit OR Apache-2.0) AND isc",
+        "SPDX-License-Identifier: MIT OR whatever": None,
+        "SPDX-License-Identifier: LicenseRef-Own.1": "LicenseRef-Own.1",
+        "SPDX-License-Identifier: lgpl-2.1+": "LGPL-2.1",
+        "SPDX-License-Identifier: see below\n# SPDX-License-Identifier: zlib": "Zlib",
+        "no tag": None,
+    }.items():
+        assert license.spdx(text) == name, text
+
+
+def test_a_sentence_about_tags_does_not_hide_a_statement():
+    idf = dict.fromkeys(license.VOCABULARY, 2.0)
+    assert license.best_template("SPDX-License-Identifier: names a licence.\nReleased under the MIT License.", idf, 3.0)[0] == "MIT"
