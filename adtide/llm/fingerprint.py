@@ -10,7 +10,7 @@ have likeness 0.
 
 Defined results: a null text is an empty one, whose fingerprint is ``1:::``; equal fingerprints of equal
 texts have likeness 1, an empty text has likeness 0 to any other; rows with equal or null ids follow each
-other by text, nulls first; the last document is followed by the first, a single one by itself; other
+other by a hash of their text, null ids first; the last document is followed by the first, a single one by itself; other
 columns are ignored; a text of any length is read whole.
 """
 
@@ -179,15 +179,26 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return identity(documents).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fingerprint string")
 
 
+def in_order(documents: DataFrame) -> DataFrame:
+    """doc_id, text, turn, row in ranges of ascending doc_id, null first.
+
+    Rows of one id go by a hash of their text and equal rows by a number, so that an id with a third of all
+    rows, equal or not, is spread over as many ranges as its share asks for.
+    """
+    order = ["doc_id", "turn", "row"]
+    frame = identity(documents).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    frame = frame.withColumn("turn", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    return frame.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def edit_trial(documents: DataFrame) -> DataFrame:
     """Fingerprints of every document and of its edited text, compared with each other and with the next.
 
-    One range shuffle by doc_id brings neighbours together; a task reads its range in order and leaves its
-    first and last text for the few pairs that lie in two ranges.
+    One range shuffle brings neighbours together; a task reads its range in order and leaves its first and
+    last text for the few pairs that lie in two ranges.
     """
     spark = documents.sparkSession
-    frame = identity(documents).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    ranged = frame.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
+    ranged = in_order(documents).select("doc_id", "text").withColumn("part", F.spark_partition_id())
     edge_schema = pa.schema([*_OUTPUT, ("part", pa.int32()), ("first", pa.string()), ("last_id", pa.int64()), ("last", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import pytest
+import xxhash
 from cases import SCHEMA, frame, rows
+from pyspark.sql import functions as F
 
 from adtide.llm import fingerprint as fp
 
@@ -56,6 +59,29 @@ def test_trial_equals_brute_force(spark):
     assert sum(r.near_edited > 0.3 for r in long) >= 0.95 * len(long)
 
 
+def test_null_and_repeated_ids_follow_by_a_hash_of_the_text(spark):
+    data = [*rows(count=30), *((None, f"text {i % 9} " * 20, None, None, 1) for i in range(40)), (3, "other", "aa", "s", 1)]
+    got = fp.edit_trial(frame(spark, data)).collect()
+    turn = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + 2**63) % 2**64
+    ordered = sorted(((d, t or "") for d, t, *_ in data), key=lambda r: (r[0] is not None, r[0] or 0, turn(r[1])))
+    expected = []
+    for at, (doc, text) in enumerate(ordered):
+        expected.append((doc, hashlib.sha256(fp.edited(text, ordered[(at + 1) % len(ordered)][1]).encode()).hexdigest()))
+    assert Counter((r.doc_id, r.edited_sha256) for r in got) == Counter(expected)
+
+
+@pytest.mark.parametrize("doc", [None, 5])
+def test_a_hot_id_is_spread_over_ranges(spark, doc):
+    hot = [(doc, "the same text", None, None, 1)] * 3000 + [(doc, f"text {i}", None, None, 1) for i in range(1000)]
+    data = hot + [(1000 + i, f"plain {i}", "aa", "s", 1) for i in range(2000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in fp.in_order(frame(spark, data)).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 6000 and len(sizes) >= 4 and max(sizes) <= 3 * 6000 / len(sizes)
+
+
 def test_few_rows(spark):
     assert fp.edit_trial(spark.createDataFrame([], SCHEMA)).count() == 0
     (one,) = fp.edit_trial(spark.createDataFrame([(3, "abcdef", "a", "s", 1)], SCHEMA)).collect()
