@@ -5,7 +5,9 @@ is. The fractional parts are rounded in pairs: two documents exchange words at r
 the other loses, until one of them has a whole number of copies; the other meets the next document. Each
 expected number of copies stays as it was and the words of a pair stay the same, so that a source ends
 within one document of its target. Groups of documents are rounded in parallel, and the one document
-that each leaves undecided goes on to the next level of a tree of ever fewer groups per source.
+that each leaves undecided goes on to the next level of a tree of ever fewer groups per source. Documents
+with a hundredth of their source or more are rounded first, and what they miss of their part of the target
+is spread over the others, so that the document left undecided at the end is a small one where there is any.
 
 Defined results: a null text has no words; a document without words is rounded on its own; a null source
 is a source of its own, the last; a source without words has target 0; repeated rows are documents of
@@ -31,6 +33,8 @@ WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 #: Documents that one task rounds together.
 GROUP_ROWS = 5000
+#: Documents of at least this part of their source are large; a source has no more of them than this.
+LARGE_PART = 100
 SEED = 17
 
 
@@ -144,19 +148,45 @@ def with_turns(rows: DataFrame) -> DataFrame:
     return numbered.withColumn("turn", F.when(F.col("number").isNull(), F.col("turn")).otherwise(F.xxhash64("turn", "number"))).drop("number")
 
 
+def _decide_large(rows: pd.DataFrame) -> pd.DataFrame:
+    """Whole copies of a source's large documents; the last undecided one goes to the nearer side."""
+    decided = _round_group(rows.assign(grp=0), 0)
+    return pd.DataFrame({"source_rank": decided["source_rank"], "row": decided["row"], "words": decided["size"], "large_copies": (decided["whole"] + (decided["share"] >= 0.5)).astype(int)})
+
+
+def _with_copies(rows: DataFrame, rate: Column) -> DataFrame:
+    """Whole copies and the fraction left of a rate."""
+    rows = rows.withColumn("whole", F.floor(rate + 1e-9)).withColumn("share", F.greatest(rate - F.col("whole"), F.lit(0.0)))
+    return rows.withColumn("share", F.when(F.col("share") < 1e-9, 0.0).otherwise(F.col("share")))
+
+
+def large_copies(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+    """source_rank, row, words, large_copies of the documents with a large part of their source, at most LARGE_PART each."""
+    joined = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    large = joined.where(F.col("size") > 0).where(F.col("size") * LARGE_PART >= F.col("source_size"))
+    large = _with_copies(large, F.col("target") / F.col("source_size"))
+    large = large.select("source_rank", "row", F.xxhash64("doc_id", "size", "tid").alias("turn"), "size", "whole", "share")
+    return large.groupBy("source_rank").applyInPandas(_decide_large, "source_rank long, row long, words long, large_copies int")
+
+
 def mix_sources(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, tid, source, size, source_size, target, copies of every document; tid is a hash of the text."""
     source = F.col("source").cast("string").alias("source")
     sizes = identity(documents, "source").select(F.col("doc_id").cast("long"), source, word_count("text").alias("size"), F.xxhash64("text").alias("tid"))
     sizes = store(sizes.withColumn("row", F.monotonically_increasing_id()), "sizes")
     targets = source_targets(sizes, weights, most)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    large = store(large_copies(sizes, targets), "large")
+    sums = large.groupBy("source_rank").agg(F.sum("words").alias("words"), F.sum(F.col("words") * F.col("large_copies")).alias("taken_words"))
+    held, gone = F.coalesce("words", F.lit(0)), F.coalesce("taken_words", F.lit(0))
+    left = F.col("source_size") - held
+    rate = F.when(left > 0, F.greatest(F.lit(0.0), F.least((F.col("target") - gone) / left, F.lit(float(most))))).otherwise(F.lit(0.0))
+    # what large documents leave of a source's target, for the others
+    targets = store(targets.join(sums, "source_rank", "left").withColumn("rate", rate).drop("words", "taken_words"), "targets")
     joined = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    joined = joined.withColumn("whole", F.floor(rate + 1e-9)).withColumn("share", F.greatest(rate - F.col("whole"), F.lit(0.0)))
-    joined = joined.withColumn("share", F.when(F.col("share") < 1e-9, 0.0).otherwise(F.col("share")))
+    joined = _with_copies(joined, F.col("rate")).join(large.select("row", "large_copies"), "row", "left")
     joined = with_turns(joined)
-    parts = joined.where("size > 0").select("source_rank", "n", "row", "turn", "size", "share")
+    parts = joined.where("size > 0 and large_copies is null").select("source_rank", "n", "row", "turn", "size", "share")
     taken = round_shares(parts, group_rows)
     alone = (F.pmod(F.xxhash64("turn", F.lit(SEED + 1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     extra = F.coalesce(F.col("taken"), (alone < F.col("share")).cast("int"))
-    return joined.join(taken, "row", "left").select("doc_id", "tid", "source", "size", "source_size", "target", (F.col("whole") + extra).cast("int").alias("copies"))
+    return joined.join(taken, "row", "left").select("doc_id", "tid", "source", "size", "source_size", "target", F.coalesce("large_copies", F.col("whole") + extra).cast("int").alias("copies"))

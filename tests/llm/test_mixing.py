@@ -60,5 +60,25 @@ def test_a_hot_id_is_dealt_into_groups_like_others(spark):
     assert len(got) == 6000 and {r.copies for r in got} == {1}
 
 
+def test_large_documents_are_made_up_for_by_small_ones(spark):
+    rng = random.Random(8)
+    data = []
+    for at, source in enumerate("abcdef"):
+        lengths = [20000, 9000, 3000] + [rng.randint(20, 200) for _ in range(600)]
+        data += [(1000 * at + i, "w " * n, "aa", source, 1) for i, n in enumerate(lengths)]
+    got = mixing.mix_sources(frame(spark, data), group_rows=100).collect()
+    assert len(got) == len(data)
+    for source in "abcdef":
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.copies * r.size for r in own) - own[0].target) <= 200
+
+
+def test_one_large_document_alone(spark):
+    data = [(1, "w " * 100, "aa", "a", 1), (2, "w " * 100, "aa", "b", 1), (2, "w " * 100, "aa", "b", 1), (3, "", "aa", "b", 1)]
+    got = sorted((r.doc_id, r.size, r.copies) for r in mixing.mix_sources(frame(spark, data)).collect())
+    # targets of 100 and 200 words
+    assert [r for r in got if r[1]] == [(1, 100, 1), (2, 100, 1), (2, 100, 1)]
+
+
 def test_no_rows(spark):
     assert mixing.mix_sources(spark.createDataFrame([], SCHEMA)).count() == 0
