@@ -41,3 +41,23 @@ def test_few_vectors_and_none(spark):
     two = spark.createDataFrame([(0, [1.0, 0.0]), (7, [0.0, 1.0]), (9, [1.0, 1.0])], schema)
     assert [(r.rank, r.id) for r in ann.nearest(two, F.col("id") == 0).orderBy("rank").collect()] == [(1, 9), (2, 7)]
     assert ann.nearest(spark.createDataFrame([], schema), F.col("id") % 10 == 0).count() == 0
+
+
+def test_recall_over_several_shards_at_production_parameters(spark):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(40, 64))
+    spread, clustered = rng.normal(size=(5000, 64)), centres[rng.integers(0, 40, 5000)] + 0.5 * rng.normal(size=(5000, 64))
+    vectors = np.concatenate((spread, clustered))
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    # more classes than two shards hold, and far more in each than the beam
+    assert len(vectors) > 2 * ann.SHARD_ROWS and ann.SHARD_ROWS > 20 * ann.BEAM
+    got: dict = {}
+    for r in ann.nearest(table, F.col("id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.id)
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    for part in (range(0, 5000, 50), range(5000, 10000, 50)):
+        near = units[list(part)] @ units.T
+        near[np.arange(len(part)), list(part)] = -np.inf
+        best = np.argsort(-near, axis=1)[:, : ann.NEAREST]
+        recall = np.mean([len(got[q] & set(best[at].tolist())) / ann.NEAREST for at, q in enumerate(part)])
+        assert recall >= 0.95

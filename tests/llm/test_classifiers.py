@@ -1,14 +1,17 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from cases import SCHEMA, frame, rows, sentence
 from pyspark.sql import functions as F
 
 from adtide.llm import language, quality, toxicity
-from adtide.llm.common import held_out
+from adtide.llm.common import held_out, mix
 
 
 def is_held(doc) -> bool:
@@ -46,6 +49,49 @@ def test_language_counts_equal_brute_force(spark):
     assert sum(counted.values()) == (3 + 2 + 1) + (2 + 1)
 
 
+def grams(text: str) -> list[int]:
+    """Buckets of the n-grams of a text, one by one."""
+    data = bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode())
+    found = []
+    for n in language.GRAMS:
+        for at in range(len(data) - n + 1):
+            value = int.from_bytes(data[at : at + n], "big") ^ (n << 40)
+            found.append(int(mix(np.array([value], dtype=np.uint64))[0]) % language.FEATURES)
+    return found
+
+
+def test_language_predictions_equal_brute_force(spark):
+    data = spoken(seed=4, count=90) + [(9000, "the nicht OÙ und", None, "s", 1), (9001, "Über les", None, "s", 1), (9002, "a", None, "s", 1)]
+    documents = frame(spark, data)
+    got = {r.doc_id: r for r in language.predict(documents, language.fit(documents)).collect()}
+    counts: dict[str, Counter] = {}
+    for doc, text, lang, *_ in data:
+        if lang and not is_held(doc):
+            counts.setdefault(lang, Counter()).update(grams(text))
+    names = sorted(counts)
+    total = {n: sum(counts[n].values()) + 0.1 * language.FEATURES for n in names}
+    chance = {n: (lambda f, n=n: (counts[n][f] + 0.1) / total[n]) for n in names}
+    codes = language.codewords(len(names))
+    bits = []
+    for code in codes.T:
+        ones, zeros = ([n for n, c in zip(names, code, strict=True) if c * side > 0] for side in (1, -1))
+        share = lambda group, f: sum(chance[n](f) for n in group) / len(group)
+        odds = lambda f, a=ones, b=zeros: math.log(share(a, f) / share(b, f))
+        used = set().union(*counts.values())
+        unused = language.FEATURES - len(used)
+        quiet = next(f for f in range(language.FEATURES) if f not in used)
+        gap = lambda f, a=ones, b=zeros: (share(a, f) - share(b, f)) * odds(f, a, b)
+        bits.append((odds, sum(map(gap, used)) + unused * gap(quiet)))
+    weight = [w * len(bits) / sum(w for _, w in bits) for _, w in bits]
+    for doc, text, *_ in data:
+        found = grams(text)
+        margins = [sum(map(odds, found)) / math.sqrt(len(found)) for odds, _ in bits]
+        losses = [sum(w * math.log1p(math.exp(-m * c)) for m, c, w in zip(margins, code, weight, strict=True)) for code in codes.tolist()]
+        likely = [math.exp(min(losses) - loss) for loss in losses]
+        best = max(range(len(names)), key=lambda i: (likely[i], -i))
+        assert got[doc].lang_pred == names[best] and got[doc].score == pytest.approx(likely[best] / sum(likely), rel=1e-3)
+
+
 def test_language_without_anything_to_learn(spark):
     nothing = spark.createDataFrame([(1, "abc", None, "s", 1)], SCHEMA)
     assert [r.lang_pred for r in language.predict(nothing, language.fit(nothing)).collect()] == ["und"]
@@ -120,6 +166,28 @@ def test_a_chance_hit_says_less_of_a_long_text(spark):
     assert scores[1] > toxicity.THRESHOLD and scores[2] < 0.9 * scores[1]
 
 
+def test_toxic_windows_equal_brute_force(spark):
+    rng = random.Random(17)
+    toxic, ordinary = ([" ".join([*sentence(rng, 30).split(), *extra]) for _ in range(200)] for extra in (["zorgblat"], []))
+    model = toxicity.train(toxic, ordinary)
+    # a text of several stretches, repeated words, punctuation, blanks and no-break spaces
+    texts = [*toxic[:5], *ordinary[:5], "", None, " \n ", "zorgblat, Zorgblat! (zorgblat) zorg\u00a0blat", sentence(rng, 2500) + " zorgblat " + sentence(rng, 900)]
+    got = {r.doc_id: r for r in toxicity.score(frame(spark, [(i, t, "aa", "s", 1) for i, t in enumerate(texts)]), model).collect()}
+    ordinary_zip, toxic_zip = model.compressors()
+    for at, text in enumerate(texts):
+        words, telling = (text or "").encode().lower().split(), {}
+        for word in set(words):
+            core = word.strip(toxicity.EDGES)
+            coded = toxicity._written(core)
+            plain, bad = (min(len(coded), len(z.compress(coded))) for z in (ordinary_zip, toxic_zip))
+            telling[word] = bool(core) and bad <= model.longest and plain - bad >= model.least_saving
+        stretches = [set(words[i : i + toxicity.STRETCH]) for i in range(0, len(words), toxicity.STRETCH)] or [set()]
+        densest = max(sum(telling[w] for w in part) for part in stretches)
+        assert got[at].toxic_windows == sum(telling.values())
+        assert got[at].toxicity == model.scores_of(len(stretches))[min(2, densest)]
+    assert all(got[i].toxicity >= toxicity.THRESHOLD for i in range(5))
+
+
 def test_long_labelled_texts_are_learned_from(spark):
     rng = random.Random(13)
     data = [(d, f"{sentence(rng, 4000)} {'zorgblat' if d % 2 else ''}", "aa", "s", 1) for d in range(120)]
@@ -155,6 +223,26 @@ def test_quality_sample_and_border(spark):
     assert quality.resample(spark.createDataFrame([], SCHEMA), labels).count() == 0
 
 
+def test_quality_ratios_equal_brute_force(spark):
+    rng = random.Random(21)
+    data = [(i, " ".join(rng.choice("Alpha beta gamma delta eps Zeta".split()) for _ in range(rng.randint(0, 25))), "aa", "s", 1) for i in range(60)]
+    data += [(100, None, "aa", "s", 1), (101, " \t", "aa", "s", 1)]
+    marks = [(i, int(i % 3 == 0), 0) for i in range(60)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    features = lambda text: [w.lower() for w in (text or "").split()] + list(zip((text or "").lower().split(), (text or "").lower().split()[1:], strict=False))
+    # two different grams share a bucket so rarely that none of these few do
+    raw, target = Counter(), Counter()
+    for doc, text, *_ in data:
+        raw.update(features(text))
+        if doc < 60 and doc % 3 == 0:
+            target.update(features(text))
+    sums = [sum(c.values()) + 0.5 * quality.FEATURES for c in (target, raw)]
+    got = {r.doc_id: r.log_weight for r in quality.resample(frame(spark, data), labels).collect()}
+    for doc, text, *_ in data:
+        own = [math.log((target[f] + 0.5) / sums[0]) - math.log((raw[f] + 0.5) / sums[1]) for f in features(text)]
+        assert got[doc] == pytest.approx(quality.NOMINAL_TOKENS * sum(own) / max(1, len(own)), abs=1e-3)
+
+
 def test_largest_equals_a_sort(spark):
     rng = random.Random(3)
     values = [(i, rng.choice([rng.random(), 0.5, rng.gauss(0, 1e6)])) for i in range(5000)]

@@ -1,6 +1,11 @@
 from __future__ import annotations
 
+import math
+import random
 import textwrap
+from collections import Counter
+
+import pytest
 
 from adtide.llm import license, license_texts
 from adtide.llm.queries import op2_license
@@ -101,3 +106,49 @@ def test_only_known_identifiers_are_stated_by_tags():
 def test_a_sentence_about_tags_does_not_hide_a_statement():
     idf = dict.fromkeys(license.VOCABULARY, 2.0)
     assert license.best_template("SPDX-License-Identifier: names a licence.\nReleased under the MIT License.", idf, 3.0)[0] == "MIT"
+
+
+def test_frequencies_and_cosines_equal_brute_force(spark):
+    rng = random.Random(6)
+    statements = [*license.TEMPLATES.values(), *(t for _, t in license_texts.PASSAGES)]
+    texts = [None, "", "No licence is named here. Only words."]
+    for _ in range(50):
+        words = rng.choice(statements).split(" ")
+        for _ in range(rng.randint(0, max(1, len(words) // 6))):
+            words[rng.randrange(len(words))] = rng.choice(["that", "copy", "some", words[0]])
+        texts.append(f"Some prose in front.\n{' '.join(words)}\n<p>And {rng.choice(statements)[: rng.randint(0, 60)]} after it</p>")
+    table = spark.createDataFrame([(i, f"https://h.org/{i}", t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    seen: Counter = Counter()
+    for text in texts:
+        for line in license.lines(text or ""):
+            seen[""] += 1
+            seen.update(set(license.tokens(line)) & set(license.VOCABULARY))
+    assert license._frequencies(table.selectExpr("html AS text")) == dict(seen)
+    idf = {w: math.log((1 + seen[""]) / (1 + seen[w])) + 1 for w in license.VOCABULARY}
+    rare = math.log((1 + seen[""]) / 2) + 1
+
+    def cosine(template, words: list[str]) -> float:
+        own = Counter(words)
+        if not words or not template.allows(own):
+            return 0.0
+        weights = [{w: n * idf.get(w, rare) for w, n in c.items()} for c in (template.words, own)]
+        dot = sum(x * weights[1].get(w, 0) for w, x in weights[0].items())
+        return dot / math.prod(math.sqrt(sum(x * x for x in side.values())) for side in weights)
+
+    got = {r.id: r for r in license.scan(table, "page_id", "url", "html").collect()}
+    stated = 0
+    for at, text in enumerate(texts):
+        words = license.tokens(license._TAG.sub("\n", text or ""))
+        by_name: dict[str, float] = {}
+        for template in license._TEMPLATES:
+            size = min(template.length, len(words))
+            parts = [words[i : i + size] for i in range(len(words) - size + 1)] if template.runs else []
+            parts += [license.tokens(line) for line in license.lines(text or "")] if template.single else []
+            by_name[template.name] = max([by_name.get(template.name, 0.0), *(cosine(template, part) for part in parts)])
+        best = max(by_name.values())
+        if best < license.THRESHOLD:
+            assert got[at].license is None and got[at].score is None
+        else:
+            stated += 1
+            assert got[at].score == pytest.approx(best, abs=1e-6) and by_name[got[at].license] == pytest.approx(best, abs=1e-6)
+    assert 30 <= stated < len(texts)
