@@ -14,9 +14,10 @@ Equal sets form one class beforehand. The members of a group are compared first;
 a large group also holds the group's first document, which joins the parts. What one component already connects is
 not compared again. From then on a token that only one component has counts as a token of a single document, which
 closes all that share less than a link's part with other components. Those still open pass on all their tokens for
-an order by rarity alone, are compared with the first document of their group under other hashes, and last a group is opened by documents of other components whose first
-tokens are in its union, the smaller component asking the larger. An opened group compares whole sets. Links lose
-no pair that could connect two components.
+an order by rarity alone and are compared with the document of their group, under other hashes, that has the
+least tokens alone. Last a group is opened by documents of other components whose first tokens are in its union at
+places and in sizes that allow a link, the smaller component asking the larger. An opened group compares whole
+sets. Links lose no pair that could connect two components.
 
 Defined results: null and blank texts have an empty set, are linked with nothing and are their own
 component; a text of fewer words than a shingle has one shingle; repeated rows repeat in the result;
@@ -44,7 +45,7 @@ LEVELS = (0.3, 0.5, 1.0)
 GROUP_DOCS = 64
 #: Documents that one task compares with a group.
 ASKING_DOCS = 256
-#: Further groupings in which documents are compared with the first of their group.
+#: Further groupings in which documents are compared with one of their group.
 STAR_ROUNDS = 2
 _EDGES = np.array([int(share * 2.0**64) - 1 if share < 1 else 2**64 - 1 for share in LEVELS], dtype=np.uint64)
 
@@ -254,8 +255,8 @@ def _relabelled(labels: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def _stars(labelled: DataFrame, own: DataFrame) -> DataFrame:
-    """Links (a, b) of components whose documents are linked to the first document of their group."""
-    hubs = labelled.groupBy("grp").agg(F.min(F.struct("v", "label")).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"))
+    """Links (a, b) of components whose documents are linked to the one of their group with the least tokens alone."""
+    hubs = labelled.groupBy("grp").agg(F.min(F.struct("alone", "v", "label")).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"))
     hubs = store(hubs.where("low < high").select("grp", F.col("hub.v").alias("hub"), F.col("hub.label").alias("b")), "hubs")
     pairs = labelled.select("v", F.col("label").alias("a"), "grp").join(hubs, "grp").where("a <> b")
     hub_sets = own.select(F.col("v").alias("hub"), F.col("tokens").alias("hub_tokens"))
@@ -270,6 +271,31 @@ def _stars(labelled: DataFrame, own: DataFrame) -> DataFrame:
     return pairs.mapInArrow(compare, "a long, b long").distinct()
 
 
+def _may_link(uses: DataFrame) -> DataFrame:
+    """Uses of tokens that more than one component has and whose sizes and places there allow a link."""
+    kept = uses.groupBy("token").agg(F.min("n").alias("least"), F.max("room").alias("most"), F.min("label").alias("low"), F.max("label").alias("high"))
+    kept = kept.where("low < high").select("token", "least", "most")
+    return uses.join(kept.hint("merge"), "token").where(f"room >= least * {PERCENT} and most >= n * {PERCENT}").drop("least", "most")
+
+
+def _asks(labelled: DataFrame) -> DataFrame:
+    """v, label, gid: the groups of larger components a document may have a link to, once for each token that says so.
+
+    At the first token that two linked sets share, in the common order, each still has as many tokens left as they
+    share at least, PERCENT / (100 + PERCENT) of the sum of their sizes. Tokens of one component alone come first and
+    leave fewer, so that documents that share too little are done by the least and the greatest value of each token.
+    """
+    left = (F.col("shared") - F.col("at")) * (100 + PERCENT)
+    uses = labelled.select("v", "n", "gid", "label", "weight", "shared", F.posexplode("first").alias("at", "token"))
+    uses = uses.select("v", "n", "gid", "label", "weight", "token", (left - F.col("n") * PERCENT).alias("room"))
+    # once more, now that only uses that may lead to a link are counted
+    uses = store(_may_link(store(_may_link(uses), "uses")), "uses")
+    matrix = uses.groupBy("token", "gid", "label", "weight").agg(F.min("n").alias("least"), F.max("room").alias("most"))
+    matrix = matrix.select("token", F.col("gid").alias("to"), F.col("label").alias("to_label"), F.col("weight").alias("to_weight"), "least", "most")
+    asks = uses.join(matrix, "token").where("gid <> to and label <> to_label and (weight, label) < (to_weight, to_label)")
+    return asks.where(f"room >= least * {PERCENT} and most >= n * {PERCENT}").select("v", "label", F.col("to").alias("gid"))
+
+
 def jaccard_components(documents: DataFrame) -> DataFrame:
     """doc_id, tid, n_shingles, component_id, component of every row.
 
@@ -314,19 +340,15 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     used = wide.select("v", F.explode("all").alias("token"))
     for seed in range(1, STAR_ROUNDS + 1):
         labelled = _still_open(used.join(labels.select("v", "label"), "v"), whole_sets, seed, "label")
-        labelled = store(labelled.select("v", "n", "first", "grp").join(labels, "v"), "labelled")
+        alone = (1 - F.size("found") / F.col("n")).alias("alone")
+        labelled = store(labelled.select("v", alone, "grp").join(labels, "v"), "labelled")
         labels = store(_relabelled(labels, components(_stars(labelled, own))), "labels")
-    labelled = _still_open(used.join(labels.select("v", "label"), "v"), whole_sets, 0, "label").select("v", "n", "first").join(labels, "v")
+    labelled = _still_open(used.join(labels.select("v", "label"), "v"), whole_sets, 0, "label")
+    labelled = labelled.select("v", "n", F.size("found").alias("shared"), "first").join(labels, "v")
     labelled = store(labelled, "labelled")
     sizes = labelled.groupBy("label").agg(F.count("*").alias("weight"))
     labelled = store(labelled.join(sizes, "label"), "weighed")
-    uses = labelled.select("v", "n", "gid", "label", "weight", F.explode("first").alias("token"))
-    mixed = uses.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    uses = store(uses.join(mixed, "token"), "uses")
-    matrix = uses.groupBy("token", "gid", "label", "weight").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    matrix = matrix.select("token", F.col("gid").alias("to"), F.col("label").alias("to_label"), F.col("weight").alias("to_weight"), "least", "most")
-    asks = uses.join(matrix, "token").where("gid <> to and label <> to_label and (weight, label) < (to_weight, to_label)")
-    asks = asks.where(f"most * 100 >= n * {PERCENT} and n * 100 >= least * {PERCENT}").select("v", "label", F.col("to").alias("gid")).distinct()
+    asks = _asks(labelled).distinct()
     asks = store(asks, "asks")
     asking = asks.join(own.drop("home"), "v").withColumn("turn", F.xxhash64("v"))
     load = asks.groupBy("gid").agg(F.ceil(F.count("*") / ASKING_DOCS).cast("int").alias("turns"))

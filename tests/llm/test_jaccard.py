@@ -61,6 +61,47 @@ def test_equals_brute_force(spark, monkeypatch):
         assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(data)
 
 
+def copies(count, edits, seed=7):
+    """Near copies of one page, each with one of the given numbers of words replaced."""
+    rng = random.Random(seed)
+    page = sentence(rng, 150).split()
+    made = []
+    for doc in range(count):
+        words = list(page)
+        for at in rng.sample(range(0, 150, 6), rng.choice(edits)):
+            words[at] = sentence(rng, 2).replace(" ", "")
+        made.append((doc, " ".join(words), "aa", "s1", 1))
+    return made
+
+
+def test_copies_that_share_too_little_open_no_group(spark, monkeypatch):
+    asked, plain = [], jaccard.store
+
+    def watched(df, purpose):
+        out = plain(df, purpose)
+        if purpose == "asks":
+            asked.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "store", watched)
+    monkeypatch.setattr(jaccard, "GROUP_DOCS", 8)
+    # five replaced words leave at most 125 of 146 shingles of the page; two linked sets of 146 share 130
+    data = copies(120, [5])
+    got = jaccard.jaccard_components(frame(spark, data, 4)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(data)
+    assert asked == [0]
+
+
+def test_copies_on_both_sides_of_the_bound(spark, monkeypatch):
+    for rounds in (0, 2):
+        monkeypatch.setattr(jaccard, "GROUP_DOCS", 4)
+        monkeypatch.setattr(jaccard, "STAR_ROUNDS", rounds)
+        data = copies(110, [0, 1, 1, 2, 3, 3, 4, 5])
+        data += [(1000 + r[0], " ".join(r[1].split()[: 150 - r[0] % 31]), *r[2:]) for r in copies(70, [1, 2, 3], 7)]
+        got = jaccard.jaccard_components(frame(spark, data, 4)).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(data)
+
+
 def test_no_rows(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], SCHEMA)).count() == 0
 
