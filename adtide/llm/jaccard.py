@@ -274,7 +274,8 @@ def _stars(labelled: DataFrame, own: DataFrame) -> DataFrame:
 def _may_link(uses: DataFrame) -> DataFrame:
     """Uses of tokens that more than one component has and whose sizes and places there allow a link."""
     kept = uses.groupBy("token").agg(F.min("n").alias("least"), F.max("room").alias("most"), F.min("label").alias("low"), F.max("label").alias("high"))
-    kept = kept.where("low < high").select("token", "least", "most")
+    # written before the join on the same key, so that a hot token's rows can be split there
+    kept = store(kept.where("low < high").select("token", "least", "most"), "bounds")
     return uses.join(kept.hint("merge"), "token").where(f"room >= least * {PERCENT} and most >= n * {PERCENT}").drop("least", "most")
 
 
