@@ -33,6 +33,8 @@ NEXT_MONTH = date(2024, 2, 10)
 LOADED_AT = datetime(2024, 1, 20, 5, 0)
 REREAD = ("daily", "keywords", "search_terms", "negatives")
 LATE_BATCH = datetime(2000, 6, 1)
+#: Records of a landed file: about 130 MB of JSON, 10 MB compressed.
+LANDED_RECORDS = 250_000
 SCANNED_DAYS = Period(date(1996, 1, 1), date(1998, 12, 31))
 
 
@@ -465,9 +467,13 @@ def _insights(m: Models) -> DataFrame:
 
 
 def _landed(m: Models, report: DataFrame, name: str) -> str:
-    """A nested report as JSON files, and their folder."""
+    """A nested report as compressed JSON files, and their folder.
+
+    Plain JSON repeats every field name in every record and took some thirty times the disk of the tables. A compressed
+    file is read by one task, so that each holds a bounded number of records.
+    """
     path = new_workspace(m.spark, name)
-    report.write.json(path)
+    report.write.option("maxRecordsPerFile", LANDED_RECORDS).json(path, compression="gzip")
     return path
 
 
