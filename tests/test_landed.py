@@ -58,3 +58,11 @@ def check_landed(spark, tmp_path, monkeypatch, query, nested, flatten):
 
 def test_landed_keywords_take_a_part_of_the_disk_of_their_text(spark, tmp_path, monkeypatch):
     check_landed(spark, tmp_path, monkeypatch, "scan_keyword_report", runs._nested_keywords, runs.reports.flatten_keyword)
+
+
+def test_landed_search_terms_take_a_part_of_the_disk_of_their_text(spark, tmp_path, monkeypatch):
+    def flatten(report):
+        days = F.col("segments.date").between(F.lit(runs.SCANNED_DAYS.start), F.lit(runs.SCANNED_DAYS.end))
+        return runs.reports.flatten_search_term(report.where(days))
+
+    check_landed(spark, tmp_path, monkeypatch, "scan_search_term_report", runs._nested_search_terms, flatten)
